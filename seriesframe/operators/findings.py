@@ -152,13 +152,16 @@ def event_summary(study: DataFrame) -> DataFrame:
 # --- concentration --------------------------------------------------------------------------
 
 
-def volume_share(df: DataFrame, ent: str, val: str, round_to: int | None = 1) -> DataFrame:
-    """Share of the total per entity in percent, largest first."""
+def entity_shares(df: DataFrame, ent: str, val: str, round_to: int | None = None) -> DataFrame:
+    """Sum and share of the total per entity in percent, in no order."""
     sums = df.filter(F.col(val).isNotNull()).groupBy(ent).agg(F.sum(val).alias(val))
     shares = share(sums, val)
-    if round_to is not None:
-        shares = shares.withColumn("share_pct", F.round("share_pct", round_to))
-    return shares.orderBy(F.col("share_pct").desc(), ent)
+    return shares if round_to is None else shares.withColumn("share_pct", F.round("share_pct", round_to))
+
+
+def volume_share(df: DataFrame, ent: str, val: str, round_to: int | None = 1) -> DataFrame:
+    """`entity_shares`, largest first."""
+    return entity_shares(df, ent, val, round_to).orderBy(F.col("share_pct").desc(), ent)
 
 
 def cohort(df: DataFrame, ent: str, members: Mapping[str, Sequence[str]] | DataFrame, out: str = "cohort") -> DataFrame:
@@ -177,7 +180,7 @@ def concentration(df: DataFrame, ent: str, val: str, round_shares: int | None =
 
     Shares are unrounded unless `round_shares` gives the places they are rounded to first.
     """
-    shares = volume_share(df, ent, val, round_shares).select(ent, "share_pct")
+    shares = entity_shares(df, ent, val, round_shares).select(ent, "share_pct")
     measures = shares.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("share_pct") * F.col("share_pct")).alias("hhi"),
@@ -237,7 +240,12 @@ def conditional_return(
     def side(name: str):
         return F.round(compound(F.when(F.col(label) == name, F.col(val))) * 100, places).alias(name)
 
-    return days.groupBy(ent).agg(side("rising"), side("falling")).orderBy(F.col("rising").asc_nulls_last(), ent)
+    return days.groupBy(ent).agg(side("rising"), side("falling"))
+
+
+def sensitivity_board(sensitivity: DataFrame, ent: str) -> DataFrame:
+    """Conditional returns, worst on rising days first."""
+    return sensitivity.orderBy(F.col("rising").asc_nulls_last(), ent)
 
 
 def exceptions(sensitivity: DataFrame) -> DataFrame:
@@ -291,11 +299,14 @@ def cohort_curve(members: DataFrame, dt: str, val: str, group: str = "cohort") -
     return cumulative(cohort_days(members, dt, val, group), dt, {"mean_return": "cumulative"}, group)
 
 
+def total_returns(df: DataFrame, by: Keys, val: str, out: str = "total_return_pct") -> DataFrame:
+    """Compound return per entity over the whole history, in percent, in no order."""
+    return df.filter(F.col(val).isNotNull()).groupBy(*as_keys(by)).agg((compound(F.col(val)) * 100).alias(out))
+
+
 def total_return_by(df: DataFrame, by: Keys, val: str, out: str = "total_return_pct") -> DataFrame:
-    """Compound return per entity over the whole history, in percent, best first."""
-    keys = as_keys(by)
-    totals = df.filter(F.col(val).isNotNull()).groupBy(*keys).agg((compound(F.col(val)) * 100).alias(out))
-    return totals.orderBy(F.col(out).desc(), *keys)
+    """`total_returns`, best first."""
+    return total_returns(df, by, val, out).orderBy(F.col(out).desc(), *as_keys(by))
 
 
 def cohort_summary(members: DataFrame, ent: str, dt: str, val: str, group: str = "cohort") -> DataFrame:
@@ -304,7 +315,7 @@ def cohort_summary(members: DataFrame, ent: str, dt: str, val: str, group: str =
         (compound(F.col("mean_return")) * 100).alias("final_return_pct"),
         (F.stddev_samp("mean_return") * F.sqrt(F.lit(float(TRADING_DAYS_PER_YEAR)))).alias("annual_vol"),
     )
-    each = total_return_by(members, [group, ent], val, "_total")
+    each = total_returns(members, [group, ent], val, "_total")
     parts = each.groupBy(group).agg(
         F.count(F.lit(1)).alias("members"),
         F.count_if(F.col("_total") < 0).alias("negative_members"),

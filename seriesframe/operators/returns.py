@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesframe.functions.columns import ratio
-from seriesframe.functions.ordered import Keys, as_keys, rolling, with_position, with_prev, with_running
+from seriesframe.functions.ordered import Keys, as_keys, rolling, with_prev, with_running
 
 
 def returns(
@@ -55,8 +55,8 @@ def rolling_vol(
     """
     keys = as_keys(by)
     slim = df.select(*keys, dt, ret)
-    seen = with_running(slim, keys, dt, {"_seen": ("sum", F.when(F.col(ret).isNotNull(), 1).otherwise(0))})
-    placed = with_position(seen, keys, dt, "_pos")
+    usable = F.when(F.col(ret).isNotNull(), 1).otherwise(0)
+    placed = with_running(slim, keys, dt, {"_seen": ("sum", usable), "_pos": ("sum", F.lit(1))})
     framed = rolling(placed, keys, "_pos", n, lambda w: {"_dev": F.stddev_samp(ret).over(w)})
     return framed.select(*keys, dt, F.when(F.col("_seen") >= n, F.col("_dev")).alias(out))
 

@@ -27,8 +27,8 @@ def last_n(df: DataFrame, by: Keys, dt: str, n: int = 3) -> DataFrame:
 
 
 def missing_entities(expected: DataFrame, df: DataFrame, ent: str) -> DataFrame:
-    """Expected entities without a single row."""
-    return expected.select(ent).distinct().join(df.select(ent), ent, "left_anti")
+    """Expected entities without a single row; both sides are reduced to entities before the join."""
+    return expected.select(ent).distinct().join(df.select(ent).distinct(), ent, "left_anti")
 
 
 def require_some(expected: DataFrame, df: DataFrame, ent: str) -> DataFrame:

@@ -87,6 +87,16 @@ class Lake:
 
         return self._table("bars", build, "date", ("symbol",))
 
+    def part_bars(self) -> DataFrame:
+        """Bars with every part as its own symbol."""
+
+        def build() -> DataFrame:
+            key = F.col("p_partkey")
+            part = self.raw("part").select(key.alias("l_partkey"), key.cast("string").alias("symbol"))
+            return bars_of(self.raw("lineitem"), part)
+
+        return self._table("part_bars", build, "date", ("symbol",))
+
     def indicators(self) -> DataFrame:
         """Four monthly series and one daily one."""
 

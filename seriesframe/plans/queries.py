@@ -18,7 +18,6 @@ from seriesframe.plans.lake import (
     TOPICS,
     YIELD_SERIES,
     Lake,
-    bars_of,
 )
 from seriesframe.sources import landing
 from seriesframe.sources.export import export_json
@@ -71,10 +70,7 @@ def market_daily(lake: Lake) -> DataFrame:
 @query
 def market_daily_by_part(lake: Lake) -> DataFrame:
     """The same over one entity per part: many entities, one plan."""
-    parts = lake.raw("part").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_partkey").cast("string").alias("symbol")
-    )
-    return returns.market_daily(bars_of(lake.raw("lineitem"), parts))
+    return returns.market_daily(lake.part_bars())
 
 
 @query
@@ -369,7 +365,7 @@ def rate_direction(lake: Lake) -> DataFrame:
 
 @query
 def rate_sensitivity(lake: Lake) -> DataFrame:
-    return _sensitivity(lake)
+    return findings.sensitivity_board(_sensitivity(lake), "symbol")
 
 
 @query

@@ -47,18 +47,19 @@ def merge_rows(
 ) -> DataFrame:
     """Target rows replaced by updates with equal keys, new keys added.
 
-    NULL keys match nothing, so such updates are added every time. An update's NULL
-    overwrites a value unless `keep_non_null` is set.
+    NULL keys match nothing, so such updates are added every time; their rows stay out of
+    the join. An update's NULL overwrites a value unless `keep_non_null` is set.
     """
     fresh = latest_per_key_set(updates, keys, order_col)
     if keep_non_null:
         value_cols = [c for c in fresh.columns if c not in keys]
         old = target.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in value_cols])
-        fresh = fresh.join(old, list(keys), "left").select(
+        fresh = fresh.join(old.filter(_all_keys(keys)), list(keys), "left").select(
             *keys, *[F.coalesce(F.col(c), F.col(f"_old_{c}")).alias(c) for c in value_cols]
         )
-    kept = target.join(fresh.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(fresh.select(*kept.columns))
+    whole = _all_keys(keys)
+    kept = target.filter(whole).join(fresh.filter(whole).select(*keys), list(keys), "left_anti")
+    return kept.select(*target.columns).unionByName(target.filter(~whole)).unionByName(fresh.select(*target.columns))
 
 
 def upsert(
@@ -95,7 +96,10 @@ def upsert(
     bounds = batch.agg(F.min(PERIOD).alias("lo"), F.max(PERIOD).alias("hi"))
     in_range = (F.col(PERIOD) >= bounds.select("lo").scalar()) & (F.col(PERIOD) <= bounds.select("hi").scalar())
     affected = current.filter(in_range | F.col(PERIOD).isNull()).join(
-        touched, F.coalesce(F.col(PERIOD), none) == F.col("_period"), "left_semi"
+        # at most one row per calendar period
+        F.broadcast(touched),
+        F.coalesce(F.col(PERIOD), none) == F.col("_period"),
+        "left_semi",
     )
     staged = new_path(spark, "merged")
     merge_rows(affected, batch, keys, order_col, keep_non_null).write.parquet(staged)
