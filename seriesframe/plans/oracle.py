@@ -648,8 +648,11 @@ from history) x where age <= 2""",
                 _metric("spread", "spread_pts", "l - r", _TOTALS),
                 _metric("lag", "best_lag", "best_lag", "best"),
                 _metric("lag", "best_corr", "best_corr", "best"),
+                _metric("events", "return_before_pct", "return_before_pct", "study_mean"),
+                _metric("events", "return_after_pct", "return_after_pct", "study_mean"),
                 _metric("events", "gap_pts", "gap_pts", "study_mean"),
                 _metric("concentration", "top_entity", "null", _CONC_ALL, "top_entity"),
+                _metric("concentration", "top_share_pct", "top_share_pct", _CONC_ALL),
                 _metric("concentration", "hhi", "hhi", _CONC_ALL),
                 _metric("concentration", "effective_n", "effective_n", _CONC_ALL),
                 _metric("rates", "typical", "count(*) - count(*) filter (where rising > falling)", "sensitivity"),

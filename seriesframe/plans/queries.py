@@ -19,6 +19,7 @@ from seriesframe.plans.lake import (
     YIELD_SERIES,
     Lake,
 )
+from seriesframe.plans.weekly import headline_metrics
 from seriesframe.sources import landing
 from seriesframe.sources.export import export_json
 from seriesframe.sources.tables import PERIOD, read_table, row_counts, write_snapshot
@@ -437,29 +438,16 @@ def snapshot_last_two(lake: Lake) -> DataFrame:
 @query
 def metric_snapshot(lake: Lake) -> DataFrame:
     """The run's headline metrics of all findings as long rows."""
-    run_date = panels.as_of(lake.market_daily(), "date").scalar()
-    sections = {
-        "spread": (
-            findings.spread_totals(lake.spread(), "date", "basket_return", "benchmark_return"),
-            {"basket_pct": "left_total_pct", "benchmark_pct": "right_total_pct", "spread_pts": "spread_pts"},
-        ),
-        "lag": (findings.best_lag(_lags(lake)), {"best_lag": "best_lag", "best_corr": "best_corr"}),
-        "events": (findings.event_summary(_events(lake)), {"gap_pts": "gap_pts"}),
-        "concentration": (
-            findings.concentration(lake.basket(), "symbol", "volume"),
-            {"top_entity": "top_entity", "hhi": "hhi", "effective_n": "effective_n"},
-        ),
-        "rates": (findings.exception_counts(_sensitivity(lake)), {"typical": "typical", "total": "total"}),
-        "volatility": (
-            findings.extremes(lake.volatility(), "date", "rolling_volatility"),
-            {"latest": "latest_value", "max": "max_value", "max_date": "max_date"},
-        ),
-        "cohorts": (
-            findings.cohort_gap(_summary(lake), "infra", "core"),
-            {"gap_pts": "gap_pts", "negative_members": "negative_members"},
-        ),
-    }
-    return r6(snapshots.snapshot_rows(sections, run_date), "value")
+    metrics = headline_metrics(
+        lake.market_daily(),
+        lake.spread(),
+        lake.attention(),
+        lake.volatility(),
+        lake.indicators().filter(F.col("series") == YIELD_SERIES),
+        panels.as_of(lake.market_daily(), "date").scalar(),
+        {"infra": INFRA, "core": CORE},
+    )
+    return r6(metrics, "value")
 
 
 # --- landing and shaping ------------------------------------------------------------------------

@@ -12,12 +12,12 @@ from pyspark.sql import types as T
 def read_landing(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str, one_per_file: bool = True
 ) -> DataFrame:
-    """Landed documents with a declared schema.
+    """Landed documents with a declared schema; a document that does not fit it fails the job.
 
     `one_per_file` reads pretty-printed documents, one per file; otherwise one document
     per line, which lets Spark split large files.
     """
-    return spark.read.schema(schema).option("multiLine", one_per_file).json(path)
+    return spark.read.schema(schema).option("multiLine", one_per_file).option("mode", "FAILFAST").json(path)
 
 
 def read_landing_text(spark: SparkSession, path: str | list[str], one_per_file: bool = True) -> DataFrame:
@@ -48,11 +48,11 @@ def melt_structs(
 
     The names are found in the documents (everything but the carried ones), in one pass.
     """
-    doc = F.from_json(text, "map<string,string>")
+    doc = F.from_json(text, "map<string,string>", {"mode": "FAILFAST"})
     entries = F.map_filter(doc, lambda k, _: ~k.isin(list(carry)))
     return (
         df.select(F.explode(entries).alias(name, "_body"), *[doc[c].alias(c) for c in carry])
-        .withColumn("_fields", F.from_json("_body", fields))
+        .withColumn("_fields", F.from_json("_body", fields, {"mode": "FAILFAST"}))
         .select(name, "_fields.*", *carry)
     )
 
