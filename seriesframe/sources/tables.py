@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -47,22 +47,27 @@ def period_of(dt: Column, grain: str = "month") -> Column:
 def write_table(df: DataFrame, target: str, dt: str | None = None, grain: str = "year", cluster: tuple = ()) -> DataFrame:
     """Rebuild a table in full and return it as read back.
 
-    With `dt` the table is partitioned by period and its files hold contiguous date ranges,
-    so date filters skip partitions and row groups. Range partitioning on (date, cluster...)
-    also splits a date or an entity that holds a large part of the rows.
+    With `dt` the table is partitioned by period, so date filters skip whole partitions,
+    and sorted by date inside its files.
     """
     if dt is None:
         write_snapshot(df, target)
         return read_table(df.sparkSession, target)
-    order = [dt, *cluster]
-    laid_out = (
-        df.withColumn(PERIOD, period_of(F.col(dt), grain)).repartitionByRange(*order).sortWithinPartitions(PERIOD, *order)
-    )
+    laid_out = by_period(df.withColumn(PERIOD, period_of(F.col(dt), grain)), [dt, *cluster])
     writer = laid_out.write.mode("overwrite").format("parquet").partitionBy(PERIOD)
     writer.save(target) if _is_path(target) else writer.saveAsTable(target)
     return read_table(df.sparkSession, target)
 
 
+def by_period(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows laid out for a write by period: few files per period, several for a large one.
+
+    The rebalance hint lets AQE split a period with many rows and merge small ones at the
+    advisory partition size, without the sampling pass of a range partitioning.
+    """
+    return df.hint("rebalance", PERIOD).sortWithinPartitions(PERIOD, *order)
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(table, rows) for every table in one plan."""
     counted = [t.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows")) for name, t in tables.items()]

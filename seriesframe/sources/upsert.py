@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesframe.sources.tables import PERIOD, period_of, read_table, table_exists
+from seriesframe.sources.tables import PERIOD, by_period, period_of, read_table, table_exists
 from seriesframe.sources.workspace import new_path
 
 
@@ -74,20 +74,22 @@ def upsert(
 ) -> DataFrame:
     """Merge `updates` into the table at `target`, which is created on the first run.
 
-    Only the periods the updates touch are read and rewritten. The merged periods are
-    written to the shared folder first, so the rewrite reads no file it replaces and a
-    lost executor only repeats its tasks. `dt` has to be one of the keys: a row's period
-    then never changes.
+    Only the periods the updates touch are read and rewritten. Dynamic overwrite writes the
+    merged periods beside the old ones and swaps them when the whole job has succeeded, so a
+    lost executor only repeats its tasks. The updates are written to the shared folder
+    first, because they are read several times. `dt` has to be one of the keys: a row's
+    period then never changes.
     """
     if dt not in keys:
         raise ValueError(f"{dt} must be one of the keys")
+    order = [dt, *[k for k in keys if k != dt]]
     staged_updates = new_path(spark, "updates")
     updates.withColumn(PERIOD, period_of(F.col(dt), grain)).write.parquet(staged_updates)
     batch = spark.read.parquet(staged_updates)
 
     if not table_exists(spark, target):
         first = latest_per_key_set(batch, keys, order_col)
-        _by_period(first, keys, dt).write.mode("overwrite").partitionBy(PERIOD).parquet(target)
+        by_period(first, order).write.mode("overwrite").partitionBy(PERIOD).parquet(target)
         return read_table(spark, target)
 
     current = read_table(spark, target).select(*batch.columns)
@@ -101,18 +103,11 @@ def upsert(
         F.coalesce(F.col(PERIOD), none) == F.col("_period"),
         "left_semi",
     )
-    staged = new_path(spark, "merged")
-    merge_rows(affected, batch, keys, order_col, keep_non_null).write.parquet(staged)
     (
-        _by_period(spark.read.parquet(staged), keys, dt)
+        by_period(merge_rows(affected, batch, keys, order_col, keep_non_null), order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PERIOD)
         .parquet(target)
     )
     return read_table(spark, target)
-
-
-def _by_period(df: DataFrame, keys: Sequence[str], dt: str) -> DataFrame:
-    order = [dt, *[k for k in keys if k != dt]]
-    return df.repartitionByRange(*order).sortWithinPartitions(PERIOD, *order)
