@@ -22,7 +22,7 @@ def read_landing(
 
 def read_landing_text(spark: SparkSession, path: str | list[str], one_per_file: bool = True) -> DataFrame:
     """Documents as text in `value`, for sources whose top-level names are data."""
-    return spark.read.option("wholetext", one_per_file).text(path)
+    return spark.read.text(path, wholetext=one_per_file)
 
 
 def read_published(
