@@ -3,7 +3,8 @@
 BENCH_SF_DIR   data folder (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
 BENCH_QUERIES  comma-separated names (default: all)
-BENCH_EXCHANGES=1 adds the number of shuffles in each executed plan, counted in an extra run
+BENCH_REPEAT   runs per query (default 1); from 2 on, `warm` holds the best of the later runs
+BENCH_PLANS=1  adds the shuffles in each query's executed plan and how many of them go to one task
 
 `silver_gold_build` is the time to write the derived tables the other queries read; every
 query is run once in a session that has them, its whole result going to the no-op sink.
@@ -13,9 +14,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from seriesframe.plans.lake import Lake
 from seriesframe.plans.queries import QUERIES
@@ -44,6 +46,20 @@ def build_tables(spark: SparkSession, sf_dir: str) -> None:
     lake.part_bars()
 
 
+def timed(spark: SparkSession, name: str, sf_dir: str) -> float:
+    start = time.perf_counter()
+    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    return round(time.perf_counter() - start, 3)
+
+
+def exchanges(df: DataFrame) -> list[int]:
+    """Shuffles of the plan that ran, and those among them with a single target task."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    kinds = re.findall(r" Exchange (\w+)", plan)
+    return [len(kinds), kinds.count("SinglePartition")]
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
@@ -54,15 +70,16 @@ def main() -> None:
     start = time.perf_counter()
     build_tables(spark, sf_dir)
     took["silver_gold_build"] = round(time.perf_counter() - start, 3)
-    shuffles: dict[str, int] = {}
+    warm: dict[str, float] = {}
+    plans: dict[str, list[int]] = {}
+    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     for name in names:
-        start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        took[name] = round(time.perf_counter() - start, 3)
-        if os.environ.get("BENCH_EXCHANGES"):
-            df = QUERIES[name](spark, sf_dir)
-            df.collect()
-            shuffles[name] = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange ")
+        runs = [timed(spark, name, sf_dir) for _ in range(repeat)]
+        took[name] = runs[0]
+        if repeat > 1:
+            warm[name] = min(runs[1:])
+        if os.environ.get("BENCH_PLANS"):
+            plans[name] = exchanges(QUERIES[name](spark, sf_dir))
     line = {
         "metric": "total wall time of all queries",
         "value": round(sum(took.values()), 3),
@@ -70,8 +87,10 @@ def main() -> None:
         "queries": took,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }
-    if shuffles:
-        line["exchanges"] = shuffles
+    if warm:
+        line["warm"] = warm
+    if plans:
+        line["shuffles_and_single"] = plans
     print(json.dumps(line))
     spark.stop()
 

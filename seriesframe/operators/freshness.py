@@ -182,11 +182,14 @@ def verdict(state: DataFrame, incidents: DataFrame, stale: DataFrame) -> DataFra
 
 
 def digest(sources: Mapping[str, tuple[DataFrame, Keys, str, str]]) -> DataFrame:
-    """Latest known reading per entity of every source, as (source, entity, date, value) rows."""
+    """Latest row per entity of every source, as (source, entity, date, value) rows.
+
+    The value may be NULL; a source that should show its latest known value is filtered first.
+    """
     rows = []
     for name, (df, ent, dt, val) in sources.items():
         keys = as_keys(ent)
-        now = latest(df.filter(F.col(val).isNotNull()).select(*keys, dt, val), keys, dt)
+        now = latest(df.select(*keys, dt, val), keys, dt)
         entity = F.col(keys[0]) if keys else F.lit(None)
         rows.append(
             now.select(

@@ -32,10 +32,12 @@ def missing_entities(expected: DataFrame, df: DataFrame, ent: str) -> DataFrame:
 
 
 def require_some(expected: DataFrame, df: DataFrame, ent: str) -> DataFrame:
-    """`missing_entities`, but the job fails when nothing at all has arrived."""
-    present = df.select(F.count(F.lit(1)).alias("n")).scalar()
-    return missing_entities(expected, df, ent).withColumn(
-        ent, F.when(present > 0, F.col(ent)).otherwise(F.raise_error(F.lit("no rows for any expected entity")))
+    """`missing_entities`, but the job fails when every expected entity is missing."""
+    missing = missing_entities(expected, df, ent)
+    absent = missing.agg(F.count(F.lit(1)).alias("n")).scalar()
+    wanted = expected.agg(F.count_distinct(ent).alias("n")).scalar()
+    return missing.withColumn(
+        ent, F.when(absent < wanted, F.col(ent)).otherwise(F.raise_error(F.lit("no rows for any expected entity")))
     )
 
 

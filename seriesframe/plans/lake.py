@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from seriesframe.operators.returns import basket_vs_benchmark, market_daily, rolling_vol
 from seriesframe.operators.shaping import classify, running_level, trailing_count
@@ -28,7 +29,7 @@ YIELD_SERIES = "1-URGENT"
 MONTHLY_SERIES = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 TOPICS = ["F", "O", "P"]
 
-_written: dict[tuple[str, str, str], str] = {}
+_written: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,9 +75,8 @@ class Lake:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _written:
             path = new_path(self.spark, name)
-            write_table(build(), path, dt, cluster=cluster)
-            _written[key] = path
-        return read_table(self.spark, _written[key])
+            _written[key] = path, write_table(build(), path, dt, cluster=cluster).schema
+        return read_table(self.spark, *_written[key])
 
     # silver ------------------------------------------------------------------------------
 

@@ -369,6 +369,11 @@ select (select max(date) from ret) as snapshot_date, '{section}' as section, '{m
        round(cast({value} as double), 6) as value, cast({label} as varchar) as label from {table}"""
 
 
+_TREND = """select series, date, value, value - prev as change,
+       case when prev is null then 'n/a' when value > prev then 'up' when value < prev then 'down' else 'flat' end
+         as trend
+from (select *, lag(value) over (partition by series order by date) as prev from indicators) x"""
+
 _TOTALS = """(select (product(1 + basket_return) - 1) * 100 as l, (product(1 + benchmark_return) - 1) * 100 as r
  from spread where basket_return is not null and benchmark_return is not null) t"""
 
@@ -388,13 +393,8 @@ ORACLE: dict[str, str] = {
         " round(spread, 6) as spread from spread",
         "spread",
     ),
-    "indicator_trend": _with(
-        """select series, date, value, value - prev as change,
-       case when prev is null then 'n/a' when value > prev then 'up' when value < prev then 'down' else 'flat' end
-         as trend
-from (select *, lag(value) over (partition by series order by date) as prev from indicators) x""",
-        "indicators",
-    ),
+    "indicator_trend": _with(_TREND, "indicators"),
+    "table_rebuild": _with(_TREND, "indicators"),
     "attention_index": _with(
         """select a.topic, a.date, a.views, round(a.views / nullif(b.views, 0) * 100, 6) as index
 from attention a
@@ -520,7 +520,7 @@ union all select 'levels', max(snapshot_date) from levels""",
     "volatility_panel_90d": _with(
         """select symbol, date, round(rolling_volatility, 6) as rolling_volatility,
        (select max(date) from bench_vol) as latest_date,
-       (select round(arg_max(rolling_volatility, date), 6) from bench_vol) as latest_value
+       (select round(arg_max_null(rolling_volatility, date), 6) from bench_vol) as latest_value
 from (select *, max(date) over () as anchor from bench_vol where rolling_volatility is not null) w
 where date >= anchor - 90""",
         "bench_vol",
@@ -635,6 +635,7 @@ union all select 'spread', max(date), count(basket_return) from spread""",
 from (select *, lag(value) over (partition by section, metric order by snapshot_date) as previous from history) x""",
         "history",
     ),
+    "snapshot_history": _with("select snapshot_date, section, metric, value from history", "history"),
     "snapshot_last_two": _with(
         """select * from (select *, cast(dense_rank() over (order by snapshot_date desc) as integer) as age
 from history) x where age <= 2""",
@@ -768,7 +769,7 @@ from (select *, completed_status = 'success' and open_incidents = 0 as run_ok, s
     "latest_digest": _with(
         """select 'market' as source, symbol as entity, max(date) as date, round(arg_max(close, date), 6) as value
 from ret where category = 'benchmark' group by symbol
-union all select 'spread', null, max(date), round(arg_max(spread, date), 6) from spread where spread is not null
+union all select 'spread', null, date, round(spread, 6) from spread where date = (select max(date) from spread)
 union all select 'volatility', symbol, max(date), round(arg_max(rolling_volatility, date), 6) from bench_vol
   where rolling_volatility is not null group by symbol
 union all select 'indicators', series, max(date), round(arg_max(value, date), 6) from indicators group by series

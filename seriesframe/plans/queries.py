@@ -22,7 +22,7 @@ from seriesframe.plans.lake import (
 from seriesframe.plans.weekly import headline_metrics
 from seriesframe.sources import landing
 from seriesframe.sources.export import export_json
-from seriesframe.sources.tables import PERIOD, read_table, row_counts, write_snapshot
+from seriesframe.sources.tables import PERIOD, read_table, row_counts, write_snapshot, write_table
 from seriesframe.sources.upsert import upsert
 from seriesframe.sources.workspace import new_path
 from seriesframe.streaming import jobs
@@ -435,6 +435,16 @@ def snapshot_last_two(lake: Lake) -> DataFrame:
     return snapshots.last_two(lake.monthly_volumes())
 
 
+@query
+def snapshot_history(lake: Lake) -> DataFrame:
+    """The metric history appended in two runs, the second repeating part of the first."""
+    target = new_path(lake.spark, "history")
+    months = lake.monthly_volumes()
+    snapshots.append_snapshot(lake.spark, target, months.filter(F.col("snapshot_date") < "1999-01-01"))
+    rest = months.filter(F.col("snapshot_date") >= "1998-07-01")
+    return no_period(snapshots.append_snapshot(lake.spark, target, rest))
+
+
 @query
 def metric_snapshot(lake: Lake) -> DataFrame:
     """The run's headline metrics of all findings as long rows."""
@@ -605,6 +615,15 @@ def table_profile(lake: Lake) -> DataFrame:
     )
 
 
+@query
+def table_rebuild(lake: Lake) -> DataFrame:
+    """A gold table rebuilt over an older one of another layout."""
+    path = new_path(lake.spark, "rebuild")
+    write_table(lake.indicators().select("series", "date"), path, "date", grain="month")
+    trends = returns.trend(no_period(lake.indicators()), "series", "date", "value")
+    return no_period(write_table(trends, path, "date", cluster=("series",)))
+
+
 @query
 def export_clean(lake: Lake) -> DataFrame:
     """Returns with NaN and infinities in them, published in order and read back."""
@@ -725,7 +744,12 @@ def latest_digest(lake: Lake) -> DataFrame:
     sources = {
         "market": (lake.benchmark(), "symbol", "date", "close"),
         "spread": (lake.spread(), None, "date", "spread"),
-        "volatility": (lake.volatility(), "symbol", "date", "rolling_volatility"),
+        "volatility": (
+            lake.volatility().filter(F.col("rolling_volatility").isNotNull()),
+            "symbol",
+            "date",
+            "rolling_volatility",
+        ),
         "indicators": (lake.indicators(), "series", "date", "value"),
         "attention": (lake.attention(), "topic", "date", "views"),
         "counts": (lake.trailing_counts(), "category", "snapshot_date", "count"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesframe.functions.columns import null_nonfinite, require_finite
+from seriesframe.sources.tables import WHOLE_TABLE
 
 
 def publishable(df: DataFrame) -> DataFrame:
@@ -23,4 +24,5 @@ def export_json(df: DataFrame, order_by: Sequence[str], path: str) -> None:
 
     NULL fields are written out as null; dates and timestamps are ISO-8601.
     """
-    publishable(df).orderBy(*order_by).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    rows = publishable(df).orderBy(*order_by)
+    rows.write.mode("overwrite").option(*WHOLE_TABLE).option("ignoreNullFields", False).json(path)

@@ -8,9 +8,13 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PERIOD = "period"
 
+# an overwrite replaces every partition, whatever the session's default is
+WHOLE_TABLE = ("partitionOverwriteMode", "static")
+
 
 def _is_path(target: str) -> bool:
     return "/" in target
@@ -20,23 +24,28 @@ def ensure_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`")
 
 
-def table_exists(spark: SparkSession, target: str) -> bool:
+def find_table(spark: SparkSession, target: str) -> DataFrame | None:
+    """The table, or None before its first write."""
     if not _is_path(target):
-        return spark.catalog.tableExists(target)
+        return spark.table(target) if spark.catalog.tableExists(target) else None
     try:
-        spark.read.parquet(target)
-        return True
-    except AnalysisException:
-        return False
+        return spark.read.parquet(target)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
-def read_table(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target) if _is_path(target) else spark.table(target)
+def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table; a schema that is known already saves reading the footers for it."""
+    if not _is_path(target):
+        return spark.table(target)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(target)
 
 
 def write_snapshot(df: DataFrame, target: str) -> None:
     """Replace rows and schema by this run's."""
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode("overwrite").option(*WHOLE_TABLE).format("parquet")
     writer.save(target) if _is_path(target) else writer.saveAsTable(target)
 
 
@@ -52,11 +61,15 @@ def write_table(df: DataFrame, target: str, dt: str | None = None, grain: str =
     """
     if dt is None:
         write_snapshot(df, target)
-        return read_table(df.sparkSession, target)
+        return read_table(df.sparkSession, target, nullable(df.schema))
     laid_out = by_period(df.withColumn(PERIOD, period_of(F.col(dt), grain)), [dt, *cluster])
-    writer = laid_out.write.mode("overwrite").format("parquet").partitionBy(PERIOD)
+    writer = laid_out.write.mode("overwrite").option(*WHOLE_TABLE).format("parquet").partitionBy(PERIOD)
     writer.save(target) if _is_path(target) else writer.saveAsTable(target)
-    return read_table(df.sparkSession, target)
+    return read_table(df.sparkSession, target, nullable(laid_out.schema))
+
+
+def nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
 def by_period(df: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesframe.sources.tables import PERIOD, by_period, period_of, read_table, table_exists
+from seriesframe.sources.tables import PERIOD, by_period, find_table, nullable, period_of, read_table, write_table
 from seriesframe.sources.workspace import new_path
 
 
@@ -76,23 +76,22 @@ def upsert(
 
     Only the periods the updates touch are read and rewritten. Dynamic overwrite writes the
     merged periods beside the old ones and swaps them when the whole job has succeeded, so a
-    lost executor only repeats its tasks. The updates are written to the shared folder
-    first, because they are read several times. `dt` has to be one of the keys: a row's
+    lost executor only repeats its tasks. For a merge the updates are written to the shared
+    folder first, because they are read several times. `dt` has to be one of the keys: a row's
     period then never changes.
     """
     if dt not in keys:
         raise ValueError(f"{dt} must be one of the keys")
     order = [dt, *[k for k in keys if k != dt]]
-    staged_updates = new_path(spark, "updates")
-    updates.withColumn(PERIOD, period_of(F.col(dt), grain)).write.parquet(staged_updates)
-    batch = spark.read.parquet(staged_updates)
-
-    if not table_exists(spark, target):
-        first = latest_per_key_set(batch, keys, order_col)
-        by_period(first, order).write.mode("overwrite").partitionBy(PERIOD).parquet(target)
-        return read_table(spark, target)
+    table = find_table(spark, target)
+    placed = updates.withColumn(PERIOD, period_of(F.col(dt), grain))
+    if table is None:
+        return write_table(latest_per_key_set(updates, keys, order_col), target, dt, grain, tuple(order[1:]))
 
-    current = read_table(spark, target).select(*batch.columns)
+    staged_updates = new_path(spark, "updates")
+    placed.write.parquet(staged_updates)
+    batch = read_table(spark, staged_updates, nullable(placed.schema))
+    current = table.select(*batch.columns)
     none = F.lit("0001-01-01").cast("date")
     touched = batch.select(F.coalesce(PERIOD, none).alias("_period")).distinct()
     bounds = batch.agg(F.min(PERIOD).alias("lo"), F.max(PERIOD).alias("hi"))
@@ -110,4 +109,4 @@ def upsert(
         .partitionBy(PERIOD)
         .parquet(target)
     )
-    return read_table(spark, target)
+    return read_table(spark, target, table.schema)

@@ -70,7 +70,7 @@ def test_snapshot_replaces_rows_and_schema(spark):
     tables.ensure_namespace(spark, "bronze")
     for df in (spark.range(3), spark.range(2).select(F.lit("x").alias("name"))):
         tables.write_snapshot(df, "bronze.feed")
-    assert tables.table_exists(spark, "bronze.feed") and not tables.table_exists(spark, "bronze.nothing")
+    assert tables.find_table(spark, "bronze.feed") is not None and tables.find_table(spark, "bronze.nothing") is None
     assert tables.read_table(spark, "bronze.feed").columns == ["name"]
     counts = tables.row_counts({"feed": tables.read_table(spark, "bronze.feed"), "none": spark.range(0)})
     assert {r.table: r.rows for r in counts.collect()} == {"feed": 2, "none": 0}
