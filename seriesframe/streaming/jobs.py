@@ -87,11 +87,20 @@ def recover_late(
 ) -> DataFrame:
     """Merge late bars and bring the returns of the touched entities up to date.
 
-    Returns are recomputed for touched entities only, and written from their earliest
-    re-landed date on: no earlier return can have changed.
+    No return before an entity's earliest re-landed date can have changed, so returns are
+    recomputed from there on; of the older history only each entity's last bar is needed.
     """
-    upsert(spark, bars, batch, [ent, dt], dt, order_col, grain)
+    history = upsert(spark, bars, batch, [ent, dt], dt, order_col, grain).select(ent, dt, val, PERIOD)
     since = batch.groupBy(ent).agg(F.min(dt).alias("_since"))
-    history = read_table(spark, bars).select(ent, dt, val).join(since, ent)
-    fresh = returns(history, ent, dt, val).filter(F.col(dt) >= F.col("_since")).drop("_since", PERIOD)
+    first = since.agg(F.min("_since").alias("_first")).scalar()
+    recent = history.filter((F.col(PERIOD) >= F.trunc(first, "year")) & (F.col(dt) >= first))
+    changed = recent.join(since, ent).filter(F.col(dt) >= F.col("_since"))
+    base = (
+        history.join(since, ent)
+        .filter(F.col(dt) < F.col("_since"))
+        .groupBy(ent)
+        .agg(F.max_by(val, dt).alias(val), F.max(dt).alias(dt), F.max("_since").alias("_since"))
+    )
+    rows = changed.drop(PERIOD).unionByName(base)
+    fresh = returns(rows, ent, dt, val).filter(F.col(dt) >= F.col("_since")).drop("_since")
     return upsert(spark, gold, fresh, [ent, dt], dt, None, grain)

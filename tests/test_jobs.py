@@ -143,3 +143,39 @@ def test_stream_counts_equal_batch_counts(spark, tmp_path, sf_dir):
     want = jobs.sliding_counts(events, "ts", "event_type")
     cols = ["event_type", "window_start", "window_end", "count"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+
+
+def test_health_report(spark, built):
+    from datetime import datetime
+
+    from seriesframe.plans import health
+
+    _, _, gold = built
+    runs = spark.createDataFrame([(datetime(2024, 2, 12, 6), "schedule", "success", "success")], "ts timestamp_ntz, event string, status string, conclusion string")
+    incidents = spark.createDataFrame([], "opened timestamp_ntz, title string, state string")
+    now = F.to_timestamp_ntz(F.lit("2024-02-12 07:00:00"))
+    report = health.report(gold, runs, incidents, now)
+    status = {r.table: r.status for r in report["tables"].collect()}
+    assert status.pop("macro_snapshot") == "SEE PER-SERIES" and set(status.values()) == {"FRESH"} and len(status) == 8
+    assert [r.source for r in report["stale"].collect()] == []
+    assert report["verdict"].collect()[0].verdict == "HEALTHY"
+    late = health.report(gold, runs, incidents, F.to_timestamp_ntz(F.lit("2024-03-20 07:00:00")))
+    assert {"market_daily", "macro:cpi", "macro:10y_yield"} <= {r.source for r in late["stale"].collect()}
+    assert late["verdict"].collect()[0].verdict == "CHECK DATA"
+    assert {r.source for r in report["digest"].collect()} == {"market", "spread", "volatility", "macro", "attention", "levels", "counts"}
+
+
+def test_dashboard_panels(spark, built):
+    from seriesframe.plans import dashboard
+
+    _, _, gold = built
+    for days in (7, None):
+        shown = {name: df.collect() for name, df in dashboard.panel_tables(gold, days).items()}
+        assert [r.as_of for r in shown["as_of"]] == [D("2024-02-11")]
+        assert len(shown["sector_returns"]) == 2 and len(shown["spread"]) == 2 and len(shown["market"]) == 1
+        assert sum(r.share_pct for r in shown["basket_volume"]) == pytest.approx(100)
+        assert {r.label for r in shown["attention"]} == {"Topic x"} and {r.label for r in shown["growth"]} == {"er.x"}
+        first = gold["market_daily"].filter("symbol = 'IDX'").orderBy("date").collect()
+        kept = [r for r in first if days is None or r.date > D("2024-02-11") - timedelta(days=days)]
+        market = shown["market"][0]
+        assert (market.open, market.high, market.close) == (kept[0].open, max(r.high for r in kept), kept[-1].close)
