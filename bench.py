@@ -43,7 +43,7 @@ def build_tables(spark: SparkSession, sf_dir: str) -> None:
     for table in (lake.market_daily, lake.volatility, lake.spread, lake.indicators, lake.attention, lake.levels):
         table()
     lake.trailing_counts()
-    lake.part_bars()
+    lake.part_daily()
 
 
 def timed(spark: SparkSession, name: str, sf_dir: str) -> float:

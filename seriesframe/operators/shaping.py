@@ -55,11 +55,15 @@ def classify(
 
 
 def latest(df: DataFrame, by: Keys, dt: str) -> DataFrame:
-    """The row with the greatest date per entity; an aggregate, so one entity's rows stay spread."""
+    """The row with the greatest date per entity; an aggregate, so one entity's rows stay spread.
+
+    One `max_by` per column, all ordered by the date: they move in step and so pick the same
+    row, and with fixed-width columns Spark hashes instead of sorting.
+    """
     keys = as_keys(by)
     rest = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.col(dt)).alias("_row")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*df.columns)
+    newest = [(F.max(dt) if c == dt else F.max_by(c, dt)).alias(c) for c in rest]
+    return df.groupBy(*keys).agg(*newest).select(*df.columns)
 
 
 def trailing_count(events: DataFrame, cat: str, ts: str, days: int = 7, out: str = "count") -> DataFrame:

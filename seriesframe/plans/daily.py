@@ -103,7 +103,7 @@ def to_gold(
         return read_table(spark, f"{lake}/silver/{name}")
 
     def gold(name: str, df: DataFrame, dt: str, ent: str | None = None) -> DataFrame:
-        return write_table(df, f"{lake}/gold/{name}", dt, cluster=(ent,) if ent else ())
+        return write_table(df, f"{lake}/gold/{name}", dt, "month", (ent,) if ent else ())
 
     bars = gold("market_daily", market_daily(silver("market_data"), prev_dt="prev_date"), "date", "symbol")
     slim = bars.select("symbol", "category", "date", "volume", "daily_return")

@@ -166,6 +166,10 @@ class Lake:
             "market_daily", lambda: market_daily(self.bars(), prev_dt="prev_date"), "date", ("symbol",)
         )
 
+    def part_daily(self) -> DataFrame:
+        """Returns with every part as its own symbol."""
+        return self._table("part_daily", lambda: market_daily(self.part_bars(), prev_dt="prev_date"), "date", ("symbol",))
+
     def sector(self) -> DataFrame:
         return self.market_daily().filter(F.col("category") == "sector")
 

@@ -109,6 +109,15 @@ vol as (
   select symbol, category, date, case when seen >= 20 then dev end as rolling_volatility from vol_counted)""",
         ("ret",),
     ),
+    "part_vol": (
+        """
+part_counted as (
+  select *, count(daily_return) over (partition by symbol order by date) as seen,
+         stddev_samp(daily_return) over (partition by symbol order by date
+              rows between 19 preceding and current row) as dev
+  from part_ret)""",
+        ("part_ret",),
+    ),
     "bench_vol": (
         "bench_vol as (select symbol, date, rolling_volatility from vol where category = 'benchmark')",
         ("vol",),
@@ -388,6 +397,10 @@ ORACLE: dict[str, str] = {
     "rolling_volatility": _with(
         "select symbol, date, round(rolling_volatility, 6) as rolling_volatility from vol", "vol"
     ),
+    "rolling_volatility_by_part": _with(
+        "select symbol, date, round(case when seen >= 20 then dev end, 6) as rolling_volatility from part_counted",
+        "part_vol",
+    ),
     "basket_vs_benchmark": _with(
         "select date, round(basket_return, 6) as basket_return, round(benchmark_return, 6) as benchmark_return,"
         " round(spread, 6) as spread from spread",
@@ -411,6 +424,7 @@ join attention b on b.topic = f.topic and b.date = f.date""",
     "compound_return_30": _with(_compound("ret", 29), "ret"),
     "compound_return_90": _with(_compound("ret", 89), "ret"),
     "compound_return_all": _with(_compound("ret", None), "ret"),
+    "compound_return_90_by_part": _with(_compound("part_ret", 89), "part_ret"),
     "trailing_rows_7d": _with(
         "select symbol, date, close, volume from (select *, max(date) over (partition by symbol) as anchor from bars) w"
         " where date >= anchor - 7",
@@ -468,6 +482,15 @@ select symbol, value, cast(place as integer) as slot from placed where place <=
 union all select 'Other', cast(sum(value) as bigint), 7 from placed where place > 6 having count(*) > 0""",
         "bars",
     ),
+    "volume_board_by_part": _with(
+        """, sums as (select symbol, cast(sum(volume) as bigint) as value from part_bars group by symbol),
+placed as (select *, row_number() over (order by value desc, symbol) as place from sums),
+slots as (
+  select symbol, value, cast(place as integer) as slot from placed where place <= 10
+  union all select 'Other', cast(sum(value) as bigint), 11 from placed where place > 10 having count(*) > 0)
+select symbol, value, slot, round(value / (select sum(value) from sums) * 100, 6) as share_pct from slots""",
+        "part_bars",
+    ),
     "volume_share_30d": _with(
         f""", sums as ({_BASKET_SUMS}),
 placed as (select *, row_number() over (order by value desc, symbol) as place from sums),

@@ -89,6 +89,11 @@ def rolling_volatility(lake: Lake) -> DataFrame:
     return r6(returns.rolling_vol(lake.market_daily(), "symbol", "date"), "rolling_volatility")
 
 
+@query
+def rolling_volatility_by_part(lake: Lake) -> DataFrame:
+    return r6(returns.rolling_vol(lake.part_daily(), "symbol", "date"), "rolling_volatility")
+
+
 @query
 def basket_vs_benchmark(lake: Lake) -> DataFrame:
     rets = returns.returns(lake.bars().select("symbol", "category", "date", "close"), "symbol", "date", "close")
@@ -124,9 +129,9 @@ def count_history(lake: Lake) -> DataFrame:
 # --- panels -----------------------------------------------------------------------------------
 
 
-def _compound_return(days: int | None):
+def _compound_return(days: int | None, table: Callable[[Lake], DataFrame] = Lake.market_daily):
     def run(lake: Lake) -> DataFrame:
-        rets = lake.market_daily().select("symbol", "date", "daily_return", "prev_date", PERIOD)
+        rets = table(lake).select("symbol", "date", "daily_return", "prev_date", PERIOD)
         return r6(panels.compound_return(rets, "date", "daily_return", days, "symbol", "prev_date"), "value")
 
     return run
@@ -134,6 +139,7 @@ def _compound_return(days: int | None):
 
 for _days in panels.WINDOW_DAYS:
     register(f"compound_return_{_days or 'all'}", _compound_return(_days))
+register("compound_return_90_by_part", _compound_return(90, Lake.part_daily))
 
 
 @query
@@ -193,6 +199,12 @@ def top_n_other(lake: Lake) -> DataFrame:
     return panels.top_n_other(sums, "symbol", "value", 6)
 
 
+@query
+def volume_board_by_part(lake: Lake) -> DataFrame:
+    """Top parts of all time and the share of all others together."""
+    return r6(panels.volume_board(lake.part_bars(), "symbol", "date", "volume", None, 10), "share_pct")
+
+
 @query
 def volume_share_30d(lake: Lake) -> DataFrame:
     return r6(panels.volume_board(lake.basket(), "symbol", "date", "volume", 30), "share_pct")

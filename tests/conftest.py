@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[4]")
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
@@ -23,7 +23,8 @@ def spark(tmp_path_factory):
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.driver.memory", "6g")
-        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -131,6 +131,13 @@ def test_cohorts(spark):
     assert gap.gap_pts == pytest.approx(infra.final_return_pct - got["core"].final_return_pct)
 
 
+def test_cohort_from_a_dimension(spark):
+    df = spark.createDataFrame([("p", 1.0), ("q", 2.0), ("x", 9.0)], "symbol string, v double")
+    dim = spark.createDataFrame([("p", "core"), ("p", "infra"), ("q", "infra")], "symbol string, cohort string")
+    got = findings.cohort(df, "symbol", dim)
+    assert sorted((r.cohort, r.symbol) for r in got.collect()) == [("core", "p"), ("infra", "p"), ("infra", "q")]
+
+
 def test_product_of_returns_is_last_over_first(spark, series, days):
     from seriesframe.operators.returns import returns
 
