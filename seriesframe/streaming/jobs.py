@@ -6,12 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesframe.operators.returns import returns
 from seriesframe.sources.tables import PERIOD, read_table
 from seriesframe.sources.upsert import upsert
 
 
+def stream_landing(
+    spark: SparkSession, folder: str, schema: T.StructType | str, one_per_file: bool = True, files_per_batch: int = 1000
+) -> DataFrame:
+    """Landed documents as a stream; the row rules for batch documents apply to it unchanged."""
+    return (
+        spark.readStream.schema(schema)
+        .option("multiLine", one_per_file)
+        .option("mode", "FAILFAST")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .json(folder)
+    )
+
+
 def stream_upsert(
     spark: SparkSession,
     source: DataFrame,

@@ -121,6 +121,23 @@ def test_stream_upsert_equals_batch_and_continues(spark, tmp_path):
         assert sorted((r.symbol, r.date.day, r.close) for r in step().collect()) == want
 
 
+def test_landed_documents_stream_into_the_table(spark, tmp_path):
+    from seriesframe.sources.landing import explode_records, type_cols
+
+    folder = tmp_path / "landing"
+    target, offsets = str(tmp_path / "bars"), str(tmp_path / "offsets")
+    counts = []
+    for run_day in (D("2024-02-10"), D("2024-02-11"), D("2024-02-12")):
+        folder.mkdir(exist_ok=True)
+        _land(folder / str(run_day), run_day)
+        docs = jobs.stream_landing(spark, f"{folder}/*/market_data.json", daily.BARS_DOCUMENT, files_per_batch=1)
+        rows = type_cols(explode_records(docs), daily.BAR_TYPES)
+        table = jobs.stream_upsert(spark, rows, target, ["symbol", "date"], "date", offsets, "fetched_at")
+        counts.append(table.count())
+    assert counts == [18, 24, 30]
+    assert {r.fetched_at.day for r in table.filter("date = '2024-02-09'").collect()} == {12}
+
+
 def test_late_bars_fill_the_gap_and_its_neighbour(spark, tmp_path, series, days):
     bars_at, gold_at = str(tmp_path / "bars"), str(tmp_path / "gold")
     all_days = days("2024-01-28", 8)
