@@ -83,7 +83,7 @@ def test_anchor_is_per_entity_for_deltas_and_shared_for_sums(series):
 
 
 def test_level_growth_vector(series):
-    stars = {"ollama": [("2026-08-15", 100.0), ("2026-08-21", 672.0), ("2026-08-22", 745.0)]}
+    stars = {"tool": [("2026-08-15", 100.0), ("2026-08-21", 672.0), ("2026-08-22", 745.0)]}
     df = series(stars)
     assert _one(panels.level_delta(df, "symbol", "date", "value", 7)).value == 645.0
     assert _one(panels.level_delta(df, "symbol", "date", "value", 1)).value == 73.0
