@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesframe.llm import byte_bpe, packing
 from seriesframe.llm.exact_dedup import exact_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +43,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of its group of equal texts."""
     return exact_dedup(documents(spark, sf_dir)).withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
+
+
+@query()
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the bytes decoded from them."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, path, public_tokenizers.PATTERN).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and the sequence it fills."""
+    pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket"
+    )
