@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesframe.llm import byte_bpe, packing
+from seriesframe.llm import byte_bpe, packing, quality
 from seriesframe.llm.exact_dedup import exact_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket"
     )
+
+
+@query()
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, score and verdict of every document."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.quality_rules(documents(spark, sf_dir), labels)

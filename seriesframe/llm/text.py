@@ -63,6 +63,7 @@ class Words:
 
     starts: np.ndarray
     ends: np.ndarray
+    hashes: np.ndarray
     rows: np.ndarray
 
     @property
@@ -71,7 +72,7 @@ class Words:
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Word spans of texts laid end to end."""
+    """Word spans and hashes of texts laid end to end."""
     inside = ~_IS_SPACE[data]
     begins, finishes = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -81,7 +82,8 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     begins[edges] = inside[edges]
     finishes[edges - 1] = inside[edges - 1]
     starts = np.flatnonzero(begins)
-    return Words(starts, np.flatnonzero(finishes) + 1, np.searchsorted(starts, offsets).astype(np.int64))
+    ends = np.flatnonzero(finishes) + 1
+    return Words(starts, ends, span_hashes(data, starts, ends), np.searchsorted(starts, offsets).astype(np.int64))
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
@@ -117,15 +119,3 @@ def whole_windows(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]
     counts = np.maximum(np.diff(rows) - width + 1, 0)
     first = np.cumsum(counts) - counts
     return np.arange(int(counts.sum())) - np.repeat(first, counts) + np.repeat(rows[:-1], counts), counts
-
-
-def binary(blob: np.ndarray, width: int) -> pa.Array:
-    """A binary column from an (n, width) byte array."""
-    blob = np.ascontiguousarray(blob, np.uint8)
-    n = len(blob)
-    ends = np.arange(n + 1, dtype=np.int64) * width
-    return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(blob.tobytes())])
-
-
-def strings_of(column: pa.Array) -> list[str]:
-    return column.to_pylist()
