@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesframe.llm import byte_bpe, packing, quality
+from seriesframe.llm import byte_bpe, language_id, packing, quality, secrets
 from seriesframe.llm.exact_dedup import exact_dedup
+from seriesframe.llm.work import fresh
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -72,3 +73,30 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, score and verdict of every document."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.quality_rules(documents(spark, sf_dir), labels)
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document, from a model that has seen three quarters of them."""
+    docs = documents(spark, sf_dir)
+    model = language_id.fit(docs.filter(~language_id.held_out()))
+    return language_id.predict(docs, model).withColumn("held_out", language_id.held_out())
+
+
+@query()
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of every document, from a ledger of blobs that begins empty."""
+    docs = documents(spark, sf_dir)
+    ledger = secrets.Ledger(spark, fresh(spark, "secret-ledger"))
+    secrets.update(ledger, docs)
+    found = secrets.findings(ledger, docs)
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in secrets.BASE),
+        F.sha2(secrets.joined(F.col("spans"), secrets.BASE).cast("binary"), 256).alias("base_sha256"),
+        secrets.joined(F.col("spans")).alias("spans"),
+    )
