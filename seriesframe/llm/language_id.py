@@ -163,10 +163,12 @@ def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def label(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and ambiguity of each text."""
+    if not model.languages:
+        return [UND] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
     buckets, rows = grams(texts)
     sums = np.add.reduceat(model.weights[buckets], rows[:-1], axis=0, dtype=np.float64)
     best, score, unsure = decode(model, sums / (np.diff(rows) + NEUTRAL)[:, None])
-    lettered = np.array([bool(model.languages) and bool(_LETTER.search(t)) for t in texts], bool)
+    lettered = np.array([bool(_LETTER.search(t)) for t in texts], bool)
     names = [model.languages[b] if ok else UND for b, ok in zip(best, lettered, strict=True)]
     return names, np.where(lettered, np.round(score, 9), 0.0), unsure | ~lettered
 
