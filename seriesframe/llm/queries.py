@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesframe.llm import byte_bpe, language_id, packing, quality, secrets
+from seriesframe.llm import byte_bpe, html_extraction, language_id, packing, quality, secrets
 from seriesframe.llm.exact_dedup import exact_dedup
 from seriesframe.llm.work import fresh
 
@@ -100,3 +100,10 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.joined(F.col("spans"), secrets.BASE).cast("binary"), 256).alias("base_sha256"),
         secrets.joined(F.col("spans")).alias("spans"),
     )
+
+
+@query()
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html_extraction.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
