@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesframe.llm import byte_bpe, html_extraction, language_id, packing, quality, secrets
+from seriesframe.llm import byte_bpe, html_extraction, language_id, packing, quality, secrets, substring_dedup
 from seriesframe.llm.exact_dedup import exact_dedup
 from seriesframe.llm.work import fresh
 
@@ -107,3 +107,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return html_extraction.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query()
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without its repeated windows of 35 words."""
+    left = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
