@@ -12,6 +12,7 @@ cut; rows that repeat an id give pieces of their own; only the id and text colum
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,34 +23,62 @@ from tokenizers import Tokenizer
 
 from seriesframe.llm.text import slices
 
-#: Words whose ids a worker remembers; it starts anew beyond.
-REMEMBERED = 300_000
+#: Words and parts of words whose ids a worker remembers; it starts anew beyond.
+REMEMBERED = 800_000
 #: Bits below the bucket in sequence_id; Spark's row numbers (task, row) stay below for 2**26 tasks.
 BUCKET_SHIFT = 59
 
+#: Latin letters whose lower case is one letter, then ASCII punctuation without the apostrophe.
+_LATIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž]+)([!-&(-/:-@\[-`{-~]*)")
+
 
 class WordIds:
     """Ids of whole texts, word by word, as packed little-endian unsigned 32-bit integers.
 
     The tokenizer drops white space and merges only inside words, so a text's ids are those of its blank-separated words
-    one after another. A worker encodes each new word once.
+    one after another. A worker encodes each new word once. Letters of the Latin alphabets with ASCII punctuation behind
+    them, which normalisation only lower-cases and the tokenizer's pattern cuts in two, go straight to the library's
+    merges; every other word goes through the whole tokenizer.
     """
 
     def __init__(self, tokenizer_json: str):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
+        self.merge = self.tokenizer.model.tokenize
+        self.visible = str.maketrans(_byte_letters())
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        new = list(set().union(*split).difference(self.known)) if split else []
+        if len(self.known) + len(self.parts) > REMEMBERED:
+            self.forget()
+        new = set().union(*split).difference(self.known)
         if new:
             self._learn(new)
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: set[str]) -> None:
+        others = []
+        for word in new:
+            if cut := _LATIN.fullmatch(word):
+                self.known[word] = self._part(cut[1].lower()) + self._part(cut[2])
+            else:
+                others.append(word)
+        if others:
+            self._learn_others(others)
+
+    def _part(self, letters: str) -> bytes:
+        ids = self.parts.get(letters)
+        if ids is None:
+            seen = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.visible)
+            ids = self.parts[letters] = np.array([t.id for t in self.merge(seen)], "<u4").tobytes()
+        return ids
+
+    def _learn_others(self, new: list[str]) -> None:
         found = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
         ids = np.array(found.ids, "<u4")
         begins = np.array([begin for begin, _ in found.offsets], np.int64)
@@ -60,6 +89,13 @@ class WordIds:
             self.known[word] = packed[a:b]
 
 
+def _byte_letters() -> dict[str, str]:
+    """The letters that stand for bytes before merges: printable Latin-1 for themselves, the others from U+0100 on."""
+    shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): chr(b) for b in shown} | {chr(b): chr(256 + n) for n, b in enumerate(hidden)}
+
+
 def lengths_of(n: int, longest: int) -> list[int]:
     """Piece lengths of a document of n tokens."""
     rest = n % longest

@@ -16,6 +16,8 @@ from seriesframe.llm.queries import QUERIES
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+with open(WORDS, encoding="utf-8") as f:
+    KNOWN = packing.WordIds(f.read())
 EDGES = [
     None, "", " ", "\n\n\n", "a", "'s", "it's  'll don't 've", "x" * 50_000, " " * 20_000 + "end", "\t\t mixed \x0b\x0c\x1c\x85",
     "é" * 9_999, "日本語の文章。" * 999, "🙂👍🏽 " * 500, "0123456789" * 3000, "a1b2 c3!?--\r\n" * 700, "́́ é Ǆ İ ß ſ K",
@@ -74,6 +76,20 @@ def test_lengths(n):
     assert len(rest) == len(set(rest))
 
 
+@given(st.text(alphabet=st.sampled_from("aBÉßŸıİſΣé'.,!<|_́ \n\t1x"), max_size=60) | st.text(max_size=60))
+@settings(max_examples=600, deadline=None)
+def test_words_are_the_tokenizer(text):
+    ids = np.frombuffer(KNOWN.encode([text])[0], "<u4").tolist()
+    assert ids == KNOWN.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_all_latin_letters():
+    for code in range(0x21, 0x180):
+        for text in (chr(code) * 3, f"a{chr(code)}b", f"a{chr(code)}"):
+            ids = np.frombuffer(KNOWN.encode([text])[0], "<u4").tolist()
+            assert ids == KNOWN.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def check_pieces(rows, texts):
     """Every id of every document lies in one piece, and every sequence is one full power of two."""
     whole = Tokenizer.from_file(WORDS)
