@@ -228,7 +228,8 @@ def remove_repeats(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     ).select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
     every = paths(rows.select("key", "text"), window, kmer)
-    often = every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # keys are written before they are joined: only a join of two plain shuffles is split where a key is hot
+    often = stage(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "anchors")
     repeated = stage(every.join(often, "anchor", "left_semi"), "paths")
 
     distinct = stage(
@@ -237,11 +238,12 @@ def remove_repeats(
         ),
         "distinct-paths",
     )
-    branching = (
+    branching = stage(
         distinct.groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("branches"), F.min("occ").alias("least"))
         .filter("branches > 1 and least = 1")
-        .select("anchor")
+        .select("anchor"),
+        "branching",
     )
     requests = (
         distinct.join(branching, "anchor", "left_semi")
@@ -250,7 +252,9 @@ def remove_repeats(
     )
     packed = _packed(rows)
     windows = stage(unfold(packed.join(requests, "key"), window), "windows")
-    shared = windows.groupBy("path", "path2").agg(F.sum("occ").alias("all")).filter("all > 1").select("path", "path2")
+    shared = stage(
+        windows.groupBy("path", "path2").agg(F.sum("occ").alias("all")).filter("all > 1").select("path", "path2"), "shared"
+    )
     single = windows.filter("occ = 1").join(shared, ["path", "path2"], "left_semi")
     whole = repeated.join(distinct.filter("occ > 1").select("path", "path2"), ["path", "path2"], "left_semi")
     spans = (
