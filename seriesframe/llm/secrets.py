@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesframe.llm.text import slices
+from seriesframe.llm.work import stage
 
 Span = tuple[int, int]
 
@@ -163,7 +164,7 @@ def findings(ledger: Ledger, versions: DataFrame, id_col: str = "doc_id", text_c
     """doc_id, blob and the spans of the current rules, by start and then kind, for every path in `versions`."""
     rules = rules or RULES
     rank = F.create_map(*(F.lit(x) for i, k in enumerate(rules) for x in (f"{k}@{rules[k][0]}", i)))
-    spans = (
+    spans = stage(
         ledger.read()
         .groupBy("blob")
         .agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
@@ -184,7 +185,8 @@ def findings(ledger: Ledger, versions: DataFrame, id_col: str = "doc_id", text_c
                     ),
                 )
             ),
-        )
+        ),
+        "blob-spans",  # written, so that the join below may be split where many paths hold one blob
     )
     paths = versions.select(
         F.col(id_col).cast("long").alias("doc_id"),
