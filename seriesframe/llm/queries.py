@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesframe.llm import byte_bpe, html_extraction, language_id, packing, quality, secrets, substring_dedup
+from seriesframe.llm import byte_bpe, html_extraction, language_id, line_dedup, packing, quality, secrets, substring_dedup
 from seriesframe.llm.exact_dedup import exact_dedup
 from seriesframe.llm.work import fresh
 
@@ -114,3 +114,9 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without its repeated windows of 35 words."""
     left = substring_dedup.remove_repeats(documents(spark, sf_dir))
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query()
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document with its class of near lines, and whether it stays."""
+    return line_dedup.line_dedup(documents(spark, sf_dir))
