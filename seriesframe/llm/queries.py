@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesframe.llm import byte_bpe, html_extraction, language_id, line_dedup, packing, quality, secrets, substring_dedup
+from seriesframe.llm import byte_bpe, html_extraction, language_id, line_dedup, ngram_join, packing, quality, secrets, substring_dedup
 from seriesframe.llm.exact_dedup import exact_dedup
 from seriesframe.llm.work import fresh
 
@@ -120,3 +120,9 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document with its class of near lines, and whether it stays."""
     return line_dedup.line_dedup(documents(spark, sf_dir))
+
+
+@query()
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near duplicates and its number of links."""
+    return ngram_join.ngram_join(documents(spark, sf_dir))
