@@ -160,11 +160,11 @@ def update(ledger: Ledger, versions: DataFrame, text_col: str = "text", rules=No
     ledger.append(scan(pending.select("blob", "text", "rules"), rules))
 
 
-def findings(ledger: Ledger, versions: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=None) -> DataFrame:
-    """doc_id, blob and the spans of the current rules, by start and then kind, for every path in `versions`."""
+def blob_spans(ledger: Ledger, rules=None) -> DataFrame:
+    """blob and the spans (start, rank, end, kind) of the current rules, by start and then kind."""
     rules = rules or RULES
     rank = F.create_map(*(F.lit(x) for i, k in enumerate(rules) for x in (f"{k}@{rules[k][0]}", i)))
-    spans = stage(
+    return stage(
         ledger.read()
         .groupBy("blob")
         .agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
@@ -186,13 +186,17 @@ def findings(ledger: Ledger, versions: DataFrame, id_col: str = "doc_id", text_c
                 )
             ),
         ),
-        "blob-spans",  # written, so that the join below may be split where many paths hold one blob
+        "blob-spans",  # written, so that a join on them may be split where many paths hold one blob
     )
+
+
+def findings(ledger: Ledger, versions: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=None) -> DataFrame:
+    """doc_id, blob and the spans of the current rules for every path in `versions`."""
     paths = versions.select(
         F.col(id_col).cast("long").alias("doc_id"),
         address(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("blob"),
     )
-    return paths.join(spans, "blob", "left")
+    return paths.join(blob_spans(ledger, rules), "blob", "left")
 
 
 def joined(spans, kinds: tuple[str, ...] | None = None):
@@ -203,31 +207,25 @@ def joined(spans, kinds: tuple[str, ...] | None = None):
     )
 
 
-def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", rules=None) -> DataFrame:
-    """The rows, with all their columns, with the finders' spans in the text replaced by a mark.
+def redacted(docs: DataFrame, ledger: Ledger, text_col: str = "text", mark: str = "[SECRET]", rules=None) -> DataFrame:
+    """The rows, with all their columns, with the ledger's findings in the text replaced by a mark.
 
     Overlapping spans are replaced together; a null text stays null.
     """
-    finders = [finder for _, finder in (rules or RULES).values()]
-    columns = docs.columns
-    place = columns.index(text_col)
+    text = F.col(f"_row.{text_col}").cast("string")
+    begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                texts = [None if t is None else _masked(t, finders, mark) for t in part.column(place).to_pylist()]
-                arrays = list(part.columns)
-                arrays[place] = pa.array(texts, arrays[place].type)
-                yield pa.RecordBatch.from_arrays(arrays, names=columns)
-
-    return docs.mapInArrow(run, docs.schema)
-
-
-def _masked(text: str, finders, mark: str) -> str:
-    parts, at = [], 0
-    for begin, end in sorted(span for finder in finders for span in finder(text)):
-        if begin >= at:
-            parts += [text[at:begin], mark]
-        at = max(at, end)
-    return "".join([*parts, text[at:]])
+    def replace(done, span):
+        gap = F.substring(text, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
+        out = F.when(span["start"] >= done["at"], F.concat(done["out"], gap, F.lit(mark))).otherwise(done["out"])
+        return F.struct(out.alias("out"), F.greatest(done["at"], span["end"]).alias("at"))
+
+    def rest(done):
+        return F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
+
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"),
+        address(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("blob"),
+    ).join(blob_spans(ledger, rules), "blob", "left")
+    masked = F.when(F.size("spans") > 0, F.aggregate("spans", begin, replace, rest)).otherwise(text)
+    return rows.select(*(masked.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns))

@@ -101,9 +101,11 @@ def test_ledger_scans_only_what_is_new(spark, docs):
     assert report(more, ledger, newer) == {(1, "hex:0:1"), (3, "hex:0:1")}
 
 
-def test_redacted(docs):
-    rows = [(1, "a token=abcdefghijklmnop deadbeefdeadbeef z"), (2, None), (3, "clean"), (4, "api_key=deadbeefdeadbeef00")]
+def test_redacted(spark, docs):
+    rows = [(1, "a token=abcdefghijklmnop deadbeefdeadbeef z"), (2, None), (3, "clean"), (4, "é api_key=deadbeefdeadbeef00"), (5, "")]
     table = docs(rows)
-    out = secrets.redacted(table)
+    ledger = secrets.Ledger(spark, fresh(spark, "ledger"))
+    secrets.update(ledger, table)
+    out = secrets.redacted(table, ledger)
     assert out.columns == table.columns
-    assert {r.doc_id: r.text for r in out.collect()} == {1: "a [SECRET] [SECRET] z", 2: None, 3: "clean", 4: "[SECRET]"}
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "a [SECRET] [SECRET] z", 2: None, 3: "clean", 4: "é [SECRET]", 5: ""}
