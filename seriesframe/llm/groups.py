@@ -38,7 +38,7 @@ def gathered(frame: DataFrame, keys: list[str]) -> DataFrame:
     return frame.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def runs(batches: Iterator[pa.RecordBatch], keys: int, weight: int = 1 << 22) -> Iterator[tuple[pa.Table, np.ndarray]]:
+def runs(batches: Iterator[pa.RecordBatch], keys: int, weight: int = 1 << 20) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Whole groups of rows with equal values in the first `keys` columns: (table, offsets of the groups in it).
 
     Groups are handed on in lots of several, as soon as `weight` bytes are there.

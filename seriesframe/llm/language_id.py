@@ -34,7 +34,7 @@ NEUTRAL = 8
 #: How sharply a loss difference turns into a score, and the score distance of an ambiguous text.
 SHARPNESS, AMBIGUOUS = 6.0, 0.2
 #: Bytes of text whose n-grams are in memory at once.
-SLICE = 1 << 18
+SLICE = 1 << 16
 #: Unknown language.
 UND = "und"
 
@@ -109,7 +109,7 @@ def language_counts(train: DataFrame, languages: list[str]) -> np.ndarray:
         total = np.zeros((len(languages), size), np.int64)
         for batch in batches:
             langs = np.array([languages.index(x) for x in batch.column(0).to_pylist()], np.int64)
-            for low, high, _, _ in slices(batch.column(1)):
+            for low, high, _, _ in slices(batch.column(1), SLICE):
                 buckets, rows = grams(batch.column(1).slice(low, high - low).to_pylist())
                 cells = buckets + np.repeat(langs[low:high], np.diff(rows)) * size
                 total += np.bincount(cells, minlength=total.size).reshape(total.shape)

@@ -34,8 +34,10 @@ from seriesframe.llm.work import stage
 NGRAM, SIMILARITY, TOLERANCE = 5, 0.8, 1e-6
 #: Bands and values per band of a signature; values compared in a round.
 BANDS, ROWS, ROUND = 40, 5, 25
+#: Bytes of text whose runs are in memory at once.
+SLICE = 1 << 18
 #: Members of a block of a bucket, and members and characters of a block of a group.
-BUCKET_BLOCK, GROUP_BLOCK, GROUP_CHARS = 1024, 256, 8 << 20
+BUCKET_BLOCK, GROUP_BLOCK, GROUP_CHARS = 1024, 256, 2 << 20
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +99,7 @@ def survivors(a: np.ndarray, b: np.ndarray, signs: np.ndarray, similarity: float
     return alive
 
 
-def _pairs(edges, blk, same, lot: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pairs(edges, blk, same, lot: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The pairs of rows that meet in each group, in lots."""
     left, right, waiting = [], [], 0
     for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
@@ -121,7 +123,7 @@ def signed(texts: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in slices(batch.column(1)):
+            for low, high, data, offsets in slices(batch.column(1), SLICE):
                 found, rows = shingles(data, offsets, n)
                 size = np.diff(rows)
                 rep, signs = np.zeros(len(size), np.uint64), []
@@ -284,7 +286,7 @@ def _of_rep(whole: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in slices(batch.column(1)):
+            for low, high, data, offsets in slices(batch.column(1), SLICE):
                 found, rows = shingles(data, offsets, n)
                 own = [
                     mix(np.array([np.sum(mix(found[x:y] + np.uint64(77)), dtype=np.uint64) + np.uint64(y - x)]))[0]
