@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from seriesframe.functions.columns import compound
 from seriesframe.functions.ordered import CHUNK, Keys, as_keys, chunk_of, with_prev
 from seriesframe.operators.shaping import latest
-from seriesframe.sources.tables import PERIOD
+from seriesframe.sources.tables import PERIOD, period_of
 
 # The window choices, in days; None is the whole history.
 WINDOW_DAYS = (1, 7, 30, 90, None)
@@ -25,32 +25,33 @@ def span_days(days: int | None) -> int | None:
     return None if days is None else max(days - 1, 0)
 
 
-def _since(df: DataFrame, dt: str, floor: Column) -> DataFrame:
-    """Rows from `floor` on; on a period-partitioned table whole partitions are skipped."""
+def _since(df: DataFrame, dt: str, floor: Column, grain: str | None = None) -> DataFrame:
+    """Rows from `floor` on. With the grain of a period-partitioned table whole partitions are skipped."""
     kept = df.filter(F.col(dt) >= floor)
-    return kept.filter(F.col(PERIOD) >= F.trunc(floor, "year")) if PERIOD in df.columns else kept
+    return kept.filter(F.col(PERIOD) >= period_of(floor, grain)) if grain else kept
 
 
-def trail(df: DataFrame, dt: str, days: int | None, by: Keys = None) -> DataFrame:
+def trail(df: DataFrame, dt: str, days: int | None, by: Keys = None, grain: str | None = None) -> DataFrame:
     """Rows with dt >= latest dt - days, the latest taken over the frame or per entity.
 
     The shared anchor is a scalar subquery, evaluated before the scan. Per-entity cut-offs
     are joined on (entity, chunk), which spreads an entity with many rows; the lowest
-    cut-off is applied first as a plain filter.
+    cut-off is applied first as a plain filter. `grain` tells that `df` is a table by periods of
+    that length; without it a column named like the period is a column as any other.
     """
     if days is None:
         return df
     keys = as_keys(by)
     if not keys:
         newest = df.agg(F.max(dt).alias("_anchor")).scalar()
-        return _since(df, dt, F.date_sub(newest, days))
+        return _since(df, dt, F.date_sub(newest, days), grain)
     ends = df.groupBy(*keys).agg(F.max(dt).alias("_anchor")).withColumn("_cutoff", F.date_sub("_anchor", days))
     floor = ends.agg(F.min("_cutoff").alias("_floor")).scalar()
     chunks = F.sequence(chunk_of(df, dt, F.col("_cutoff")), chunk_of(df, dt, F.col("_anchor")))
     limits = ends.filter(F.col("_anchor").isNotNull()).select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], "_cutoff", F.explode(chunks).alias("_c")
     )
-    cut = _since(df, dt, floor).withColumn(CHUNK, chunk_of(df, dt))
+    cut = _since(df, dt, floor, grain).withColumn(CHUNK, chunk_of(df, dt))
     match = F.col(CHUNK) == F.col("_c")
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))

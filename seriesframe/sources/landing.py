@@ -28,8 +28,8 @@ def read_landing_text(spark: SparkSession, path: str | list[str], one_per_file:
 def read_published(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str, array_file: bool = True
 ) -> DataFrame:
-    """A published table: a JSON array of row objects, or the line-delimited export."""
-    return spark.read.schema(schema).option("multiLine", array_file).json(path)
+    """A published table: a JSON array of row objects, or the line-delimited export; a broken row fails the job."""
+    return spark.read.schema(schema).option("multiLine", array_file).option("mode", "FAILFAST").json(path)
 
 
 def explode_records(df: DataFrame, records: str = "records", carry: Sequence[str] = ("fetched_at",)) -> DataFrame:

@@ -16,17 +16,25 @@ PERIOD = "period"
 WHOLE_TABLE = ("partitionOverwriteMode", "static")
 
 
-def _is_path(target: str) -> bool:
+def is_path(target: str) -> bool:
     return "/" in target
 
 
+def location(spark: SparkSession, target: str) -> str:
+    """The folder of a table."""
+    if is_path(target):
+        return target.rstrip("/")
+    details = spark.sql(f"DESCRIBE FORMATTED {target}").filter("col_name = 'Location'")
+    return details.first().data_type.rstrip("/")
+
+
 def ensure_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`")
 
 
 def find_table(spark: SparkSession, target: str) -> DataFrame | None:
     """The table, or None before its first write."""
-    if not _is_path(target):
+    if not is_path(target):
         return spark.table(target) if spark.catalog.tableExists(target) else None
     try:
         return spark.read.parquet(target)
@@ -38,7 +46,7 @@ def find_table(spark: SparkSession, target: str) -> DataFrame | None:
 
 def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
     """The table; a schema that is known already saves reading the footers for it."""
-    if not _is_path(target):
+    if not is_path(target):
         return spark.table(target)
     return (spark.read.schema(schema) if schema else spark.read).parquet(target)
 
@@ -46,11 +54,11 @@ def read_table(spark: SparkSession, target: str, schema: T.StructType | None = N
 def write_snapshot(df: DataFrame, target: str) -> None:
     """Replace rows and schema by this run's."""
     writer = df.write.mode("overwrite").option(*WHOLE_TABLE).format("parquet")
-    writer.save(target) if _is_path(target) else writer.saveAsTable(target)
+    writer.save(target) if is_path(target) else writer.saveAsTable(target)
 
 
 def period_of(dt: Column, grain: str = "month") -> Column:
-    return F.trunc(dt, grain)
+    return dt if grain == "day" else F.trunc(dt, grain)
 
 
 def write_table(df: DataFrame, target: str, dt: str | None = None, grain: str = "year", cluster: tuple = ()) -> DataFrame:
@@ -64,7 +72,7 @@ def write_table(df: DataFrame, target: str, dt: str | None = None, grain: str =
         return read_table(df.sparkSession, target, nullable(df.schema))
     laid_out = by_period(df.withColumn(PERIOD, period_of(F.col(dt), grain)), [dt, *cluster])
     writer = laid_out.write.mode("overwrite").option(*WHOLE_TABLE).format("parquet").partitionBy(PERIOD)
-    writer.save(target) if _is_path(target) else writer.saveAsTable(target)
+    writer.save(target) if is_path(target) else writer.saveAsTable(target)
     return read_table(df.sparkSession, target, nullable(laid_out.schema))
 
 

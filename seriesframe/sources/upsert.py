@@ -7,8 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesframe.sources.tables import PERIOD, by_period, find_table, nullable, period_of, read_table, write_table
-from seriesframe.sources.workspace import new_path
+from seriesframe.sources.tables import (
+    PERIOD,
+    by_period,
+    find_table,
+    is_path,
+    location,
+    nullable,
+    period_of,
+    read_table,
+    write_table,
+)
+from seriesframe.sources.workspace import Folder, new_path
+
+#: Where a merge waits inside its table; readers skip names that begin with an underscore.
+PENDING = "_pending_merge"
 
 
 def _all_keys(keys: Sequence[str]) -> Column:
@@ -48,20 +61,66 @@ def merge_rows(
     """Target rows replaced by updates with equal keys, new keys added.
 
     NULL keys match nothing, so such updates are added every time; their rows stay out of
-    the join. An update's NULL overwrites a value unless `keep_non_null` is set.
+    the join. An update's NULL overwrites a value unless `keep_non_null` is set. Columns that
+    the updates lack keep their values by key, and are NULL in new rows.
     """
     fresh = latest_per_key_set(updates, keys, order_col)
-    if keep_non_null:
-        value_cols = [c for c in fresh.columns if c not in keys]
-        old = target.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in value_cols])
-        fresh = fresh.join(old.filter(_all_keys(keys)), list(keys), "left").select(
-            *keys, *[F.coalesce(F.col(c), F.col(f"_old_{c}")).alias(c) for c in value_cols]
+    held = [c for c in target.columns if c not in updates.columns]
+    given = [c for c in fresh.columns if c not in keys and c in target.columns]
+    if held or keep_non_null:
+        old = target.filter(_all_keys(keys)).select(*keys, *[F.col(c).alias(f"_old_{c}") for c in target.columns if c not in keys])
+        fresh = fresh.join(old, list(keys), "left").select(
+            *keys,
+            *[(F.coalesce(F.col(c), F.col(f"_old_{c}")) if keep_non_null else F.col(c)).alias(c) for c in given],
+            *[F.col(f"_old_{c}").alias(c) for c in held],
         )
     whole = _all_keys(keys)
     kept = target.filter(whole).join(fresh.filter(whole).select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(target.filter(~whole)).unionByName(fresh.select(*target.columns))
 
 
+def _check_columns(table: DataFrame, updates: DataFrame, columns: Sequence[str] | None, order_col: str | None) -> None:
+    """Fail before anything is written if the updates do not fit the table."""
+    have, given = set(table.columns) - {PERIOD}, set(updates.columns)
+    if columns is None and have != given:
+        raise ValueError(
+            f"the updates lack {sorted(have - given)} and add {sorted(given - have)}; name `columns` to update only some"
+        )
+    if columns is not None and not set(columns) <= have & given:
+        raise ValueError(f"not in the table and the updates alike: {sorted(set(columns) - (have & given))}")
+    if order_col and order_col not in given:
+        raise ValueError(f"the updates have no column {order_col}")
+
+
+def _replace_periods(rows: DataFrame, target: str, order: Sequence[str]) -> None:
+    """Replace the periods that occur in `rows`; Spark moves them in when its whole job has succeeded."""
+    laid_out = by_period(rows, order)
+    if is_path(target):
+        writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(PERIOD).parquet(target)
+        return
+    conf, name = rows.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(name)
+    conf.set(name, "dynamic")
+    try:
+        laid_out.write.insertInto(target, overwrite=True)
+    finally:
+        conf.set(name, before)
+
+
+def recover(spark: SparkSession, target: str, keys: Sequence[str], dt: str) -> None:
+    """Finish or forget the merge that a lost driver has left in the table's folder."""
+    pending = Folder(spark, f"{location(spark, target)}/{PENDING}")
+    if not pending.exists():
+        return
+    if pending.exists("_SUCCESS"):
+        table = read_table(spark, target)
+        merged = spark.read.schema(table.schema).parquet(pending.path).select(*table.columns)
+        _replace_periods(merged, target, [dt, *[k for k in keys if k != dt]])
+    pending.delete()
+    Folder(spark, location(spark, target)).delete_children(".spark-staging-")
+
+
 def upsert(
     spark: SparkSession,
     target: str,
@@ -71,42 +130,48 @@ def upsert(
     order_col: str | None = None,
     grain: str = "month",
     keep_non_null: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Merge `updates` into the table at `target`, which is created on the first run.
-
-    Only the periods the updates touch are read and rewritten. Dynamic overwrite writes the
-    merged periods beside the old ones and swaps them when the whole job has succeeded, so a
-    lost executor only repeats its tasks. For a merge the updates are written to the shared
-    folder first, because they are read several times. `dt` has to be one of the keys: a row's
-    period then never changes.
+    """Merge `updates` into the table `target` (a path or a catalog name), which is created on the first run.
+
+    The updates have the table's columns, or the call fails before it writes. With `columns` only
+    these are updated; the others keep their values. Only the periods the updates touch are read
+    and rewritten. The merged periods are first written whole into a folder inside the table that
+    readers do not see, and then replace the old ones. A driver lost before that has changed
+    nothing; one lost later leaves the complete merged periods, and the next call puts them in
+    place before it begins. A lost executor only repeats its tasks. Two writers at once are not
+    supported. `dt` has to be one of the keys: a row's period then never changes.
     """
     if dt not in keys:
         raise ValueError(f"{dt} must be one of the keys")
     order = [dt, *[k for k in keys if k != dt]]
-    table = find_table(spark, target)
-    placed = updates.withColumn(PERIOD, period_of(F.col(dt), grain))
-    if table is None:
+    if find_table(spark, target) is None:
         return write_table(latest_per_key_set(updates, keys, order_col), target, dt, grain, tuple(order[1:]))
+    recover(spark, target, keys, dt)
+    table = find_table(spark, target)
+    _check_columns(table, updates, columns, order_col)
+    if columns is not None:
+        updates = updates.select(*dict.fromkeys([*keys, *columns, *([order_col] if order_col else [])]))
 
-    staged_updates = new_path(spark, "updates")
-    placed.write.parquet(staged_updates)
-    batch = read_table(spark, staged_updates, nullable(placed.schema))
-    current = table.select(*batch.columns)
-    none = F.lit("0001-01-01").cast("date")
-    touched = batch.select(F.coalesce(PERIOD, none).alias("_period")).distinct()
-    bounds = batch.agg(F.min(PERIOD).alias("lo"), F.max(PERIOD).alias("hi"))
-    in_range = (F.col(PERIOD) >= bounds.select("lo").scalar()) & (F.col(PERIOD) <= bounds.select("hi").scalar())
-    affected = current.filter(in_range | F.col(PERIOD).isNull()).join(
-        # at most one row per calendar period
-        F.broadcast(touched),
-        F.coalesce(F.col(PERIOD), none) == F.col("_period"),
-        "left_semi",
-    )
-    (
-        by_period(merge_rows(affected, batch, keys, order_col, keep_non_null), order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PERIOD)
-        .parquet(target)
-    )
+    staged = Folder(spark, new_path(spark, "updates"))
+    placed = updates.withColumn(PERIOD, period_of(F.col(dt), grain))
+    try:
+        placed.write.parquet(staged.path)
+        batch = read_table(spark, staged.path, nullable(placed.schema))
+        none = F.lit("0001-01-01").cast("date")
+        touched = batch.select(F.coalesce(PERIOD, none).alias("_period")).distinct()
+        bounds = batch.agg(F.min(PERIOD).alias("lo"), F.max(PERIOD).alias("hi"))
+        in_range = (F.col(PERIOD) >= bounds.select("lo").scalar()) & (F.col(PERIOD) <= bounds.select("hi").scalar())
+        affected = table.filter(in_range | F.col(PERIOD).isNull()).join(
+            # at most one row per calendar period
+            F.broadcast(touched),
+            F.coalesce(F.col(PERIOD), none) == F.col("_period"),
+            "left_semi",
+        )
+        merged = merge_rows(affected, batch, keys, order_col, keep_non_null).select(*table.columns)
+        pending = Folder(spark, f"{location(spark, target)}/{PENDING}")
+        by_period(merged, order).write.mode("overwrite").partitionBy(PERIOD).parquet(pending.path)
+        recover(spark, target, keys, dt)
+    finally:
+        staged.delete()
     return read_table(spark, target, table.schema)

@@ -33,3 +33,27 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark)}/seriesframe/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+class Folder:
+    """A folder of the file system that Spark writes to."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path
+        self._jvm = spark.sparkContext._jvm
+        self._fs = self._at().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _at(self, child: str | None = None):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{child}" if child else self.path)
+
+    def exists(self, child: str | None = None) -> bool:
+        return self._fs.exists(self._at(child))
+
+    def delete(self) -> None:
+        self._fs.delete(self._at(), True)
+
+    def delete_children(self, prefix: str) -> None:
+        for entry in self._fs.listStatus(self._at()):
+            name = entry.getPath().getName()
+            if name.startswith(prefix):
+                self._fs.delete(self._at(name), True)
