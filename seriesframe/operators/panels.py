@@ -66,13 +66,14 @@ def compound_return(
     by: Keys = None,
     prev_dt: str | None = None,
     extra: Sequence[Column] = (),
+    grain: str | None = None,
 ) -> DataFrame:
     """Compound return over the window, per entity or for one series, with the dates it covers.
 
     The window ends at the latest row, NULL return or not; NULLs are left out afterwards.
     `start_date` is the row before the first one used, where there is one. `prev_dt` names
     a column that already holds the previous row's date. Entities without any usable return
-    keep a row of NULLs.
+    keep a row of NULLs. `grain` is that of a table by periods, as for `trail`.
     """
     keys = as_keys(by)
     if prev_dt is None:
@@ -80,7 +81,7 @@ def compound_return(
     used = F.col(ret).isNotNull()
     start = F.min_by(F.coalesce(prev_dt, dt), F.when(used, F.col(dt)))
     return (
-        trail(df, dt, span_days(days), keys)
+        trail(df, dt, span_days(days), keys, grain)
         .groupBy(*keys)
         .agg(
             compound(F.col(ret)).alias("value"),

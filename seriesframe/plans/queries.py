@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -132,7 +133,7 @@ def count_history(lake: Lake) -> DataFrame:
 def _compound_return(days: int | None, table: Callable[[Lake], DataFrame] = Lake.market_daily):
     def run(lake: Lake) -> DataFrame:
         rets = table(lake).select("symbol", "date", "daily_return", "prev_date", PERIOD)
-        return r6(panels.compound_return(rets, "date", "daily_return", days, "symbol", "prev_date"), "value")
+        return r6(panels.compound_return(rets, "date", "daily_return", days, "symbol", "prev_date", grain="year"), "value")
 
     return run
 
@@ -145,7 +146,7 @@ register("compound_return_90_by_part", _compound_return(90, Lake.part_daily))
 @query
 def trailing_rows_7d(lake: Lake) -> DataFrame:
     """Rows of each symbol's own last seven days."""
-    return panels.trail(lake.bars(), "date", 7, "symbol").select("symbol", "date", "close", "volume")
+    return panels.trail(lake.bars(), "date", 7, "symbol", "year").select("symbol", "date", "close", "volume")
 
 
 @query
@@ -788,24 +789,47 @@ def stream_upsert(lake: Lake) -> DataFrame:
 
 @query
 def stream_sliding_count(lake: Lake) -> DataFrame:
-    events = lake.raw("events").select("ts", "event_type")
+    events = lake.raw("events").select("event_id", "ts", "event_type")
     stream = (
         lake.spark.readStream.schema(events.schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(lake.sf_dir)
     )
     target, checkpoint = new_path(lake.spark, "sliding"), new_path(lake.spark, "offsets")
-    return no_period(jobs.sliding_counts_table(lake.spark, stream, "ts", "event_type", target, checkpoint))
+    return no_period(jobs.sliding_counts_table(lake.spark, stream, "ts", "event_type", "event_id", target, checkpoint))
 
 
 @query
 def late_recovery(lake: Lake) -> DataFrame:
     """Bars of a few weeks arrive late; the touched returns are brought up to date."""
     bars_at, gold_at = new_path(lake.spark, "late-bars"), new_path(lake.spark, "late-gold")
-    bars = lake.bars().select("symbol", "date", "close").withColumn("fetched_at", F.lit(1))
+    bars = lake.bars().drop(PERIOD).withColumn("fetched_at", F.lit(1))
     late = F.col("date").between("2001-06-05", "2001-06-20")
     keys = ["symbol", "date"]
     on_time = upsert(lake.spark, bars_at, bars.filter(~late), keys, "date", "fetched_at", "year")
-    before = returns.returns(on_time.select(*keys, "close"), "symbol", "date", "close")
-    upsert(lake.spark, gold_at, before, keys, "date", None, "year")
-    return no_period(jobs.recover_late(lake.spark, bars_at, gold_at, bars.filter(late), grain="year"))
+    upsert(lake.spark, gold_at, returns.market_daily(on_time, prev_dt="prev_date"), keys, "date", None, "year")
+    return no_period(jobs.recover_late(lake.spark, bars_at, gold_at, bars.filter(late), grain="year", prev_dt="prev_date"))
+
+
+@query
+def upsert_partial_columns(lake: Lake) -> DataFrame:
+    """Two merges that update only the closes of some months, and leave all other columns as they are."""
+    target = new_path(lake.spark, "partial")
+    bars, keys = lake.bars().drop(PERIOD), ["symbol", "date"]
+    upsert(lake.spark, target, bars, keys, "date", grain="year")
+    for month in (3, 6):
+        doubled = bars.filter(F.month("date") == month).select(*keys, (F.col("close") * 2).alias("close"))
+        upsert(lake.spark, target, doubled, keys, "date", grain="year", columns=["close"])
+    return no_period(read_table(lake.spark, target))
+
+
+@query
+def upsert_catalog_table(lake: Lake) -> DataFrame:
+    """The same merges, whole rows, into a table of the catalog."""
+    target = f"bars_{uuid.uuid4().hex}"
+    bars, keys = lake.bars().drop(PERIOD), ["symbol", "date"]
+    upsert(lake.spark, target, bars.filter(F.month("date") != 6), keys, "date", grain="year")
+    for month in (3, 6):
+        doubled = bars.filter(F.month("date") == month).withColumn("close", F.col("close") * 2)
+        upsert(lake.spark, target, doubled, keys, "date", grain="year")
+    return no_period(read_table(lake.spark, target))

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 PERIOD = "period"
 
-# an overwrite replaces every partition, whatever the session's default is
+# an overwrite of a path replaces every partition, whatever the session's default is; not for
+# catalog tables, which are replaced as a whole anyway and would keep the option for good
 WHOLE_TABLE = ("partitionOverwriteMode", "static")
 
 
@@ -53,8 +54,8 @@ def read_table(spark: SparkSession, target: str, schema: T.StructType | None = N
 
 def write_snapshot(df: DataFrame, target: str) -> None:
     """Replace rows and schema by this run's."""
-    writer = df.write.mode("overwrite").option(*WHOLE_TABLE).format("parquet")
-    writer.save(target) if is_path(target) else writer.saveAsTable(target)
+    writer = df.write.mode("overwrite").format("parquet")
+    writer.option(*WHOLE_TABLE).save(target) if is_path(target) else writer.saveAsTable(target)
 
 
 def period_of(dt: Column, grain: str = "month") -> Column:
@@ -71,8 +72,8 @@ def write_table(df: DataFrame, target: str, dt: str | None = None, grain: str =
         write_snapshot(df, target)
         return read_table(df.sparkSession, target, nullable(df.schema))
     laid_out = by_period(df.withColumn(PERIOD, period_of(F.col(dt), grain)), [dt, *cluster])
-    writer = laid_out.write.mode("overwrite").option(*WHOLE_TABLE).format("parquet").partitionBy(PERIOD)
-    writer.save(target) if is_path(target) else writer.saveAsTable(target)
+    writer = laid_out.write.mode("overwrite").format("parquet").partitionBy(PERIOD)
+    writer.option(*WHOLE_TABLE).save(target) if is_path(target) else writer.saveAsTable(target)
     return read_table(df.sparkSession, target, nullable(laid_out.schema))
 
 

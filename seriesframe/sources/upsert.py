@@ -92,6 +92,14 @@ def _check_columns(table: DataFrame, updates: DataFrame, columns: Sequence[str]
         raise ValueError(f"the updates have no column {order_col}")
 
 
+def _check_overwrite(spark: SparkSession, target: str) -> None:
+    """Fail for a catalog table whose own options make every overwrite one of the whole table."""
+    if not is_path(target):
+        static = "col_name = 'Storage Properties' and lower(data_type) like '%partitionoverwritemode=static%'"
+        if not spark.sql(f"DESCRIBE FORMATTED {target}").filter(static).isEmpty():
+            raise ValueError(f"{target} has the option partitionOverwriteMode=static, so a merge would replace all of it")
+
+
 def _replace_periods(rows: DataFrame, target: str, order: Sequence[str]) -> None:
     """Replace the periods that occur in `rows`; Spark moves them in when its whole job has succeeded."""
     laid_out = by_period(rows, order)
@@ -150,8 +158,11 @@ def upsert(
     recover(spark, target, keys, dt)
     table = find_table(spark, target)
     _check_columns(table, updates, columns, order_col)
+    _check_overwrite(spark, target)
     if columns is not None:
-        updates = updates.select(*dict.fromkeys([*keys, *columns, *([order_col] if order_col else [])]))
+        needed = dict.fromkeys([*keys, *columns, *([order_col] if order_col else [])])
+        updates = latest_per_key_set(updates.select(*needed), keys, order_col).select(*dict.fromkeys([*keys, *columns]))
+        order_col = order_col if order_col in columns else None
 
     staged = Folder(spark, new_path(spark, "updates"))
     placed = updates.withColumn(PERIOD, period_of(F.col(dt), grain))

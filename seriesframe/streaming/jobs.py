@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesframe.functions.ordered import CHUNK, chunk_of
 from seriesframe.operators.returns import returns
-from seriesframe.sources.tables import PERIOD, read_table
+from seriesframe.sources.tables import PERIOD, nullable, period_of, read_table
 from seriesframe.sources.upsert import upsert
+from seriesframe.sources.workspace import Folder, new_path
 
 
 def stream_landing(
@@ -54,32 +56,59 @@ def stream_upsert(
     return read_table(spark, target)
 
 
-def sliding_counts(
-    events: DataFrame, ts: str, cat: str, window: str = "7 days", slide: str = "1 day", late: str | None = "1 day"
-) -> DataFrame:
-    """Events per category and sliding window; on a stream the watermark bounds the state."""
-    timed = events.withColumn(ts, F.col(ts).cast("timestamp"))
-    timed = timed.withWatermark(ts, late) if late and events.isStreaming else timed
-    return timed.groupBy(F.window(ts, window, slide).alias("_w"), cat).agg(F.count(F.lit(1)).alias("count")).select(
-        cat,
-        F.to_date("_w.start").alias("window_start"),
-        F.to_date("_w.end").alias("window_end"),
-        "count",
+def sliding_counts(events: DataFrame, ts: str, cat: str, days: int = 7) -> DataFrame:
+    """Events per category and window of `days` days, a window beginning on every day."""
+    daily = events.groupBy(cat, F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return _windows(daily, cat, days)
+
+
+def _windows(daily: DataFrame, cat: str, days: int) -> DataFrame:
+    starts = F.explode(F.sequence(F.date_sub("day", days - 1), F.col("day")))
+    return (
+        daily.withColumn("window_start", starts)
+        .groupBy(cat, "window_start")
+        .agg(F.sum("n").alias("count"))
+        .select(cat, "window_start", F.date_add("window_start", days).alias("window_end"), "count")
     )
 
 
 def sliding_counts_table(
-    spark: SparkSession, events: DataFrame, ts: str, cat: str, target: str, checkpoint: str, **window: str
+    spark: SparkSession, events: DataFrame, ts: str, cat: str, key: str, target: str, checkpoint: str, days: int = 7
 ) -> DataFrame:
-    """Keep a table of sliding counts up to date with what has landed; changed windows are merged in."""
+    """Keep a table of sliding counts up to date with what has landed, however late it is.
+
+    Landed events are merged by `key` into `<target>_events`, in partitions of a day. Only the days
+    a batch touches are counted again, into `<target>_days`, and only the windows over these days are
+    summed again. There is no state and no watermark, and a batch delivered again gives the same
+    tables. An event keeps its time and category; one without key, time or category fails the job.
+    """
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert(batch.sparkSession, target, batch, [cat, "window_start"], "window_start", "count")
+        session = batch.sparkSession
+        staged = Folder(session, new_path(session, "events"))
+        try:
+            batch.select(key, cat, F.to_date(ts).alias("day")).write.parquet(staged.path)
+            landed = session.read.parquet(staged.path)
+            if landed.isEmpty():
+                return
+            if not landed.filter(F.greatest(*[F.col(c).isNull() for c in (key, cat, "day")])).isEmpty():
+                raise ValueError(f"events without {key}, {ts} or {cat}")
+            # at most one row per calendar day
+            touched = F.broadcast(landed.select(F.col("day").alias("_day")).distinct())
+            stored = upsert(session, f"{target}_events", landed, [key, "day"], "day", grain="day")
+            counted = stored.join(touched, F.col(PERIOD) == F.col("_day"), "left_semi").groupBy(cat, "day")
+            daily = upsert(
+                session, f"{target}_days", counted.agg(F.count(F.lit(1)).alias("n")), [cat, "day"], "day", grain="year"
+            )
+            near = touched.select(F.explode(F.sequence(F.date_sub("_day", days - 1), F.col("_day"))).alias("_start"))
+            sums = _windows(daily.select(cat, "day", "n"), cat, days)
+            sums = sums.join(F.broadcast(near.distinct()), F.col("window_start") == F.col("_start"), "left_semi")
+            upsert(session, target, sums, [cat, "window_start"], "window_start")
+        finally:
+            staged.delete()
 
     query = (
-        sliding_counts(events, ts, cat, **window)
-        .writeStream.foreachBatch(merge)
-        .outputMode("update")
+        events.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -98,23 +127,40 @@ def recover_late(
     val: str = "close",
     order_col: str | None = "fetched_at",
     grain: str = "month",
+    prev_dt: str | None = None,
 ) -> DataFrame:
     """Merge late bars and bring the returns of the touched entities up to date.
 
     No return before an entity's earliest re-landed date can have changed, so returns are
     recomputed from there on; of the older history only each entity's last bar is needed.
+    Columns that the bars and the gold table share are brought along, `prev_dt` names the
+    gold table's column for the previous date, and its other columns stay as they are.
+    Limits are joined on (entity, chunk), so an entity with many rows is spread.
     """
-    history = upsert(spark, bars, batch, [ent, dt], dt, order_col, grain).select(ent, dt, val, PERIOD)
-    since = batch.groupBy(ent).agg(F.min(dt).alias("_since"))
-    first = since.agg(F.min("_since").alias("_first")).scalar()
-    recent = history.filter((F.col(PERIOD) >= F.trunc(first, "year")) & (F.col(dt) >= first))
-    changed = recent.join(since, ent).filter(F.col(dt) >= F.col("_since"))
-    base = (
-        history.join(since, ent)
-        .filter(F.col(dt) < F.col("_since"))
-        .groupBy(ent)
-        .agg(F.max_by(val, dt).alias(val), F.max(dt).alias(dt), F.max("_since").alias("_since"))
-    )
-    rows = changed.drop(PERIOD).unionByName(base)
-    fresh = returns(rows, ent, dt, val).filter(F.col(dt) >= F.col("_since")).drop("_since")
-    return upsert(spark, gold, fresh, [ent, dt], dt, None, grain)
+    at = Folder(spark, new_path(spark, "late"))
+    try:
+        batch.write.parquet(f"{at.path}/batch")
+        late = read_table(spark, f"{at.path}/batch", nullable(batch.schema))
+        history = upsert(spark, bars, late, [ent, dt], dt, order_col, grain)
+        shared = [c for c in history.columns if c in read_table(spark, gold).columns and c not in (ent, dt, val, PERIOD)]
+        history = history.select(ent, dt, val, *shared, PERIOD).withColumn(CHUNK, chunk_of(history, dt))
+        since = late.filter(F.col(ent).isNotNull() & F.col(dt).isNotNull()).groupBy(ent).agg(F.min(dt).alias("_since"))
+        ends = history.agg(F.min(dt).alias("lo"), F.max(dt).alias("hi"))
+
+        def limits(first: Column, last: Column) -> DataFrame:
+            chunks = F.sequence(chunk_of(history, dt, first), chunk_of(history, dt, last))
+            return since.select(F.col(ent).alias("_ent"), "_since", F.explode(chunks).alias("_c"))
+
+        match = (F.col(ent) == F.col("_ent")) & (F.col(CHUNK) == F.col("_c"))
+        first = since.agg(F.min("_since").alias("_first")).scalar()
+        recent = history.filter((F.col(PERIOD) >= period_of(first, grain)) & (F.col(dt) >= first))
+        changed = recent.join(limits(F.col("_since"), ends.select("hi").scalar()), match).filter(F.col(dt) >= F.col("_since"))
+        older = history.join(limits(ends.select("lo").scalar(), F.col("_since")), match).filter(F.col(dt) < F.col("_since"))
+        base = older.groupBy(ent).agg(F.max_by(val, dt).alias(val), F.max(dt).alias(dt), F.max("_since").alias("_since"))
+        columns = [ent, dt, val, *shared, "_since"]
+        changed.select(*columns).unionByName(base, allowMissingColumns=True).write.parquet(f"{at.path}/rows")
+        rows = spark.read.parquet(f"{at.path}/rows")
+        fresh = returns(rows, ent, dt, val, prev_dt=prev_dt).filter(F.col(dt) >= F.col("_since")).drop("_since")
+        return upsert(spark, gold, fresh, [ent, dt], dt, None, grain, columns=[c for c in fresh.columns if c not in (ent, dt)])
+    finally:
+        at.delete()

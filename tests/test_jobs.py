@@ -15,6 +15,8 @@ from seriesframe.streaming import jobs
 D = date.fromisoformat
 SYMBOLS = {"IDX": "benchmark", "S1": "sector", "S2": "sector", "A": "ai_basket", "B": "ai_basket", "C": "ai_basket"}
 
+KEYS = ["symbol", "date"]
+
 
 def _price(symbol, day):
     return 100.0 + (sum(map(ord, symbol)) * (day.toordinal() % 17)) % 13
@@ -139,27 +141,36 @@ def test_landed_documents_stream_into_the_table(spark, tmp_path):
 
 
 def test_late_bars_fill_the_gap_and_its_neighbour(spark, tmp_path, series, days):
-    bars_at, gold_at = str(tmp_path / "bars"), str(tmp_path / "gold")
-    all_days = days("2024-01-28", 8)
-    full = series({s: [(d, 100.0 + i * k) for i, d in enumerate(all_days)] for k, s in enumerate(["a", "b"], 1)}, "close").withColumn("fetched_at", F.lit(1))
-    late = (F.col("symbol") == "a") & F.col("date").isin([D(all_days[3]), D(all_days[4])])
+    from seriesframe.operators.returns import market_daily
     from seriesframe.sources.upsert import upsert
 
-    early = upsert(spark, bars_at, full.filter(~late), ["symbol", "date"], "date", "fetched_at")
-    upsert(spark, gold_at, returns(early.select("symbol", "date", "close"), "symbol", "date", "close"), ["symbol", "date"], "date")
-    got = jobs.recover_late(spark, bars_at, gold_at, full.filter(late))
-    want = returns(full.select("symbol", "date", "close"), "symbol", "date", "close")
-    cols = ["symbol", "date", "close", "change", "daily_return"]
-    assert sorted(map(tuple, got.select(cols).collect()), key=repr) == sorted(map(tuple, want.select(cols).collect()), key=repr)
-
-
-def test_stream_counts_equal_batch_counts(spark, tmp_path, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("ts", "event_type")
-    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    got = jobs.sliding_counts_table(spark, stream, "ts", "event_type", str(tmp_path / "t"), str(tmp_path / "o"))
-    want = jobs.sliding_counts(events, "ts", "event_type")
-    cols = ["event_type", "window_start", "window_end", "count"]
-    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+    bars_at, gold_at = str(tmp_path / "bars"), str(tmp_path / "gold")
+    all_days = days("2023-12-28", 8)
+    points = {s: [(d, 100.0 + i * k) for i, d in enumerate(all_days)] for k, s in enumerate(["a", "b"], 1)}
+    full = series(points, "close").selectExpr("*", "'basket' category", "close open", "close high", "close low", "7L volume", "1 fetched_at")
+    late = (F.col("symbol") == "a") & F.col("date").isin([D(all_days[3]), D(all_days[4])])
+    early = upsert(spark, bars_at, full.filter(~late), KEYS, "date", "fetched_at")
+    gold = market_daily(early, prev_dt="prev_date").withColumn("note", F.concat("symbol", F.lit("!")))
+    upsert(spark, gold_at, gold, KEYS, "date")
+    for _ in range(2):
+        got = jobs.recover_late(spark, bars_at, gold_at, full.filter(late), prev_dt="prev_date")
+    want = market_daily(full, prev_dt="prev_date")
+    assert sorted(map(tuple, got.select(want.columns).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    notes = {(r.symbol, r.date): r.note for r in got.collect()}
+    assert {d for (_, d), note in notes.items() if note is None} == {D(all_days[3]), D(all_days[4])}
+
+
+def test_stream_counts_equal_batch_counts_however_late(spark, tmp_path):
+    rows = [(i, D(f"2024-01-{1 + i % 28:02d}"), "ab"[i % 2]) for i in range(60)]
+    events = spark.createDataFrame(rows, "id int, ts date, kind string").withColumn("ts", F.col("ts").cast("timestamp"))
+    feed = str(tmp_path / "feed")
+    lots = [F.dayofmonth("ts") > 20, F.dayofmonth("ts") < 4, F.dayofmonth("ts").between(4, 20), F.dayofmonth("ts") == 9]
+    for lot in lots:
+        events.filter(lot).coalesce(1).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(events.schema).parquet(feed)
+        got = jobs.sliding_counts_table(spark, stream, "ts", "kind", "id", str(tmp_path / "t"), str(tmp_path / "o"))
+    want = jobs.sliding_counts(events, "ts", "kind")
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_health_report(spark, built):

@@ -123,3 +123,16 @@ def test_known_tail_shows_the_latest_row_even_if_null(series):
 def test_latest_row_per_key(series):
     df = series({"a": [("2024-01-01", 1.0), ("2024-01-02", None)], "b": [("2024-01-01", 7.0)]})
     assert {r.symbol: r.value for r in latest(df, "symbol", "date").collect()} == {"a": None, "b": 7.0}
+
+
+def test_a_column_named_like_the_period_drops_no_rows(spark, tmp_path):
+    from datetime import date
+
+    from seriesframe.sources.tables import write_table
+
+    rows = [(date(2020, 12, 30), "x"), (date(2021, 1, 1), "y"), (date(2021, 1, 6), None)]
+    df = spark.createDataFrame(rows, "date date, period string")
+    assert panels.trail(df, "date", 7).count() == 3
+    for grain in ("day", "week", "month", "year"):
+        table = write_table(df.drop("period"), f"{tmp_path}/{grain}", "date", grain)
+        assert panels.trail(table, "date", 7).count() == panels.trail(table, "date", 7, grain=grain).count() == 3

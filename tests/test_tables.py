@@ -1,6 +1,9 @@
 """Upsert, snapshots, landing, export."""
 
+import glob
 import json
+import os
+import shutil
 from datetime import date
 
 import pytest
@@ -160,3 +163,42 @@ def test_classify_by_list_and_by_frame(spark):
 def test_half_cents_round_up(spark):
     df = spark.createDataFrame([(1.005,), (2.675,), (1.004,)], "v double")
     assert [r.v for r in C.round_cols(df, ["v"]).collect()] == [1.01, 2.68, 1.0]
+
+
+def test_partial_columns_keep_the_others(spark, tmp_path):
+    target = str(tmp_path / "t")
+    first = _bars(spark, [("a", "2024-01-01", 1.0, 1), ("b", "2024-01-02", 2.0, 1)]).withColumn("volume", F.lit(5))
+    upsert(spark, target, first, KEYS, "date")
+    update = _bars(spark, [("a", "2024-01-01", 9.0, 2), ("c", "2024-01-03", 3.0, 2)])
+    with pytest.raises(ValueError, match="volume"):
+        upsert(spark, target, update, KEYS, "date")
+    got = upsert(spark, target, update, KEYS, "date", "fetched_at", columns=["close"])
+    assert sorted((r.symbol, r.close, r.fetched_at, r.volume) for r in got.filter("symbol < 'c'").collect()) == [("a", 9.0, 1, 5), ("b", 2.0, 1, 5)]
+    assert [(r.close, r.volume) for r in got.filter("symbol = 'c'").collect()] == [(3.0, None)]
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert not glob.glob(f"{shared}/seriesframe/*/updates-*")
+
+
+def test_catalog_tables_are_merged(spark):
+    name = "merged_bars"
+    for n, rows in enumerate(([("a", "2024-01-01", 1.0, 1), ("a", "2024-02-01", 2.0, 1)], [("a", "2024-01-01", 5.0, 2)], [("b", "2024-03-01", 3.0, 3)])):
+        got = upsert(spark, name, _bars(spark, rows), KEYS, "date", "fetched_at")
+    assert sorted((r.symbol, r.date.month, r.close) for r in got.collect()) == [("a", 1, 5.0), ("a", 2, 2.0), ("b", 3, 3.0)]
+
+
+def test_a_driver_lost_while_periods_move_loses_nothing(spark, tmp_path):
+    target = str(tmp_path / "t")
+    upsert(spark, target, _bars(spark, [("a", "2024-01-01", 1.0, 1), ("a", "2024-02-01", 2.0, 1)]), KEYS, "date")
+    merged = spark.read.parquet(target)
+    merged.write.partitionBy("period").parquet(f"{target}/_pending_merge")
+    shutil.rmtree(f"{target}/period=2024-01-01")
+    (tmp_path / "t" / ".spark-staging-1").mkdir()
+    got = upsert(spark, target, _bars(spark, [("b", "2024-01-05", 7.0, 1)]), KEYS, "date")
+    assert sorted((r.symbol, r.date.month, r.close) for r in got.collect()) == [("a", 1, 1.0), ("a", 2, 2.0), ("b", 1, 7.0)]
+    assert not [f for f in os.listdir(target) if "pending" in f or "staging" in f]
+
+
+def test_broken_published_rows_fail(spark, tmp_path):
+    (tmp_path / "t.json").write_text('{"k": "a", "v": 1.0}\n{"k": "b", "v": "x"}\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.read_published(spark, f"{tmp_path}/t.json", "k string, v double", array_file=False).collect()
