@@ -815,7 +815,7 @@ select event_type, cast(w as date) as window_start, cast(w as date) + 7 as windo
 from (select event_type, unnest(range(cast(ts as date) - interval 6 days, cast(ts as date) + interval 1 day,
         interval 1 day)) as w from events) x
 group by 1, 2""",
-    "late_recovery": _with("select *, lag(date) over (partition by symbol order by date) as prev_date from ret", "ret"),
+    "late_recovery": _with("select * from ret", "ret"),
     "upsert_partial_columns": _with("select * replace (case when month(date) in (3, 6) then close * 2 else close end as close) from bars", "bars"),
     "upsert_catalog_table": _with("select * replace (case when month(date) in (3, 6) then close * 2 else close end as close) from bars", "bars"),
 }
