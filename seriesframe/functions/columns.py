@@ -109,3 +109,17 @@ def require_finite(df: DataFrame) -> DataFrame:
 
 def round_cols(df: DataFrame, cols: Sequence[str], places: int = 2) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), places) for c in cols})
+
+
+def utc_date(ts: Column | str) -> Column:
+    """Calendar day in UTC, whatever the session's zone; a time without a zone is taken as UTC."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    day = F.floor(F.unix_seconds(ts.cast("timestamp")) / 86400).cast("int")
+    return F.when(F.typeof(ts) == "timestamp", F.date_from_unix_date(day)).otherwise(F.to_date(ts))
+
+
+def utc_hour(ts: Column | str) -> Column:
+    """Hour of the day in UTC, whatever the session's zone; a time without a zone is taken as UTC."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    hour = F.floor(F.pmod(F.unix_seconds(ts.cast("timestamp")), F.lit(86400)) / 3600).cast("int")
+    return F.when(F.typeof(ts) == "timestamp", hour).otherwise(F.hour(ts))

@@ -2,23 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesframe.functions.ordered import Keys, as_keys, split_window
 
 
+STEPS = 1024
+INFINITE = 2200 * STEPS
+
+
+def value_chunk(v: Column) -> Column:
+    """Chunk number that never falls as the value grows, `STEPS` to every power of two of either sign.
+
+    The scale has no unit: small and large values are split alike. Infinities lie outermost.
+    """
+    size = F.abs(v.cast("double"))
+    power = F.floor(F.log2(size))
+    step = F.floor((size / F.pow(F.lit(2.0), power) - 1) * STEPS)
+    # log2 may round across a power of two; the bounds keep the numbers in order there
+    step = F.greatest(F.lit(0), F.least(F.lit(STEPS - 1), step))
+    at = F.when(size == F.lit(float("inf")), F.lit(INFINITE)).otherwise((power + 1076) * STEPS + step)
+    return F.when(v == 0, 0).otherwise(F.signum(v) * at).cast("int")
+
+
 def exact_median(df: DataFrame, by: Keys, val: str, out: str) -> DataFrame:
-    """Median of the non-NULL values per key; the mean of the middle two for an even count.
+    """Median of the known values per key; the mean of the middle two for an even count.
 
-    Equal values are counted first, so copies of one value cost one row. The distinct
-    values are then ranked in chunks of a monotone logarithmic scale (at most about 1.5
-    million chunks for all doubles), with the ranks before a chunk carried into it.
+    NULL and NaN are not known; infinities keep their place in the order, and the mean of
+    both is NaN. Equal values are counted first, so copies of one value cost one row. The
+    distinct values are then ranked in `value_chunk`s, with the ranks before a chunk
+    carried into it.
     """
     keys = as_keys(by)
     v = F.col(val)
-    counted = df.filter(v.isNotNull()).groupBy(*keys, val).agg(F.count(F.lit(1)).alias("_n"))
-    scale = (F.signum(v) * F.floor(F.log1p(F.abs(v)) * 1000)).cast("int")
+    counted = df.filter(v.isNotNull() & ~F.isnan(v.cast("double"))).groupBy(*keys, val).agg(F.count(F.lit(1)).alias("_n"))
     whole = Window.partitionBy(*(keys or [F.lit(0)]))
     ranked = split_window(
         counted,
@@ -33,7 +51,7 @@ def exact_median(df: DataFrame, by: Keys, val: str, out: str) -> DataFrame:
             "_upto": F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)),
             "_group_n": F.first("_total").over(w.rowsBetween(Window.unboundedPreceding, 0)),
         },
-        chunk=scale,
+        chunk=value_chunk(v),
     )
     first = F.col("_upto") - F.col("_n")
     low, high = F.floor((F.col("_group_n") - 1) / 2), F.floor(F.col("_group_n") / 2)

@@ -326,12 +326,14 @@ def cohort_summary(members: DataFrame, ent: str, dt: str, val: str, group: str =
 
 
 def cohort_gap(summary: DataFrame, left: str, right: str, group: str = "cohort") -> DataFrame:
-    """Final-return gap and volatility ratio of two cohorts."""
+    """Final returns of two cohorts, their gap, and the ratio of their volatilities."""
 
     def of(name: str, col: str):
         return F.max(F.when(F.col(group) == name, F.col(col)))
 
     return summary.agg(
+        of(left, "final_return_pct").alias("left_final_pct"),
+        of(right, "final_return_pct").alias("right_final_pct"),
         (of(left, "final_return_pct") - of(right, "final_return_pct")).alias("gap_pts"),
         ratio(of(left, "annual_vol"), of(right, "annual_vol")).alias("vol_ratio"),
         of(left, "negative_members").alias("negative_members"),

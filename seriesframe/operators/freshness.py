@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesframe.functions.columns import utc_date, utc_hour
 from seriesframe.functions.ordered import Keys, as_keys
 from seriesframe.operators.shaping import latest
 
@@ -53,14 +54,14 @@ def registry(spark: SparkSession, specs: Sequence[TableSpec]) -> DataFrame:
 
 def expected_date(as_of: Column) -> Column:
     """Latest trading day whose data can be expected; weekends roll back, holidays are not known."""
-    day = F.to_date(as_of)
-    ended = F.when(F.hour(as_of) < CLOSE_HOUR_UTC, F.date_sub(day, 1)).otherwise(day)
+    day = utc_date(as_of)
+    ended = F.when(utc_hour(as_of) < CLOSE_HOUR_UTC, F.date_sub(day, 1)).otherwise(day)
     weekday = F.weekday(ended)
     return F.when(weekday >= 5, F.date_sub(ended, weekday - 4)).otherwise(ended)
 
 
 def cadence_status(cadence: Column, latest_date: Column, as_of: Column) -> Column:
-    gap = F.datediff(F.to_date(as_of), latest_date)
+    gap = F.datediff(utc_date(as_of), latest_date)
 
     def fresh(ok: Column) -> Column:
         return F.when(ok, "FRESH").otherwise("STALE")
@@ -97,7 +98,7 @@ def lineage(freshness: DataFrame, reg: DataFrame) -> DataFrame:
 
 def series_freshness(df: DataFrame, ent: str, dt: str, monthly: Sequence[str], as_of: Column) -> DataFrame:
     """Status per series: monthly ones may lag a release cycle, the others a few days."""
-    gap = F.datediff(F.to_date(as_of), F.col("latest_date"))
+    gap = F.datediff(utc_date(as_of), F.col("latest_date"))
     allowed = F.when(F.col(ent).isin(list(monthly)), MONTHLY_SERIES_GAP).otherwise(SERIES_GAP)
     return (
         df.groupBy(ent)
@@ -123,13 +124,13 @@ def last_run_per_day(
 
     Per column the last non-NULL value of the day is taken.
     """
-    today = F.to_date(as_of)
+    today = utc_date(as_of)
     spine = runs.sparkSession.range(1).select(
         F.explode(F.sequence(F.date_sub(today, days - 1), today)).alias("date")
     )
     order = F.struct(ts, tie) if tie else F.col(ts)
-    recent = runs.filter(F.to_date(ts).between(F.date_sub(today, days - 1), today))
-    last = recent.groupBy(F.to_date(ts).alias("date")).agg(
+    recent = runs.filter(utc_date(ts).between(F.date_sub(today, days - 1), today))
+    last = recent.groupBy(utc_date(ts).alias("date")).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in cols]
     )
     return spine.join(last, "date", "left")
@@ -139,9 +140,9 @@ def run_state(runs: DataFrame, as_of: Column, ts: str, conclusion: str = "conclu
     """The most recently started finished run, and whether one of today is still going."""
     done = F.col(conclusion).isNotNull()
     order = F.struct(ts, tie) if tie else F.col(ts)
-    open_today = F.col(conclusion).isNull() & (F.to_date(ts) == F.to_date(as_of))
+    open_today = F.col(conclusion).isNull() & (utc_date(ts) == utc_date(as_of))
     return runs.agg(
-        F.max_by(F.to_date(ts), F.when(done, order)).alias("completed_date"),
+        F.max_by(utc_date(ts), F.when(done, order)).alias("completed_date"),
         F.max_by(conclusion, F.when(done, order)).alias("completed_status"),
         F.coalesce(F.bool_or(open_today), F.lit(False)).alias("in_progress_today"),
     )

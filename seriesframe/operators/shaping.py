@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesframe.functions.columns import member_of
+from seriesframe.functions.columns import member_of, utc_date
 from seriesframe.functions.ordered import Keys, as_keys
 
 
@@ -71,13 +71,13 @@ def trailing_count(events: DataFrame, cat: str, ts: str, days: int = 7, out: str
 
     Daily counts come first, so the window sees one row per category and calendar day.
     """
-    daily = events.groupBy(cat, F.to_date(ts).alias("snapshot_date")).agg(F.count(F.lit(1)).alias("_n"))
+    daily = events.groupBy(cat, utc_date(ts).alias("snapshot_date")).agg(F.count(F.lit(1)).alias("_n"))
     span = Window.partitionBy(cat).orderBy(F.unix_date("snapshot_date")).rangeBetween(-(days - 1), 0)
     return daily.select(cat, "snapshot_date", F.sum("_n").over(span).alias(out))
 
 
 def running_level(events: DataFrame, ent: str, ts: str, out: str = "level") -> DataFrame:
     """Events so far per entity and day: a growing counter from an event stream."""
-    daily = events.groupBy(ent, F.to_date(ts).alias("snapshot_date")).agg(F.count(F.lit(1)).alias("_n"))
+    daily = events.groupBy(ent, utc_date(ts).alias("snapshot_date")).agg(F.count(F.lit(1)).alias("_n"))
     span = Window.partitionBy(ent).orderBy("snapshot_date").rowsBetween(Window.unboundedPreceding, 0)
     return daily.select(ent, "snapshot_date", F.sum("_n").over(span).alias(out))

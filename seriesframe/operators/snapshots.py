@@ -9,9 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesframe.functions.ordered import with_prev
-from seriesframe.sources.upsert import upsert
-
-SNAPSHOT_KEYS = ["section", "metric", "snapshot_date"]
+from seriesframe.sources.tables import PERIOD, by_period, find_table, is_path, read_table
 
 
 def metric_change(
@@ -66,8 +64,21 @@ _NUMBERS = {"double", "float", "long", "integer", "short", "byte", "decimal"}
 
 
 def append_snapshot(spark: SparkSession, target: str, rows: DataFrame) -> DataFrame:
-    """Add a run to the history; a repeated run replaces its own rows."""
-    return upsert(spark, target, rows, SNAPSHOT_KEYS, "snapshot_date", grain="year")
+    """Add a run to the history; a repeated run replaces the whole snapshot of its date.
+
+    Every date is a partition, so a metric that the repeated run lacks goes with the rest.
+    """
+    laid_out = by_period(rows.withColumn(PERIOD, F.col("snapshot_date")), ["section", "metric"])
+    known = find_table(spark, target)
+    if is_path(target):
+        laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(target)
+    elif known is None:
+        laid_out.write.format("parquet").partitionBy(PERIOD).saveAsTable(target)
+    else:
+        laid_out.select(*known.columns).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).insertInto(target)
+    return read_table(spark, target)
 
 
 def last_two(history: DataFrame, dt: str = "snapshot_date") -> DataFrame:

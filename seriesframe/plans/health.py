@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesframe.operators import freshness
 from seriesframe.operators.freshness import TableSpec
+from seriesframe.sources.tables import read_table, write_snapshot
+from seriesframe.sources.workspace import utc
 
 # Source, date column, cadence and panel of every gold table.
 SPECS = [
@@ -69,3 +72,23 @@ def report(
             }
         ),
     }
+
+
+def run(spark: SparkSession, lake: str, runs: str, incidents: str, as_of: Column, out: str) -> dict[str, DataFrame]:
+    """Write every table of the report under a folder."""
+    gold = {s.name: read_table(spark, f"{lake}/gold/{s.name}") for s in SPECS}
+    tables = report(gold, read_table(spark, runs), read_table(spark, incidents), as_of)
+    for name, df in tables.items():
+        write_snapshot(df, f"{out}/{name}")
+    return tables
+
+
+def main() -> None:
+    """LAKE RUNS INCIDENTS AS_OF OUT, AS_OF being a UTC time such as 2024-03-06T21:30:00Z."""
+    lake, runs, incidents, as_of, out = sys.argv[1:6]
+    spark = utc(SparkSession.builder.appName("health").getOrCreate())
+    run(spark, lake, runs, incidents, F.lit(as_of).cast("timestamp"), out)
+
+
+if __name__ == "__main__":
+    main()

@@ -237,7 +237,8 @@ summary as (
     "gap": (
         """
 gap as (
-  select i.final_return_pct - c.final_return_pct as gap_pts, i.annual_vol / c.annual_vol as vol_ratio,
+  select i.final_return_pct as left_final_pct, c.final_return_pct as right_final_pct,
+         i.final_return_pct - c.final_return_pct as gap_pts, i.annual_vol / c.annual_vol as vol_ratio,
          i.negative_members
   from summary i, summary c where i.cohort = 'infra' and c.cohort = 'core')""",
         ("summary",),
@@ -640,7 +641,9 @@ where daily_return is not null group by symbol""",
         "summary",
     ),
     "cohort_gap": _with(
-        "select round(gap_pts, 6) as gap_pts, round(vol_ratio, 6) as vol_ratio, negative_members from gap", "gap"
+        """select round(left_final_pct, 6) as left_final_pct, round(right_final_pct, 6) as right_final_pct,
+       round(gap_pts, 6) as gap_pts, round(vol_ratio, 6) as vol_ratio, negative_members from gap""",
+        "gap",
     ),
     "input_coverage": _with(
         """select 'market_daily' as input, max(date) as latest_date, count(daily_return) as known_values from ret
@@ -681,9 +684,14 @@ from history) x where age <= 2""",
                 _metric("concentration", "effective_n", "effective_n", _CONC_ALL),
                 _metric("rates", "typical", "count(*) - count(*) filter (where rising > falling)", "sensitivity"),
                 _metric("rates", "total", "count(*)", "sensitivity"),
-                _metric("volatility", "latest", "arg_max(rolling_volatility, date)", "bench_vol"),
-                _metric("volatility", "max", "max(rolling_volatility)", "bench_vol"),
+                _metric("volatility", "latest_pct", "arg_max(rolling_volatility, date) * 100", "bench_vol"),
+                _metric("volatility", "max_pct", "max(rolling_volatility) * 100", "bench_vol"),
                 _metric("volatility", "max_date", "null", "bench_vol", "arg_max(date, rolling_volatility)"),
+                """
+select (select max(date) from ret), 'rates', 'exception:' || symbol, cast(null as double), symbol
+from sensitivity where rising > falling""",
+                _metric("cohorts", "left_final_pct", "left_final_pct", "gap"),
+                _metric("cohorts", "right_final_pct", "right_final_pct", "gap"),
                 _metric("cohorts", "gap_pts", "gap_pts", "gap"),
                 _metric("cohorts", "negative_members", "negative_members", "gap"),
             ]

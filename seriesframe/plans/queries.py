@@ -421,7 +421,7 @@ def cohort_summary(lake: Lake) -> DataFrame:
 
 @query
 def cohort_gap(lake: Lake) -> DataFrame:
-    return r6(findings.cohort_gap(_summary(lake), "infra", "core"), "gap_pts", "vol_ratio")
+    return r6(findings.cohort_gap(_summary(lake), "infra", "core"), "left_final_pct", "right_final_pct", "gap_pts", "vol_ratio")
 
 
 @query

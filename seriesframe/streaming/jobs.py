@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesframe.functions.columns import utc_date
 from seriesframe.functions.ordered import CHUNK, chunk_of
 from seriesframe.operators.returns import returns
 from seriesframe.sources.tables import PERIOD, nullable, period_of, read_table
@@ -58,7 +59,7 @@ def stream_upsert(
 
 def sliding_counts(events: DataFrame, ts: str, cat: str, days: int = 7) -> DataFrame:
     """Events per category and window of `days` days, a window beginning on every day."""
-    daily = events.groupBy(cat, F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    daily = events.groupBy(cat, utc_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n"))
     return _windows(daily, cat, days)
 
 
@@ -87,7 +88,7 @@ def sliding_counts_table(
         session = batch.sparkSession
         staged = Folder(session, new_path(session, "events"))
         try:
-            batch.select(key, cat, F.to_date(ts).alias("day")).write.parquet(staged.path)
+            batch.select(key, cat, utc_date(ts).alias("day")).write.parquet(staged.path)
             landed = session.read.parquet(staged.path)
             if landed.isEmpty():
                 return

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from seriesframe.functions.quantiles import exact_median, value_chunk
 from seriesframe.operators import findings, snapshots
 
 D = date.fromisoformat
@@ -183,3 +184,23 @@ def test_snapshot_history_is_keyed_by_run(spark, tmp_path):
     recent = snapshots.last_two(history)
     assert {(r.snapshot_date.day, r.age) for r in recent.collect()} == {(15, 1), (8, 2)}
     assert {(r.metric, r.value, r.label) for r in recent.filter("age = 1").collect()} == {("value", 5.0, None), ("name", None, "x")}
+
+
+def test_median_leaves_out_nan_and_orders_infinities(spark):
+    inf, nan = float("inf"), float("nan")
+    groups = {"a": [1.0, nan, 3.0, None], "b": [-inf, 0.0, inf], "c": [inf, inf, 1.0], "d": [-0.003, -0.002, 0.001, 0.004], "e": [nan]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
+    got = {r.k: r.m for r in exact_median(df, "k", "v", "m").collect()}
+    assert got == {"a": 2.0, "b": 0.0, "c": inf, "d": -0.0005}
+
+
+def test_value_chunks_are_ordered_and_split_small_values(spark):
+    rows = spark.range(200_000).select(((F.col("id") - 100_000) / 1e7).alias("v"))
+    extremes = spark.sql("select explode(array(4.9e-324D, -4.9e-324D, 1.7976931348623157e308D, -1.7976931348623157e308D,"
+                         " double('inf'), double('-inf'), 0.5D, 0.49999999999999994D, 8D, 7.999999999999999D)) as v")
+    chunked = rows.union(extremes).select("v", value_chunk(F.col("v")).alias("c"))
+    bounds = sorted((r.lo, r.hi, r.c, r.n) for r in chunked.groupBy("c").agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).collect())
+    assert [b[2] for b in bounds] == sorted(b[2] for b in bounds)
+    assert all(x[1] < y[0] for x, y in zip(bounds, bounds[1:]))
+    assert len(bounds) > 5000 and max(b[3] for b in bounds) < 200

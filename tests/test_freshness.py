@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from seriesframe.functions.columns import utc_hour
 from seriesframe.operators import freshness
 
 D = date.fromisoformat
@@ -111,3 +112,22 @@ def test_open_incidents(spark):
     df = spark.createDataFrame(rows, "opened timestamp_ntz, title string, state string")
     r = freshness.open_incidents(df, "opened", "title").collect()[0]
     assert (r.open_incidents, r.latest_title) == (2, "new")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+def test_dates_are_cut_in_utc_in_any_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        row = spark.sql(
+            "select timestamp'2024-03-06T21:30:00Z' as zoned, timestamp_ntz'2024-03-06 21:30:00' as plain,"
+            " timestamp'2024-03-10T00:15:00Z' as sunday, timestamp'2024-11-03T05:30:00Z' as doubled"
+        ).select(
+            freshness.expected_date(F.col("zoned")).alias("a"),
+            freshness.expected_date(F.col("plain")).alias("b"),
+            freshness.expected_date(F.col("sunday")).alias("c"),
+            utc_hour("doubled").alias("d"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert (str(row.a), str(row.b), str(row.c), row.d) == ("2024-03-06", "2024-03-06", "2024-03-08", 5)

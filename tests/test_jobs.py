@@ -99,10 +99,46 @@ def test_weekly_job_compares_with_the_last_run(spark, built, tmp_path):
     assert {r.moved for r in first.collect()} == {"first"}
     second = {(r.section, r.metric): r for r in weekly.run(spark, str(tmp_path / "h"), metrics("2024-02-11")).collect()}
     moved = second[("spread", "spread_pts")]
-    assert moved.moved in ("up", "down", "flat") and moved.previous is not None
+    step = round(moved.value - moved.previous, 1)
+    assert moved.moved == ("flat" if step == 0 else "up" if step > 0 else "down")
     assert second[("rates", "total")].value is not None
 
 
+def _run_of(spark, day, values):
+    rows = [(D(day), section, metric, value, None) for (section, metric), value in values.items()]
+    return spark.createDataFrame(rows, "snapshot_date date, section string, metric string, value double, label string")
+
+
+def test_weekly_changes_are_flat_at_the_places_of_each_metric(spark, tmp_path):
+    vol, corr, count, share = ("volatility", "latest_pct"), ("lag", "best_corr"), ("rates", "typical"), ("concentration", "top_share_pct")
+    before = {vol: 1.00, corr: 0.100, count: 7.0, share: 20.00}
+    after = {vol: 1.48, corr: 0.148, count: 6.0, share: 20.04}
+    weekly.run(spark, str(tmp_path / "h"), _run_of(spark, "2024-02-05", before))
+    rows = weekly.run(spark, str(tmp_path / "h"), _run_of(spark, "2024-02-12", after)).collect()
+    got = {(r.section, r.metric): (r.moved, round(r.magnitude, 6)) for r in rows}
+    assert got == {vol: ("up", 0.48), corr: ("up", 0.05), count: ("down", 1.0), share: ("flat", 0.0)}
+
+
+def test_repeated_weekly_run_replaces_its_whole_snapshot(spark, tmp_path):
+    target = str(tmp_path / "h")
+    a, b = ("lag", "best_lag"), ("rates", "total")
+    weekly.run(spark, target, _run_of(spark, "2024-02-05", {a: 1.0}))
+    weekly.run(spark, target, _run_of(spark, "2024-02-12", {a: 2.0, b: 9.0}))
+    weekly.run(spark, target, _run_of(spark, "2024-02-12", {a: 3.0}))
+    kept = {(r.snapshot_date, r.metric, r.value) for r in spark.read.parquet(target).collect()}
+    assert kept == {(D("2024-02-05"), "best_lag", 1.0), (D("2024-02-12"), "best_lag", 3.0)}
+
+
+def test_weekly_metrics_from_the_gold_tables(spark, built):
+    base, _, _ = built
+    rows = weekly.from_gold(spark, str(base / "lake"), {"infra": ["A"], "core": ["B", "C"]}).collect()
+    cells = {(r.section, r.metric): r.value for r in rows}
+    assert cells[("cohorts", "gap_pts")] == pytest.approx(
+        cells[("cohorts", "left_final_pct")] - cells[("cohorts", "right_final_pct")]
+    )
+    assert ("volatility", "latest_pct") in cells
+
+
 def _feed(spark, folder, rows):
     spark.createDataFrame([(s, D(d), v, f) for s, d, v, f in rows], "symbol string, date date, close double, fetched_at int").coalesce(1).write.mode("append").parquet(folder)
 
