@@ -42,9 +42,9 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and the sequences they fill."""
+    """Pieces of the documents with their token ids, and the sequences they fill."""
     pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES: list[tuple[str, Stage]] = [
