@@ -7,6 +7,10 @@ meaning (menus, headers, footers, sidebars, notices, adverts, forms, scripts, st
 on one with few pages, where nothing can recur. What is left of the article, else of the main element, else of the body,
 is the text: one line per block.
 
+A class name, id or role counts as a whole, and never drops an article, the main element or what holds them. An article in
+an element so named stays beside the other text of its main element or body, unless an article elsewhere is the page's
+main part; one among comments goes with them.
+
 Only (page, host, hash) rows are shuffled; a page's text is moved only where the pages with a template inside their main
 part are too many for a size-checked broadcast.
 
@@ -52,6 +56,13 @@ MARKED = frozenset(
     " share sharing sidebar social sponsor sponsored subscribe toolbar widget contentinfo complementary".split()
 )
 MARKED_OUTSIDE = frozenset("header masthead alert".split())
+#: Words that may stand beside a marked one in a name: post-comments is boilerplate, but with-sidebar and ad-free are not.
+PLAIN = frozenset(
+    "area articles block box button buttons container div entry form gpt google icons inner links list page post posts"
+    " section site slot stories title user wrap wrapper".split()
+)
+#: Articles in an element of these are comments.
+COMMENTS = frozenset("comment comments disqus".split())
 CLOSED_BY = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]),
     "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"]),
@@ -64,13 +75,23 @@ _TOKEN = re.compile(
 )
 _MARKS = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[^a-z0-9]+")
+
+
+def marked(name: str, words: frozenset[str]) -> bool:
+    """Whether a whole class name, id or role tells boilerplate: words of boilerplate, with nothing but plain words of layout."""
+    parts = [p for p in _PARTS.split(name) if p and p.isalpha()]
+    return any(p in words for p in parts) and all(p in words or p in MARKED or p in PLAIN for p in parts)
 
 
 class _Element:
-    __slots__ = ("tag", "gone", "place", "parts", "number", "holds_main")
+    """gone: 0 not, 1 by a class name, 2 by its tag or as comments; kept: in an article that a class name would drop."""
+
+    __slots__ = ("tag", "gone", "place", "kept", "parts", "number", "holds_main")
 
-    def __init__(self, tag: str, gone: bool, place: int, parts: list[str] | None, number: int):
-        self.tag, self.gone, self.place, self.parts, self.number, self.holds_main = tag, gone, place, parts, number, False
+    def __init__(self, tag: str, gone: int, place: int, kept: bool, parts: list[str] | None, number: int):
+        self.tag, self.gone, self.place, self.kept, self.parts, self.number = tag, gone, place, kept, parts, number
+        self.holds_main = False
 
 
 class Page:
@@ -83,7 +104,7 @@ class Page:
         self.blocks: list[tuple[str, int, list[int]]] = []
         self.hashes: list[int | None] = []
         self.place = 0
-        self._open = [_Element("", False, 0, None, -1)]
+        self._open = [_Element("", 0, 0, False, None, -1)]
         self._text: list[str] = []
         self._read(source)
         self._flush()
@@ -135,15 +156,24 @@ class Page:
             self._flush()
         elif tag in ("br", "td", "th") and not above.gone:
             self._text.append(" ")
-        marks = frozenset(w for m in _MARKS.findall(attributes) for w in _WORD.findall(m.lower())) if attributes else frozenset()
-        self._note(f"<{tag} {' '.join(sorted(marks))}>" if marks else f"<{tag}>")
+        names = frozenset(n for m in _MARKS.findall(attributes) for n in m.strip("\"'").lower().split()) if attributes else frozenset()
+        words = frozenset(w for n in names for w in _WORD.findall(n))
+        self._note(f"<{tag} {' '.join(sorted(words))}>" if words else f"<{tag}>")
         if tag in VOID:
             return
-        inside = above.place > 0
-        gone = above.gone or tag in BOILERPLATE or bool(marks & MARKED and tag not in ("html", "body"))
-        gone = gone or (not inside and (tag == "header" or bool(marks & MARKED_OUTSIDE and tag not in ("html", "body"))))
-        place = above.place
-        if tag in ("article", "main") and not gone:
+        inside = above.place > 0 or above.kept
+        gone = above.gone
+        if tag in BOILERPLATE or (tag == "header" and not inside):
+            gone = 2
+        elif tag not in ("html", "body", "article", "main"):
+            if any(marked(n, MARKED) or (not inside and marked(n, MARKED_OUTSIDE)) for n in names):
+                gone = max(gone, 2 if any(not COMMENTS.isdisjoint(_PARTS.split(n)) and marked(n, MARKED) for n in names) else 1)
+        place, kept = above.place, above.kept
+        if tag == "main" and gone < 2:
+            gone, kept = 0, False
+        elif tag == "article" and gone == 1 and place < 2:
+            gone, kept = 0, True
+        if tag in ("article", "main") and not gone and not kept:
             place = max(place, 2 if tag == "article" else 1)
             self.place = max(self.place, place)
             for element in self._open:
@@ -153,7 +183,7 @@ class Page:
         if candidate:
             number = len(self.hashes)
             self.hashes.append(None)
-        self._open.append(_Element(tag, gone, place, [tag] if candidate else None, number))
+        self._open.append(_Element(tag, gone, place, kept, [tag] if candidate else None, number))
 
     def _end(self, tag: str, implied: bool = False) -> None:
         block = tag in BLOCKS or tag in CLOSED_BY

@@ -78,3 +78,21 @@ def test_template_removal(spark):
     assert all(by[200 + i] == f"same line\npart {i}" for i in range(30))
     assert by[300] == by[301] == "" and by[None] == "no id"
     assert extract(pages.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        ("<main class='content with-sidebar'><p>a</main>", "a"),
+        ("<article class='post category-social'><p>a</article>", "a"),
+        ("<article class='post social'><p>a</article>", "a"),
+        ("<div class='no-sidebar has-navbar comments-open search-result ad-free'><p>a</div>", "a"),
+        ("<div class='sidebar'><main><p>a</main></div><p>b", "a"),
+        ("<div class='popup'><article><header>H</header><p>a</article></div><nav>x</nav>", "H\na"),
+        ("<article>s<div class=related><article>t</article></div></article>", "s"),
+        ("<main>s<ol id=comments><li><article>c</article></ol></main>", "s"),
+        ("<p>s<div class='social-links'>l</div><div class='ad-300x250'>l</div><div class='related-posts'>l</div>", "s"),
+    ],
+)
+def test_marked_names(source, want):
+    assert text(source) == want
