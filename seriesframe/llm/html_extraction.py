@@ -1,8 +1,9 @@
 """Main text of web pages by site template removal.
 
 Every page is read into elements. The subtree of each candidate element (containers anywhere, text elements outside an
-article) is hashed from its tags, classes and text. Spark counts on how many pages of a host each subtree occurs; those
-on many pages are the site's template and are deleted, with all text in them. Elements that are boilerplate by their
+article) is hashed from its tags, classes and text. Spark counts on how many different pages of a host each subtree
+occurs, pages with the same main text being one; those on many pages are the site's template and are deleted, with all
+text in them. Elements that are boilerplate by their
 meaning (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) go on every host, also
 on one with few pages, where nothing can recur. What is left of the article, else of the main element, else of the body,
 is the text: one line per block.
@@ -84,6 +85,10 @@ def marked(name: str, words: frozenset[str]) -> bool:
     return any(p in words for p in parts) and all(p in words or p in MARKED or p in PLAIN for p in parts)
 
 
+def _signed(digest: int) -> int:
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
 class _Element:
     """gone: 0 not, 1 by a class name, 2 by its tag or as comments; kept: in an article that a class name would drop."""
 
@@ -207,7 +212,7 @@ class Page:
         if element.parts is not None:
             digest = xxhash.xxh3_64_intdigest("\x00".join(element.parts).encode("utf-8", "replace"))
             if not element.holds_main:
-                self.hashes[element.number] = digest - (1 << 64) if digest >> 63 else digest
+                self.hashes[element.number] = _signed(digest)
             self._note(f"{digest:x}")
 
     def _flush(self) -> None:
@@ -219,30 +224,32 @@ class Page:
                 self.blocks.append((text, self._open[-1].place, around))
 
 
-_PARSED = "key long, key2 long, page_id long, url string, host string, hashes array<long>, matter array<long>, blocks array<struct<text:string,inside:array<long>>>"
+_PARSED = "key long, key2 long, page_id long, url string, host string, content long, hashes array<long>, matter array<long>, blocks array<struct<text:string,inside:array<long>>>"
 
 
 def parse(pages: DataFrame, blocks: bool = True) -> DataFrame:
-    """One row per page: its host, the hashes of its subtrees, those around its main text, and the blocks of that text."""
+    """One row per page: its host, hashes of its main text and of its subtrees, those around that text, and its blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = pa.struct([("text", pa.string()), ("inside", pa.list_(pa.int64()))])
         for batch in batches:
             for low, high, _, _ in slices(batch.column(5)):
                 part = batch.slice(low, high - low)
-                hashes, matter, kept = [], [], []
+                content, hashes, matter, kept = [], [], [], []
                 for source in part.column(5).to_pylist():
                     page = Page(source)
                     main = [b for b in page.blocks if b[1] == page.place]
                     inside = [[h for n in around if (h := page.hashes[n]) is not None] for _, _, around in main]
+                    content.append(_signed(xxhash.xxh3_64_intdigest("\n".join(b[0] for b in main).encode("utf-8", "replace"))))
                     hashes.append(list({h for h in page.hashes if h is not None}))
                     matter.append(list(set().union(*inside)))
                     kept.append([{"text": b[0], "inside": i} for b, i in zip(main, inside, strict=True)] if blocks else [])
                 yield pa.RecordBatch.from_arrays(
                     part.columns[:5]
+                    + [pa.array(content, pa.int64())]
                     + [pa.array(x, pa.list_(pa.int64())) for x in (hashes, matter)]
                     + [pa.array(kept, pa.list_(block))],
-                    names=["key", "key2", "page_id", "url", "host", "hashes", "matter", "blocks"],
+                    names=["key", "key2", "page_id", "url", "host", "content", "hashes", "matter", "blocks"],
                 )
 
     return pages.mapInArrow(run, _PARSED)
@@ -261,14 +268,14 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
     )
     subtrees = stage(
         parse(source, blocks=False).select(
-            "key", "key2", "host", F.explode("hashes").alias("hash"), F.array_contains("matter", F.col("hash")).alias("matters")
+            "key", "key2", "host", "content", F.explode("hashes").alias("hash"), F.array_contains("matter", F.col("hash")).alias("matters")
         ),
         "subtrees",
     )
-    hosts = source.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    hosts = stage(parse(source, blocks=False).select("host", "content"), "contents").groupBy("host").agg(F.countDistinct("content").alias("pages"))
     templates = (
         subtrees.groupBy("host", "hash")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.countDistinct("content").alias("n"))
         .filter(F.col("n") >= least_pages)
         .join(hosts, "host")
         .filter(F.col("n") >= least_share * F.col("pages"))

@@ -96,3 +96,15 @@ def test_template_removal(spark):
 )
 def test_marked_names(source, want):
     assert text(source) == want
+
+
+def made(spark, rows):
+    return {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_copies_are_no_template(spark):
+    source = "<article><section><h2>Story</h2><p>long text</p></section><ul><li>a<li>b</ul></article>"
+    rows = [(i, f"//copies.example/?utm={i}", source + f"<p>read {i} times") for i in range(30)]
+    rows += [(100 + i, f"//copies.example/{i}", f"<article><p>other {i}</p></article>") for i in range(20)]
+    by = made(spark, rows)
+    assert all(by[i] == "Story\nlong text\na\nb" for i in range(30))
