@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from seriesframe.llm.text import slices
 from seriesframe.llm.work import stage
 
-#: A subtree is template when it is on so many pages of its host, and on this share of them.
-LEAST_PAGES, LEAST_SHARE = 10, 0.05
+#: A subtree is template when it is on so many different pages of its host, however many the host has.
+LEAST_PAGES = 10
 
 # Element names by role, and the words that mark boilerplate in class, id and role attributes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -255,7 +255,7 @@ def parse(pages: DataFrame, blocks: bool = True) -> DataFrame:
     return pages.mapInArrow(run, _PARSED)
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     """page_id, url and text of every page."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^(?:[a-zA-Z][\w+.-]*:)?//([^/?#]*)", 1))
     source = pages.select(
@@ -272,13 +272,10 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
         ),
         "subtrees",
     )
-    hosts = stage(parse(source, blocks=False).select("host", "content"), "contents").groupBy("host").agg(F.countDistinct("content").alias("pages"))
     templates = (
         subtrees.groupBy("host", "hash")
         .agg(F.countDistinct("content").alias("n"))
         .filter(F.col("n") >= least_pages)
-        .join(hosts, "host")
-        .filter(F.col("n") >= least_share * F.col("pages"))
         .select("host", "hash")
     )
     hits = stage(

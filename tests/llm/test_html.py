@@ -108,3 +108,11 @@ def test_copies_are_no_template(spark):
     rows += [(100 + i, f"//copies.example/{i}", f"<article><p>other {i}</p></article>") for i in range(20)]
     by = made(spark, rows)
     assert all(by[i] == "Story\nlong text\na\nb" for i in range(30))
+
+
+def test_template_of_a_section(spark):
+    rows = [(i, f"//large.example/{i}", f"<article>{'<div>Autumn sale</div>' if i % 100 == 0 else ''}<p>story {i}</p></article>") for i in range(1200)]
+    rows += [(2000 + i, f"//large.example/b{i}", f"<article><div>Rare note</div><p>tale {i}</p></article>") for i in range(9)]
+    by = made(spark, rows)
+    assert all(by[i] == f"story {i}" for i in range(1200))
+    assert all(by[2000 + i] == f"Rare note\ntale {i}" for i in range(9))
