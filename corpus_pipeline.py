@@ -1,6 +1,6 @@
 """From raw documents to training sequences: five stages, each over all that the one before has kept.
 
-Language identification drops documents without a language, exact and near deduplication keep one document of each group,
+Language identification drops documents that no language is close enough to, exact and near deduplication keep one document of each group,
 secret scans mask what they find, and packing cuts the rest into sequences. Every stage is written as Parquet and read
 again, so a lost executor costs the work of one stage at most.
 """
@@ -20,8 +20,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are given a language; the model learns from those with one that are not held out."""
-    return language_id.accepted(docs, language_id.fit(docs.filter(~language_id.held_out())))
+    """Documents that are given a language; the model learns from those with one, and its cuts from those held out."""
+    model = language_id.fit(docs.filter(~language_id.held_out()))
+    return language_id.accepted(docs, language_id.calibrated(model, docs.filter(language_id.held_out())))
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

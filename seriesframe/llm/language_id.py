@@ -7,20 +7,27 @@ the driver receives one row per bucket and language. A text's margin for a bit i
 n-grams, divided by their number. Decoding picks the codeword with the least loss, a bit counting the more the better
 it separates the training languages, and flags a text as ambiguous when the second best is nearly as close.
 
+`accepted` keeps the texts that the decoding gives a language: not those too far from every codeword, nor ambiguous ones.
+How far is too far is fitted by `calibrated` on texts in known languages that the model has not seen, by length, as short
+texts tell less: a text stays when its loss is at most that of known texts as long or longer (all but 1 - KNOWN of them)
+and SLACK more. Ambiguity rejects where hardly any known text is ambiguous.
+
 Up to seven languages get the exhaustive code, which separates every two codewords in half of its bits; more get random
 codewords of 24 bits and more, drawn until every two differ in a quarter of the bits.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0; training rows without a language are left
-out; without training rows every text is `und`; ties go to the first language by name; only the named columns are read.
+out; without training rows every text is `und`; texts shorter than every known one, all texts where fewer than LEAST_KNOWN
+known ones are at hand, and all with a model that is not calibrated stay if they have a letter; ties go to the first language by name; only the named columns are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +40,10 @@ ORDERS, BUCKET_BITS = (2, 3, 4), 15
 NEUTRAL = 8
 #: How sharply a loss difference turns into a score, and the score distance of an ambiguous text.
 SHARPNESS, AMBIGUOUS = 6.0, 0.2
+#: Share of the known texts that stay for sure, loss allowed beyond theirs, and how many a cut needs.
+KNOWN, SLACK, LEAST_KNOWN = 0.9999, 0.05, 20
+#: Lengths are told apart by powers of two, losses (clipped at 1) by this many steps.
+BANDS, STEPS = 64, 500
 #: Bytes of text whose n-grams are in memory at once.
 SLICE = 1 << 16
 #: Unknown language.
@@ -49,6 +60,8 @@ class Model:
     code: np.ndarray  # language x bit, 0 or 1
     weights: np.ndarray  # (order, bucket) x bit
     trust: np.ndarray  # per bit
+    cut: np.ndarray | None = None  # greatest loss by band of length
+    sure: np.ndarray | None = None  # whether ambiguity rejects, by band
 
 
 def codewords(n: int, seed: int = 17) -> np.ndarray:
@@ -149,8 +162,8 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mod
     return Model(languages, code, np.clip(weights, -4, 4).T.astype(np.float32), trust / trust.sum())
 
 
-def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best language number, its score from 0 to 1, and whether the runner-up is nearly as close."""
+def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Best language number, its score from 0 to 1, whether the runner-up is nearly as close, and the least loss."""
     signs = 2.0 * model.code - 1
     loss = np.log1p(np.exp(-np.clip(margins[:, None, :] * signs[None, :, :] * SHARPNESS, -30, 30))) @ model.trust
     likely = np.exp(-SHARPNESS * (loss - loss.min(1, keepdims=True)))
@@ -158,19 +171,67 @@ def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     best = likely.argmax(1)
     ranked = np.sort(likely, axis=1)
     second = ranked[:, -2] if ranked.shape[1] > 1 else np.zeros(len(ranked))
-    return best, ranked[:, -1], ranked[:, -1] - second < AMBIGUOUS
+    return best, ranked[:, -1], ranked[:, -1] - second < AMBIGUOUS, loss.min(1)
 
 
-def label(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language, score and ambiguity of each text."""
+def judge(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score, ambiguity, loss and band of length of each text."""
     if not model.languages:
-        return [UND] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+        none = np.zeros(len(texts))
+        return [UND] * len(texts), none, np.ones(len(texts), bool), none, none.astype(np.int64)
     buckets, rows = grams(texts)
     sums = np.add.reduceat(model.weights[buckets], rows[:-1], axis=0, dtype=np.float64)
-    best, score, unsure = decode(model, sums / (np.diff(rows) + NEUTRAL)[:, None])
+    best, score, unsure, _ = decode(model, sums / (np.diff(rows) + NEUTRAL)[:, None])
+    # for the cuts all bytes count, so that a few letters among digits and signs are no language
+    whole = np.maximum(np.diff(rows), len(ORDERS) * np.array([len(t.encode()) for t in texts]))
+    loss = decode(model, sums / (whole + NEUTRAL)[:, None])[3]
     lettered = np.array([bool(_LETTER.search(t)) for t in texts], bool)
     names = [model.languages[b] if ok else UND for b, ok in zip(best, lettered, strict=True)]
-    return names, np.where(lettered, np.round(score, 9), 0.0), unsure | ~lettered
+    band = np.log2(np.maximum(whole, 1)).astype(np.int64)
+    return names, np.where(lettered, np.round(score, 9), 0.0), unsure | ~lettered, loss, band
+
+
+def label(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and ambiguity of each text."""
+    return judge(model, texts)[:3]
+
+
+def calibrated(model: Model, known: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
+    """The model with cuts fitted on texts that it has not seen, those whose language it tells rightly."""
+    sent = known.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((BANDS, STEPS + 1, 2), np.int64)
+        for batch in batches:
+            for part, texts in _parts(batch, 1):
+                names, _, unsure, loss, band = judge(sent.value, texts)
+                right = np.array([a == b for a, b in zip(names, part.column(0).to_pylist(), strict=True)], bool)
+                step = np.ceil(np.minimum(loss, 1) * STEPS).astype(np.int64)
+                np.add.at(total, (band[right], step[right], unsure[right].astype(np.int64)), 1)
+        found = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x, pa.int64()) for x in (*found, total[found])], names=["band", "step", "unsure", "n"]
+        )
+
+    rows = known.filter(F.col(lang_col).isNotNull()).select(
+        F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    )
+    counts = rows.mapInArrow(run, "band long, step long, unsure long, n long").groupBy("band", "step", "unsure").agg(F.sum("n"))
+    told = counts.toArrow()  # bands times steps: a result of fixed size
+    total = np.zeros((BANDS, STEPS + 1, 2))
+    total[tuple(told[k].to_numpy() for k in range(3))] = told[3].to_numpy()
+    longer = total[::-1].cumsum(0)[::-1]  # texts of a band and all longer ones
+    size = longer.sum((1, 2))
+    cut, sure = np.full(BANDS, np.inf), np.zeros(BANDS, bool)
+    fitted = np.flatnonzero(size >= LEAST_KNOWN)
+    if len(fitted):
+        shortest = int(np.flatnonzero(total.sum((1, 2)))[0])
+        for band in range(shortest, BANDS):
+            from_here = min(band, int(fitted[-1]))
+            below = longer[from_here].sum(1).cumsum()
+            cut[band] = int(np.searchsorted(below, KNOWN * size[from_here])) / STEPS + SLACK
+            sure[band] = longer[from_here, :, 1].sum() <= (1 - KNOWN) * size[from_here]
+    return replace(model, cut=cut, sure=sure)
 
 
 def _parts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -196,16 +257,24 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return texts.mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean")
 
 
-def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text has a language."""
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows, with all their columns, whose text has a language; a missing `lang_col` gets the predicted one."""
     columns = docs.columns
+    fills = lang_col in columns and docs.schema[lang_col].dataType.simpleString() == "string"
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in _parts(batch, 0):
-                stays = [name != UND for name in label(sent.value, texts)[0]]
-                yield pa.RecordBatch.from_arrays(part.columns[1:], names=columns).filter(pa.array(stays, pa.bool_()))
+                names, _, unsure, loss, band = judge(sent.value, texts)
+                stays = np.array([name != UND for name in names], bool)
+                if sent.value.cut is not None:
+                    stays &= (loss <= sent.value.cut[band]) & ~(unsure & sent.value.sure[band])
+                kept = part.columns[1:]
+                if fills:
+                    at = columns.index(lang_col)
+                    kept[at] = pc.coalesce(kept[at], pa.array(names, kept[at].type))
+                yield pa.RecordBatch.from_arrays(kept, names=columns).filter(pa.array(stays, pa.bool_()))
 
     source = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_whole"), *(F.col(f"`{c}`") for c in docs.columns))
     return source.mapInArrow(run, docs.schema)

@@ -1,7 +1,10 @@
 """Language identification: codewords, n-grams, held-out accuracy and edge cases."""
 
+import base64
+import random
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pytest
 
@@ -63,3 +66,22 @@ def test_edges(spark, docs):
     assert {r.lang_pred for r in language_id.predict(docs(rows), none).collect()} == {"und"}
     one = language_id.fit(train.filter("lang = 'en'"))
     assert {r.lang_pred for r in language_id.predict(docs(rows), one).collect()} == {"en", "und"}
+
+
+def test_unknown_languages_and_junk_are_rejected(spark):
+    known = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    draw = random.Random(1)
+    junk = [base64.b64encode(draw.randbytes(600)).decode() for _ in range(20)] + [draw.randbytes(600).hex() for _ in range(20)]
+    junk += [";".join(f"{draw.choice('bcdfghjkmnpqrstvwxz')}{draw.randrange(10**6)}{draw.choice('abcdefghijklmnopqrstuvwxyz')}" for _ in range(200)) for _ in range(20)]
+    words = "kissa istuu pöydällä ja katselee ikkunasta ulos lumista metsää jossa ketut juoksevat hiljaa yössä".split()
+    junk += [" ".join(draw.choices(words, k=300)) for _ in range(20)]
+    junk += [" ".join(draw.choices("мама мыла раму и пошла домой потому что было уже поздно".split(), k=900)) for _ in range(20)]
+    planted = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(junk)], known.schema)
+    lost = known.filter("lang = 'de'").limit(1).selectExpr("-1000L as doc_id", "text", "cast(null as string) as lang")
+    left = corpus_pipeline.known_language(spark, known.union(planted).union(lost), "")
+    by = {r.doc_id: r.lang for r in left.select("doc_id", "lang").collect()}
+    assert [i for i in by if -1000 < i < 0] == []
+    assert by[-1000] == "de"
+    truth = {r.doc_id for r in known.filter(language_id.held_out()).collect()}
+    assert truth <= set(by)
+    assert len(by) >= 0.999 * known.count()
