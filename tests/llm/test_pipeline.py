@@ -1,8 +1,10 @@
 """The pipeline against a brute-force version of its stages."""
 
+import zlib
 from collections import defaultdict
 
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
 import regex
 from tokenizers import Tokenizer
@@ -58,3 +60,12 @@ def test_stages_take_nulls_and_nothing(spark):
         for _, step in corpus_pipeline.STAGES:
             docs = step(spark, docs, "")
         assert len({r.doc_id for r in docs.collect()}) == left
+
+
+def test_packed_pieces_hold_their_tokens(spark):
+    docs = spark.createDataFrame([(1, "the dog and the cat")], "doc_id long, text string")
+    rows = corpus_pipeline.packed(spark, docs, "").orderBy("start").collect()
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ids = np.frombuffer(b"".join(r.ids for r in rows), "<u4").tolist()
+    assert ids == [*whole.encode("the dog and the cat", add_special_tokens=False).ids, 2]
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
