@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesframe.llm import byte_bpe, html_extraction, language_id, line_dedup, ngram_join, packing, quality, secrets, substring_dedup
+from seriesframe.llm import (
+    byte_bpe,
+    html_extraction,
+    language_id,
+    line_dedup,
+    ngram_join,
+    packing,
+    prefix_trie,
+    quality,
+    repair,
+    secrets,
+    sharding,
+    substring_dedup,
+)
 from seriesframe.llm.exact_dedup import exact_dedup
 from seriesframe.llm.work import fresh
 
@@ -126,3 +139,115 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near duplicates and its number of links."""
     return ngram_join.ngram_join(documents(spark, sf_dir))
+
+
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
+@query()
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, its cheapest repair and the digest of what the repair gives."""
+    return repair.report(repair.repair(repair.damaged(conversations(spark, sf_dir))))
+
+
+#: A table of the 256 checksum steps, and the checksum of a text, in DuckDB.
+_CRC_TABLE = """
+    steps as (
+        select list(list_reduce([i::ubigint, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384::ubigint * (c & 1))) order by i) as t
+        from range(256) r(i)
+    )"""
+
+
+def _crc(text: str) -> str:
+    return f"""xor(list_reduce(
+        list_prepend(4294967295::ubigint, list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::ubigint)),
+        lambda c, b: xor(c >> 8, t[((xor(c, b) & 255) + 1)::bigint])
+    ), 4294967295::ubigint)::bigint"""
+
+
+@query(
+    f"""
+    with recursive {_CRC_TABLE.strip()},
+    ids as (select distinct doc_id from documents),
+    walk as (
+        select doc_id, case when coalesce(doc_id, 0) < 0 then coalesce(doc_id, 0)::hugeint + 18446744073709551616 else coalesce(doc_id, 0)::hugeint end as key, 0::bigint as shard from ids
+        union all
+        select doc_id, next, floor((shard + 1) * (2147483648::double / ((next // 8589934592) + 1)::double))::bigint
+        from (select doc_id, shard, (key * 2862933555777941757 + 1) % 18446744073709551616 as next from walk where shard < {sharding.SHARDS + 1})
+    ),
+    placed as (
+        select doc_id, max(shard) filter (shard < {sharding.SHARDS}) as shard, max(shard) filter (shard < {sharding.SHARDS + 1}) as grown_shard
+        from walk group by doc_id
+    ),
+    sized as (
+        select doc_id, octet_length(encode(coalesce(text, ''))) + 1 as size, {_crc("coalesce(text, '')")} as text_crc32
+        from documents, steps
+    )
+    select s.doc_id, size::bigint as size, text_crc32, 'key' as law, shard::int as shard,
+           row_number() over (partition by shard order by s.doc_id nulls first, text_crc32, size) - 1 as slot,
+           grown_shard::int as grown_shard
+    from sized s join placed p on s.doc_id is not distinct from p.doc_id
+    """
+)
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of every document, and its shard when there is one more."""
+    rows = sharding.with_slots(sharding.sharded(documents(spark, sf_dir)))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query(
+    f"""
+    with {_CRC_TABLE.strip()},
+    own as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+               row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as place
+        from conversations where conv_id is not null
+    ),
+    sizes as (select conv_id, count(*) as n from own group by conv_id),
+    plan as (
+        select s.conv_id, s.conv_id - s.conv_id % 5 as leader, {_crc("s.conv_id::varchar")} % 9 as h from sizes s, steps
+    ),
+    headed as (select p.*, least(h, coalesce(l.n, 0)) as head from plan p left join sizes l on l.conv_id = p.leader),
+    turns as (
+        select p.conv_id, o.place + 1 as depth, o.role, o.text from headed p join own o on o.conv_id = p.leader and o.place < p.h
+        union all
+        select p.conv_id, o.place - p.h + p.head + 1, o.role, o.text from headed p join own o on o.conv_id = p.conv_id and o.place >= p.h
+    ),
+    paths as (
+        select conv_id, 0 as depth, 0 as bytes, [] as path from sizes
+        union all
+        select conv_id, depth, octet_length(encode(text)),
+               list(sha256(role || chr(0) || text)) over (partition by conv_id order by depth rows unbounded preceding)
+        from turns
+    ),
+    lengths as (select conv_id, max(depth) as n from paths group by conv_id),
+    named as (
+        select p.conv_id, depth, bytes, n, min(p.conv_id) over (partition by depth, path) as name
+        from paths p join lengths using (conv_id)
+    ),
+    nodes as (
+        select name, depth, count(*) as n_convs, (count(*) - 1) * any_value(bytes) as own_saved,
+               sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (depth = n), '')) as ends_sha256
+        from named group by name, depth
+    ),
+    up as (
+        select w.name, w.depth, w.n_convs, w.own_saved, w.ends_sha256, a.name as parent
+        from nodes w left join named a on a.conv_id = w.name and a.depth = w.depth - 1
+    ),
+    kids as (select parent as name, depth - 1 as depth, count(*) as n_children from up where parent is not null group by all),
+    full_nodes as (select u.*, coalesce(n_children, 0) as n_children from up u left join kids k on k.name = u.name and k.depth = u.depth),
+    totals as (
+        select a.name, a.depth, sum((f.n_children = 0)::int) as n_leaves, sum(f.own_saved) as saved_tokens
+        from full_nodes f join named a on a.conv_id = f.name and a.depth <= f.depth
+        group by a.name, a.depth
+    )
+    select f.name as conv_id, f.depth::bigint as depth, f.parent as parent_conv_id, f.n_convs, f.n_children::bigint as n_children,
+           n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens, ends_sha256
+    from full_nodes f join totals t on t.name = f.name and t.depth = f.depth
+    """
+)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations."""
+    sizes, turns = prefix_trie.with_shared_heads(prefix_trie.turns_of(conversations(spark, sf_dir)))
+    return prefix_trie.trie(sizes, turns)
