@@ -198,9 +198,6 @@ class _Piece:
         self.seen, self.chars = set(), 0
         self.blank = self.duplicate = self.truncated = self.illegal = self.steps = 0
 
-    def full(self) -> bool:
-        return len(self.roles) >= PIECE_ROWS or self.chars >= PIECE_CHARS
-
     def add(self, turn: int | None, role: str, text: str, digest: str, fault: str) -> None:
         again = digest in self.seen
         self.blank += fault == "blank"
@@ -238,7 +235,7 @@ class _Piece:
 _COUNTS = "blank long, duplicate long, truncated long, illegal long, first_role string, last_role string, low long, high long, steps long"
 
 
-def pieces(rows: DataFrame) -> DataFrame:
+def pieces(rows: DataFrame, most_rows: int = PIECE_ROWS, most_chars: int = PIECE_CHARS) -> DataFrame:
     """The `damaged` rows in order, a row per piece. `edge` tells that a conversation may have other pieces."""
     kind = rows.schema["conv_id"].dataType.simpleString()
     schema = (
@@ -264,7 +261,8 @@ def pieces(rows: DataFrame) -> DataFrame:
         for batch in batches:
             arrow = arrow or _arrow(batch.schema.field("conv_id").type)
             for row in batch.to_pylist():
-                if piece is None or row["key"] != piece.row["key"] or piece.full():
+                full = piece is not None and (len(piece.roles) >= most_rows or piece.chars >= most_chars)
+                if piece is None or full or row["key"] != piece.row["key"]:
                     split = piece is not None and row["key"] == piece.row["key"]
                     if piece is not None:
                         piece.row["edge"] |= split
@@ -394,10 +392,10 @@ def _edited(df: DataFrame) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def repair(rows: DataFrame) -> DataFrame:
+def repair(rows: DataFrame, most_rows: int = PIECE_ROWS, most_chars: int = PIECE_CHARS) -> DataFrame:
     """The pieces of all conversations of `rows` (conv_id, turn, role, text, copies), in key, part, no: their counts, the cost
     and initials of their edits, the repaired roles and texts, and `whole` where a piece is a conversation."""
-    cut = stage(pieces(rows), "repair-pieces")
+    cut = stage(pieces(rows, most_rows, most_chars), "repair-pieces")
     edges = _settled(cut.filter("edge"))
     tails = stage(_scan(edges, "before", 0, "after", True), "repair-tails")
     ends = edges.join(tails, PLACE)
