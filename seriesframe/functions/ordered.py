@@ -141,10 +141,27 @@ def rolling(
     The last n-1 rows of a block are repeated at the head of the next one, so every frame
     is whole and no task gets more than block_rows + n - 1 rows of one entity at a time.
     """
-    keys = as_keys(by)
-    size = max(block_rows, n)
-    own = F.floor(F.col(position) / size)
-    reach = F.floor((F.col(position) + (n - 1)) / size)
-    rows = df.withColumn("_own", own).withColumn("_block", F.explode(F.sequence(own, reach)))
-    w = Window.partitionBy(*keys, "_block").orderBy(position).rowsBetween(-(n - 1), 0)
-    return rows.withColumns(dict(frames(w))).filter(F.col("_own") == F.col("_block")).drop("_own", "_block")
+    return around(df, by, position, n - 1, 0, lambda w: frames(w.rowsBetween(-(n - 1), 0)), block_rows)
+
+
+def around(
+    df: DataFrame,
+    by: Keys,
+    position: str,
+    before: int,
+    after: int,
+    columns: Callable[[WindowSpec], Mapping[str, Column]],
+    block_rows: int = 4096,
+) -> DataFrame:
+    """Columns that look up to `before` rows back and `after` rows ahead, in equal blocks of row positions.
+
+    Every block also gets the rows that its own may look at, so no task gets more than
+    block_rows + before + after rows of one entity at a time.
+    """
+    size = max(block_rows, before + 1, after + 1)
+    at = F.col(position)
+    own = F.floor(at / size)
+    blocks = F.sequence(F.floor(F.greatest(at - after, F.lit(0)) / size), F.floor((at + before) / size))
+    rows = df.withColumn("_own", own).withColumn("_block", F.explode(blocks))
+    w = Window.partitionBy(*as_keys(by), "_block").orderBy(position)
+    return rows.withColumns(dict(columns(w))).filter(F.col("_own") == F.col("_block")).drop("_own", "_block")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from seriesframe.functions.columns import (
@@ -16,9 +16,10 @@ from seriesframe.functions.columns import (
     spread_side,
     spread_width,
 )
-from seriesframe.functions.ordered import Keys, as_keys, with_position, with_prev, with_running
+from seriesframe.functions.ordered import Keys, around, as_keys, chunk_of, with_position, with_prev, with_running
 from seriesframe.functions.quantiles import exact_median
 from seriesframe.operators.panels import share
+from seriesframe.sources.workspace import written
 
 
 # --- cumulative curves -------------------------------------------------------------------
@@ -63,46 +64,75 @@ def total_change(df: DataFrame, dt: str, val: str, change: str = "pct_change") -
     )
 
 
-def top_spikes(df: DataFrame, dt: str, change: str, n: int = 5) -> DataFrame:
-    """The n largest changes; of equal ones the earlier."""
-    return df.filter(F.col(change).isNotNull()).orderBy(F.col(change).desc(), dt).limit(n)
+def top_spikes(df: DataFrame, dt: str, change: str, n: int = 5, by: Keys = None) -> DataFrame:
+    """The n largest changes, of the frame or of each entity; of equal ones the earlier."""
+    known, order = df.filter(F.col(change).isNotNull()), [F.col(change).desc(), F.col(dt)]
+    if not as_keys(by):
+        return known.orderBy(*order).limit(n)
+    place = F.row_number().over(Window.partitionBy(*as_keys(by)).orderBy(*order))
+    return known.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+
+
+def _on_common_dates(x: DataFrame, y: DataFrame, dt: str, x_val: str, y_val: str, keys: list[str]) -> DataFrame:
+    """keys, dt, _x, _y: a row for every date that an entity's x or y has. A side without the keys belongs to every entity."""
+
+    def of(df: DataFrame, val: str, other: DataFrame) -> DataFrame:
+        rows = df.select(*[k for k in keys if k in df.columns], dt, F.col(val).cast("double").alias("_v"))
+        if all(k in df.columns for k in keys):
+            return rows
+        # one array for each calendar chunk of the shared series, which has one row per date
+        chunks = rows.groupBy(chunk_of(rows, dt).alias("_c")).agg(F.collect_list(F.struct(dt, "_v")).alias("_rows"))
+        chunks = written(chunks, "shared-series")
+        every = chunks.agg(F.collect_set("_c").alias("_all")).scalar()
+        entities = other.select(*keys).distinct().withColumn("_c", F.explode(every))
+        return entities.join(F.broadcast(chunks), "_c").select(*keys, F.inline("_rows"))
+
+    left, right = of(x, x_val, y), of(y, y_val, x)
+    none = F.lit(None).cast("double")
+    both = left.withColumns({"_x": F.col("_v"), "_y": none}).unionByName(right.withColumns({"_x": none, "_y": F.col("_v")}))
+    return both.groupBy(*keys, dt).agg(F.max("_x").alias("_x"), F.max("_y").alias("_y"))
 
 
 def lag_corr(
-    x: DataFrame, y: DataFrame, dt: str, x_val: str, y_val: str, lags: Sequence[int] = range(-10, 11)
+    x: DataFrame,
+    y: DataFrame,
+    dt: str,
+    x_val: str,
+    y_val: str,
+    lags: Sequence[int] = range(-10, 11),
+    by: Keys = None,
 ) -> DataFrame:
-    """Correlation of x at position i with y at position i + k for every lag k.
+    """Correlation of x at position i with y at position i + k for every lag k, for one pair of series or per entity.
 
-    Both frames have one row per date; positions count the union of their dates. A lag
-    with fewer than three complete pairs, or a constant side, has a NULL correlation.
+    Frames have one row per (entity and) date; one without the columns of `by` is compared with every entity of the
+    other. Positions count the union of both series' dates. A lag with fewer than three complete pairs, or a constant
+    side, has a NULL correlation. All lags are read off neighbouring rows in blocks of positions, so an entity with many
+    rows is spread and no row is sent once per lag.
     """
-    merged = x.select(dt, F.col(x_val).alias("_x")).join(y.select(dt, F.col(y_val).alias("_y")), dt, "full_outer")
-    placed = with_position(merged, None, dt, "_pos").select("_pos", "_x", "_y")
-    left = placed.filter(F.col("_x").isNotNull()).select(
-        "_pos", "_x", F.explode(F.array(*[F.lit(int(k)) for k in lags])).alias("lag")
-    )
-    right = placed.filter(F.col("_y").isNotNull()).select(F.col("_pos").alias("_at"), "_y")
-    pairs = left.join(right, F.col("_pos") + F.col("lag") == F.col("_at"))
-    scan = pairs.groupBy("lag").agg(
-        pearson(F.col("_x"), F.col("_y")).alias("correlation"), F.count(F.lit(1)).alias("n_pairs")
+    keys, lags = as_keys(by), [int(k) for k in lags]
+    merged = written(_on_common_dates(x, y, dt, x_val, y_val, keys), "common-dates")
+    placed = with_position(merged, keys, dt, "_pos")
+    back, ahead = max(0, -min(lags)), max(0, max(lags))
+    ahead_by = {f"_y{i}": k for i, k in enumerate(lags)}
+    met = around(placed, keys, "_pos", back, ahead, lambda w: {c: F.lead("_y", k).over(w) for c, k in ahead_by.items()})
+    # one row per lag only for the partial aggregate of the same task
+    each = F.inline(F.array(*[F.struct(F.lit(k).alias("lag"), F.col(c).alias("_at")) for c, k in ahead_by.items()]))
+    return met.select(*keys, "_x", each).groupBy(*keys, "lag").agg(
+        pearson(F.col("_x"), F.col("_at")).alias("correlation"),
+        F.count_if(F.col("_x").isNotNull() & F.col("_at").isNotNull()).alias("n_pairs"),
     )
-    every = df_of_lags(x, lags)
-    return every.join(scan, "lag", "left").withColumn("n_pairs", F.coalesce("n_pairs", F.lit(0)))
-
 
-def df_of_lags(like: DataFrame, lags: Sequence[int]) -> DataFrame:
-    one = like.sparkSession.range(1)
-    return one.select(F.explode(F.array(*[F.lit(int(k)) for k in lags])).alias("lag"))
 
-
-def best_lag(scan: DataFrame) -> DataFrame:
-    """Lag with the largest |r| (the smallest lag of equals) and the rough noise threshold."""
+def best_lag(scan: DataFrame, by: Keys = None) -> DataFrame:
+    """Lag with the largest |r| (the smallest lag of equals) and the rough noise threshold, per entity of a keyed scan."""
+    keys = as_keys(by)
     known = F.col("correlation").isNotNull()
     strength = F.when(known, F.struct(F.abs("correlation"), -F.col("lag")))
     best = F.max_by(F.struct("lag", "correlation", "n_pairs"), strength)
-    return scan.agg(
+    return scan.groupBy(*keys).agg(
         best.alias("_b"), ratio(F.lit(2.0), F.sqrt(F.avg("n_pairs"))).alias("threshold")
     ).select(
+        *keys,
         F.col("_b.lag").alias("best_lag"),
         F.col("_b.correlation").alias("best_corr"),
         F.col("_b.n_pairs").alias("n_pairs"),
@@ -112,33 +142,44 @@ def best_lag(scan: DataFrame) -> DataFrame:
 
 
 def event_study(
-    events: DataFrame, axis: DataFrame, ret: DataFrame, dt: str, change: str, ret_val: str, window: int = 10
+    events: DataFrame,
+    axis: DataFrame,
+    ret: DataFrame,
+    dt: str,
+    change: str,
+    ret_val: str,
+    window: int = 10,
+    by: Keys = None,
 ) -> DataFrame:
-    """Compound return in the `window` positions before and after each event, in percent.
+    """Compound return in the `window` positions before and after each event, in percent, for one series or per entity.
 
-    Positions count the dates of `axis` (one row per date); returns are looked up by date.
-    Sides without a usable return give 0.0 with a count of 0.
+    Positions count the dates of `axis` (one row per entity and date); returns are looked up by date, per entity where
+    `ret` has its columns. Sides without a usable return give 0.0 with a count of 0. Returns are compounded over
+    neighbouring rows in blocks of positions, so an entity with many rows is spread.
     """
-    placed = with_position(axis.select(dt), None, dt, "_pos")
-    known = ret.filter(F.col(ret_val).isNotNull()).select(dt, F.col(ret_val).alias("_r"))
-    line = placed.join(known, dt).select(F.col("_pos").alias("_at"), "_r")
-    offsets = [F.lit(k) for k in range(-window, window + 1) if k != 0]
-    reached = (
-        events.select(dt, change)
-        .join(placed, dt)
-        .select(dt, change, "_pos", F.explode(F.array(*offsets)).alias("_off"))
-        .join(line, F.col("_pos") + F.col("_off") == F.col("_at"), "left")
-    )
-    before, after = F.when(F.col("_off") < 0, F.col("_r")), F.when(F.col("_off") > 0, F.col("_r"))
-
-    def total(r):
-        return (F.coalesce(compound(r), F.lit(0.0)) * 100)
-
-    return reached.groupBy(F.col(dt).alias("spike_date"), (F.col(change) * 100).alias("spike_size_pct")).agg(
-        total(before).alias("return_before_pct"),
-        F.count(before).alias("n_before"),
-        total(after).alias("return_after_pct"),
-        F.count(after).alias("n_after"),
+    keys = as_keys(by)
+    known = ret.select(*[k for k in keys if k in ret.columns], dt, F.col(ret_val).alias("_r"))
+    line = axis.select(*keys, dt).join(known, [c for c in [*keys, dt] if c in known.columns], "left")
+    placed = with_position(written(line, "event-axis"), keys, dt, "_pos")
+
+    def sides(w: WindowSpec) -> dict[str, Column]:
+        before, after = w.rowsBetween(-window, -1), w.rowsBetween(1, window)
+        return {
+            "return_before_pct": F.coalesce(F.product(1 + F.col("_r")).over(before) - 1, F.lit(0.0)) * 100,
+            "n_before": F.count("_r").over(before),
+            "return_after_pct": F.coalesce(F.product(1 + F.col("_r")).over(after) - 1, F.lit(0.0)) * 100,
+            "n_after": F.count("_r").over(after),
+        }
+
+    seen = around(placed, keys, "_pos", window, window, sides)
+    return events.select(*keys, dt, change).distinct().join(seen, [*keys, dt]).select(
+        *keys,
+        F.col(dt).alias("spike_date"),
+        (F.col(change) * 100).alias("spike_size_pct"),
+        "return_before_pct",
+        "n_before",
+        "return_after_pct",
+        "n_after",
     )
 
 
@@ -154,7 +195,7 @@ def event_summary(study: DataFrame) -> DataFrame:
 
 def entity_shares(df: DataFrame, ent: str, val: str, round_to: int | None = None) -> DataFrame:
     """Sum and share of the total per entity in percent, in no order."""
-    sums = df.filter(F.col(val).isNotNull()).groupBy(ent).agg(F.sum(val).alias(val))
+    sums = written(df.filter(F.col(val).isNotNull()).groupBy(ent).agg(F.sum(val).alias(val)), "entity-sums")
     shares = share(sums, val)
     return shares if round_to is None else shares.withColumn("share_pct", F.round("share_pct", round_to))
 
@@ -315,7 +356,7 @@ def cohort_summary(members: DataFrame, ent: str, dt: str, val: str, group: str =
         (compound(F.col("mean_return")) * 100).alias("final_return_pct"),
         (F.stddev_samp("mean_return") * F.sqrt(F.lit(float(TRADING_DAYS_PER_YEAR)))).alias("annual_vol"),
     )
-    each = total_returns(members, [group, ent], val, "_total")
+    each = written(total_returns(members, [group, ent], val, "_total"), "member-returns")
     parts = each.groupBy(group).agg(
         F.count(F.lit(1)).alias("members"),
         F.count_if(F.col("_total") < 0).alias("negative_members"),

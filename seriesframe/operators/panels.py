@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from seriesframe.functions.columns import compound
 from seriesframe.functions.ordered import CHUNK, Keys, as_keys, chunk_of, with_prev
 from seriesframe.operators.shaping import latest
-from seriesframe.sources.tables import PERIOD, period_of
+from seriesframe.sources.tables import PERIOD, grain_of, period_of
+from seriesframe.sources.workspace import written
 
 # The window choices, in days; None is the whole history.
 WINDOW_DAYS = (1, 7, 30, 90, None)
@@ -26,8 +27,8 @@ def span_days(days: int | None) -> int | None:
 
 
 def _since(df: DataFrame, dt: str, floor: Column, grain: str | None = None) -> DataFrame:
-    """Rows from `floor` on. With the grain of a period-partitioned table whole partitions are skipped."""
-    kept = df.filter(F.col(dt) >= floor)
+    """Rows from `floor` on. Of a table by periods of `dt`, marked or with its grain given, whole partitions are skipped."""
+    kept, grain = df.filter(F.col(dt) >= floor), grain or grain_of(df, dt)
     return kept.filter(F.col(PERIOD) >= period_of(floor, grain)) if grain else kept
 
 
@@ -36,8 +37,8 @@ def trail(df: DataFrame, dt: str, days: int | None, by: Keys = None, grain: str
 
     The shared anchor is a scalar subquery, evaluated before the scan. Per-entity cut-offs
     are joined on (entity, chunk), which spreads an entity with many rows; the lowest
-    cut-off is applied first as a plain filter. `grain` tells that `df` is a table by periods of
-    that length; without it a column named like the period is a column as any other.
+    cut-off is applied first as a plain filter. A table by periods that was written or merged here is marked as
+    such; `grain` tells it of others. A column that only has the period's name is a column as any other.
     """
     if days is None:
         return df
@@ -75,10 +76,19 @@ def compound_return(
     a column that already holds the previous row's date. Entities without any usable return
     keep a row of NULLs. `grain` is that of a table by periods, as for `trail`.
     """
-    keys = as_keys(by)
+    keys, used = as_keys(by), F.col(ret).isNotNull()
+    if prev_dt is None and not keys:
+        kept = trail(df, dt, span_days(days), None, grain)
+        first = kept.filter(used).agg(F.min(dt).alias("_first")).scalar()
+        before = df.filter(F.col(dt) < first).agg(F.max(dt).alias("_before")).scalar()
+        return kept.agg(
+            compound(F.col(ret)).alias("value"),
+            F.min(F.when(used, F.col(dt))).alias("start_date"),
+            F.max(F.when(used, F.col(dt))).alias("end_date"),
+            *extra,
+        ).withColumn("start_date", F.coalesce(before, F.col("start_date")))
     if prev_dt is None:
         df, prev_dt = with_prev(df, keys, dt, {"_prev_dt": dt}), "_prev_dt"
-    used = F.col(ret).isNotNull()
     start = F.min_by(F.coalesce(prev_dt, dt), F.when(used, F.col(dt)))
     return (
         trail(df, dt, span_days(days), keys, grain)
@@ -131,13 +141,10 @@ def growth_board(df: DataFrame, by: Keys, dt: str, val: str, days: int | None) -
 
 def window_sum(df: DataFrame, by: Keys, dt: str, val: str, days: int | None) -> DataFrame:
     """Sum per entity over one window that all entities share; its dates are on every row."""
-    known = trail(df.filter(F.col(val).isNotNull()), dt, days)
-    ends = known.agg(F.min(dt).alias("lo"), F.max(dt).alias("hi"))
-    return (
-        known.groupBy(*as_keys(by))
-        .agg(F.sum(val).alias("value"))
-        .withColumns({"start_date": ends.select("lo").scalar(), "end_date": ends.select("hi").scalar()})
-    )
+    known = df.filter(F.col(val).isNotNull())
+    kept = trail(known, dt, days)
+    start, end = kept.agg(F.min(dt).alias("_start")).scalar(), known.agg(F.max(dt).alias("_anchor")).scalar()
+    return kept.groupBy(*as_keys(by)).agg(F.sum(val).alias("value")).withColumns({"start_date": start, "end_date": end})
 
 
 def top_n_other(sums: DataFrame, key: str, val: str, n: int, other: str = "Other") -> DataFrame:
@@ -159,16 +166,23 @@ def top_n_other(sums: DataFrame, key: str, val: str, n: int, other: str = "Other
     return named.unionByName(rest)
 
 
-def share(df: DataFrame, val: str, out: str = "share_pct", total_of: DataFrame | None = None) -> DataFrame:
+def share(df: DataFrame, val: str, out: str = "share_pct") -> DataFrame:
     """Percent of the frame's total, 0 where the total is 0. The total is a scalar subquery."""
-    total = (df if total_of is None else total_of).agg(F.sum(val).cast("double").alias("_total")).scalar()
+    return _percent(df, val, out, df.agg(F.sum(val).cast("double").alias("_total")).scalar())
+
+
+def _percent(df: DataFrame, val: str, out: str, total: Column) -> DataFrame:
     return df.withColumn(out, F.when(total > 0, F.col(val) / F.nullif(total, F.lit(0.0)) * 100).otherwise(F.lit(0.0)))
 
 
 def volume_board(df: DataFrame, ent: str, dt: str, val: str, days: int | None, n: int = 6) -> DataFrame:
     """Share of the window's sum: top n entities and the rest."""
-    sums = window_sum(df, ent, dt, val, days).select(ent, "value")
-    return share(top_n_other(sums, ent, "value", n), "value", total_of=sums)
+    # one row per entity, read three times
+    sums = written(window_sum(df, ent, dt, val, days).select(ent, "value"), "window-sums")
+    board = top_n_other(sums, ent, "value", n)
+    # the board has n + 1 rows at most
+    total = F.sum("value").over(Window.partitionBy(F.lit(0))).cast("double")
+    return _percent(board.withColumn("_total", total), "value", "share_pct", F.col("_total")).drop("_total")
 
 
 def ohlc_window(

@@ -128,13 +128,13 @@ class Lake:
         def build() -> DataFrame:
             return running_level(self._event_days().withColumnRenamed("event_type", "entity"), "entity", "ts")
 
-        return self._table("levels", build)
+        return self._table("levels", build, "snapshot_date", ("entity",))
 
     def trailing_counts(self) -> DataFrame:
         def build() -> DataFrame:
             return trailing_count(self._event_days().withColumnRenamed("event_type", "category"), "category", "ts")
 
-        return self._table("trailing_counts", build)
+        return self._table("trailing_counts", build, "snapshot_date", ("category",))
 
     def run_log(self) -> DataFrame:
         """Events as pipeline runs: views are unfinished, errors are failures."""

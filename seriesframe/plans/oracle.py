@@ -154,6 +154,44 @@ lags as (
   group by l.lag)""",
         ("attn", "spread"),
     ),
+    "symbol_lags": (
+        """
+bench as (select date, daily_return as y from ret where category = 'benchmark'),
+symbol_dates as (
+  select symbol, date from ret union select s.symbol, b.date from (select distinct symbol from ret) s cross join bench b),
+symbol_line as (
+  select d.symbol, r.daily_return as x, b.y, row_number() over (partition by d.symbol order by d.date) as pos
+  from symbol_dates d left join ret r on r.symbol = d.symbol and r.date = d.date left join bench b on b.date = d.date),
+symbol_list as (select s.symbol, cast(k as integer) as lag from (select distinct symbol from ret) s, range(-10, 11) as t(k)),
+symbol_lags as (
+  select l.symbol, l.lag, count(b.y) as n_pairs,
+         case when count(b.y) >= 3 and stddev_pop(b.y) > 0 and stddev_pop(a.x) > 0 then corr(a.x, b.y) end as correlation
+  from symbol_list l
+  left join symbol_line a on a.symbol = l.symbol and a.x is not null
+  left join symbol_line b on b.symbol = l.symbol and b.pos = a.pos + l.lag and b.y is not null
+  group by l.symbol, l.lag)""",
+        ("ret",),
+    ),
+    "symbol_study": (
+        """
+own_days as (
+  select r.symbol, r.date, r.daily_return as change, b.daily_return as r,
+         row_number() over (partition by r.symbol order by r.date) as pos
+  from ret r left join (select date, daily_return from ret where category = 'benchmark') b on b.date = r.date),
+own_spikes as (
+  select * from (select *, row_number() over (partition by symbol order by change desc, date) as place
+                 from own_days where change is not null) w where place <= 5),
+symbol_study as (
+  select e.symbol, e.date as spike_date, e.change * 100 as spike_size_pct,
+         (coalesce(product(1 + d.r) filter (where d.pos < e.pos), 1) - 1) * 100 as return_before_pct,
+         count(d.r) filter (where d.pos < e.pos) as n_before,
+         (coalesce(product(1 + d.r) filter (where d.pos > e.pos), 1) - 1) * 100 as return_after_pct,
+         count(d.r) filter (where d.pos > e.pos) as n_after
+  from own_spikes e
+  left join own_days d on d.symbol = e.symbol and d.pos between e.pos - 10 and e.pos + 10 and d.pos <> e.pos and d.r is not null
+  group by e.symbol, e.date, e.change, e.pos)""",
+        ("ret",),
+    ),
     "best": (
         """
 best_row as (select * from lags where correlation is not null order by abs(correlation) desc, lag limit 1),
@@ -584,6 +622,25 @@ from (select (product(1 + basket_return) - 1) * 100 as l, (product(1 + benchmark
   as return_before_pct, n_before, round(return_after_pct, 6) as return_after_pct, n_after from study""",
         "study",
     ),
+    "lag_correlation_by_symbol": _with(
+        "select symbol, lag, round(correlation, 6) as correlation, n_pairs from symbol_lags", "symbol_lags"
+    ),
+    "best_lag_by_symbol": _with(
+        """
+select symbol, arg_max(lag, {'r': abs(correlation), 'l': -lag}) filter (where correlation is not null) as best_lag,
+       round(arg_max(correlation, {'r': abs(correlation), 'l': -lag}) filter (where correlation is not null), 6) as best_corr,
+       arg_max(n_pairs, {'r': abs(correlation), 'l': -lag}) filter (where correlation is not null) as n_pairs,
+       round(2 / sqrt(nullif(avg(n_pairs), 0)), 6) as threshold,
+       max(abs(correlation)) >= 2 / sqrt(nullif(avg(n_pairs), 0)) as above_noise
+from symbol_lags group by symbol""",
+        "symbol_lags",
+    ),
+    "event_study_by_symbol": _with(
+        """
+select symbol, spike_date, round(spike_size_pct, 6) as spike_size_pct, round(return_before_pct, 6) as return_before_pct,
+       n_before, round(return_after_pct, 6) as return_after_pct, n_after from symbol_study""",
+        "symbol_study",
+    ),
     "event_summary": _with(
         "select round(return_before_pct, 6) as return_before_pct, round(return_after_pct, 6) as return_after_pct,"
         " round(gap_pts, 6) as gap_pts from study_mean",

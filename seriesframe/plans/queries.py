@@ -133,7 +133,7 @@ def count_history(lake: Lake) -> DataFrame:
 def _compound_return(days: int | None, table: Callable[[Lake], DataFrame] = Lake.market_daily):
     def run(lake: Lake) -> DataFrame:
         rets = table(lake).select("symbol", "date", "daily_return", "prev_date", PERIOD)
-        return r6(panels.compound_return(rets, "date", "daily_return", days, "symbol", "prev_date", grain="year"), "value")
+        return r6(panels.compound_return(rets, "date", "daily_return", days, "symbol", "prev_date"), "value")
 
     return run
 
@@ -146,7 +146,7 @@ register("compound_return_90_by_part", _compound_return(90, Lake.part_daily))
 @query
 def trailing_rows_7d(lake: Lake) -> DataFrame:
     """Rows of each symbol's own last seven days."""
-    return panels.trail(lake.bars(), "date", 7, "symbol", "year").select("symbol", "date", "close", "volume")
+    return panels.trail(lake.bars(), "date", 7, "symbol").select("symbol", "date", "close", "volume")
 
 
 @query
@@ -154,7 +154,7 @@ def spread_return_30d(lake: Lake) -> DataFrame:
     """Both sides of the spread chart: one series each, without an entity."""
 
     def one(side: str) -> DataFrame:
-        got = panels.compound_return(lake.spread().select("date", side), "date", side, 30)
+        got = panels.compound_return(lake.spread().select("date", side, PERIOD), "date", side, 30)
         return got.withColumn("side", F.lit(side))
 
     return r6(union([one("basket_return"), one("benchmark_return")]), "value")
@@ -249,8 +249,8 @@ def as_of_dates(lake: Lake) -> DataFrame:
 
 @query
 def volatility_panel_90d(lake: Lake) -> DataFrame:
-    tail = panels.known_tail(no_period(lake.volatility()), "date", "rolling_volatility", 90)
-    return r6(tail, "rolling_volatility", "latest_value")
+    tail = panels.known_tail(lake.volatility(), "date", "rolling_volatility", 90)
+    return r6(no_period(tail), "rolling_volatility", "latest_value")
 
 
 # --- findings -----------------------------------------------------------------------------------
@@ -278,6 +278,11 @@ def _events(lake: Lake) -> DataFrame:
     return findings.event_study(spikes, daily, lake.spread(), "date", "pct_change", "basket_return")
 
 
+def _symbol_lags(lake: Lake) -> DataFrame:
+    rows, bench = lake.market_daily(), lake.benchmark().select("date", "daily_return")
+    return findings.lag_corr(rows, bench, "date", "daily_return", "daily_return", by="symbol")
+
+
 def _rates(lake: Lake) -> DataFrame:
     series = lake.indicators().filter(F.col("series") == YIELD_SERIES)
     return findings.direction(series, "date", "value")
@@ -331,6 +336,26 @@ def event_study(lake: Lake) -> DataFrame:
     return r6(_events(lake), "spike_size_pct", "return_before_pct", "return_after_pct")
 
 
+@query
+def lag_correlation_by_symbol(lake: Lake) -> DataFrame:
+    """Every symbol's returns against the benchmark's, ten days either way."""
+    return r6(_symbol_lags(lake), "correlation")
+
+
+@query
+def best_lag_by_symbol(lake: Lake) -> DataFrame:
+    return r6(findings.best_lag(_symbol_lags(lake), "symbol"), "best_corr", "threshold")
+
+
+@query
+def event_study_by_symbol(lake: Lake) -> DataFrame:
+    """The benchmark before and after the five best days of every symbol, on the symbol's own dates."""
+    rows = lake.market_daily().select("symbol", "date", "daily_return")
+    spikes = findings.top_spikes(rows, "date", "daily_return", by="symbol")
+    study = findings.event_study(spikes, rows, lake.benchmark().select("date", "daily_return"), "date", "daily_return", "daily_return", by="symbol")
+    return r6(study, "spike_size_pct", "return_before_pct", "return_after_pct")
+
+
 @query
 def event_summary(lake: Lake) -> DataFrame:
     return r6(findings.event_summary(_events(lake)), "return_before_pct", "return_after_pct", "gap_pts")

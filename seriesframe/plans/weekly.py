@@ -12,7 +12,7 @@ from seriesframe.operators import findings
 from seriesframe.operators.panels import as_of
 from seriesframe.operators.snapshots import append_snapshot, last_two, metric_change, snapshot_rows
 from seriesframe.sources.tables import read_table, write_snapshot
-from seriesframe.sources.workspace import utc
+from seriesframe.sources.workspace import utc, written
 
 YIELD_SERIES = "10y_yield"
 
@@ -46,13 +46,15 @@ def headline_metrics(
     on rising days has a row `exception:<sector>` of its own.
     """
     holdings = market.filter(F.col("category") == basket)
-    daily = findings.total_change(attention, "date", "views")
+    # series of one row per date and sums of one row per entity are written, so that no table is read for every metric
+    daily = written(findings.total_change(attention, "date", "views"), "daily-totals")
     lags = findings.lag_corr(daily, spread, "date", "pct_change", "basket_return")
     spikes = findings.top_spikes(daily, "date", "pct_change")
     study = findings.event_study(spikes, daily, spread, "date", "pct_change", "basket_return")
     labels = findings.direction(yields, "date", "value")
     sectors = market.filter(F.col("category") == sector)
     sensitivity = findings.conditional_return(sectors, labels, "symbol", "date", "daily_return")
+    sensitivity = written(sensitivity, "sensitivity")
     members = findings.cohort(holdings, "symbol", cohorts)
     summary = findings.cohort_summary(members, "symbol", "date", "daily_return")
     left, right = list(cohorts)

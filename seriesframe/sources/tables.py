@@ -46,10 +46,23 @@ def find_table(spark: SparkSession, target: str) -> DataFrame | None:
 
 
 def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
-    """The table; a schema that is known already saves reading the footers for it."""
+    """The table; a schema that is known already saves reading the footers for it, and keeps the mark of its periods."""
     if not is_path(target):
         return spark.table(target)
-    return (spark.read.schema(schema) if schema else spark.read).parquet(target)
+    table = (spark.read.schema(schema) if schema else spark.read).parquet(target)
+    mark = schema[PERIOD].metadata if schema and PERIOD in schema.fieldNames() else None
+    return table.withMetadata(PERIOD, mark) if mark else table
+
+
+def marked(df: DataFrame, dt: str, grain: str) -> DataFrame:
+    """The frame, its period column marked as that of `dt`: windows over it then skip whole partitions."""
+    return df.withMetadata(PERIOD, {"period_of": dt, "grain": grain})
+
+
+def grain_of(df: DataFrame, dt: str) -> str | None:
+    """The grain of the frame's periods of `dt`; None for a column that only has the name."""
+    mark = df.schema[PERIOD].metadata if PERIOD in df.columns else {}
+    return mark.get("grain") if mark.get("period_of") == dt else None
 
 
 def write_snapshot(df: DataFrame, target: str) -> None:
@@ -71,14 +84,14 @@ def write_table(df: DataFrame, target: str, dt: str | None = None, grain: str =
     if dt is None:
         write_snapshot(df, target)
         return read_table(df.sparkSession, target, nullable(df.schema))
-    laid_out = by_period(df.withColumn(PERIOD, period_of(F.col(dt), grain)), [dt, *cluster])
+    laid_out = marked(by_period(df.withColumn(PERIOD, period_of(F.col(dt), grain)), [dt, *cluster]), dt, grain)
     writer = laid_out.write.mode("overwrite").format("parquet").partitionBy(PERIOD)
     writer.option(*WHOLE_TABLE).save(target) if is_path(target) else writer.saveAsTable(target)
     return read_table(df.sparkSession, target, nullable(laid_out.schema))
 
 
 def nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
 
 
 def by_period(df: DataFrame, order: Sequence[str]) -> DataFrame:

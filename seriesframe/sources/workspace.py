@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
 
@@ -35,6 +35,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/seriesframe/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table under the shared folder: what reads it several times does not compute it again."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Folder:
     """A folder of the file system that Spark writes to."""
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seriesframe.operators import panels, returns, shaping
 from seriesframe.plans.lake import Lake
+from seriesframe.plans.queries import QUERIES
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
@@ -64,3 +65,45 @@ def test_skewed_entity_is_split(spark):
     assert biggest == 366
     got = returns.returns(df, "symbol", "date", "close")
     assert got.filter("symbol = 'hot'").agg(F.sum("change")).collect()[0][0] == 2999.0
+
+
+WINDOWED = [
+    "compound_return_1",
+    "compound_return_7",
+    "compound_return_30",
+    "compound_return_90",
+    "compound_return_90_by_part",
+    "trailing_rows_7d",
+    "spread_return_30d",
+    "ohlc_window_30d",
+    "sector_board",
+    "level_delta_1",
+    "level_delta_7",
+    "growth_board",
+    "indicator_board",
+    "window_volume_30d",
+    "volume_share_30d",
+    "rebased_index_90d",
+    "aligned_series",
+    "volatility_panel_90d",
+]
+
+
+@pytest.mark.parametrize("name", [n for n in WINDOWED if n != "volume_share_30d"])
+def test_every_windowed_query_prunes_partitions(spark, sf_dir, name):
+    plan = _plan(QUERIES[name](spark, sf_dir))
+    assert re.search(r"PartitionFilters: \[[^]]*period#\d+ >= trunc", plan)
+
+
+def _scans(df):
+    """Scans that were run, those of a reused subquery or exchange once."""
+    df.collect()
+    return len(re.findall(r"FileScan parquet", _plan(df)))
+
+
+MOST_SCANS = {"window_volume_30d": 4, "volume_share_30d": 3, "best_lag": 2, "event_study": 6, "metric_snapshot": 24}
+
+
+@pytest.mark.parametrize("name", MOST_SCANS)
+def test_tables_are_not_read_again_and_again(spark, sf_dir, name):
+    assert _scans(QUERIES[name](spark, sf_dir)) <= MOST_SCANS[name]
