@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesframe.sources.workspace import Folder
+
 PERIOD = "period"
+MERGE = "merge"
 
 # an overwrite of a path replaces every partition, whatever the session's default is; not for
 # catalog tables, which are replaced as a whole anyway and would keep the option for good
@@ -38,7 +41,7 @@ def find_table(spark: SparkSession, target: str) -> DataFrame | None:
     if not is_path(target):
         return spark.table(target) if spark.catalog.tableExists(target) else None
     try:
-        return spark.read.parquet(target)
+        return read_table(spark, target)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -46,17 +49,53 @@ def find_table(spark: SparkSession, target: str) -> DataFrame | None:
 
 
 def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
-    """The table; a schema that is known already saves reading the footers for it, and keeps the mark of its periods."""
+    """The table; a schema that is known already saves reading a footer for it.
+
+    A path that has been merged into holds folders `merge=N`, each with whole periods; of every period the newest
+    finished one counts. Files that are older than a column give NULL for it.
+    """
     if not is_path(target):
-        return spark.table(target)
-    table = (spark.read.schema(schema) if schema else spark.read).parquet(target)
-    mark = schema[PERIOD].metadata if schema and PERIOD in schema.fieldNames() else None
-    return table.withMetadata(PERIOD, mark) if mark else table
+        return remarked(spark.table(target))
+    live = live_periods(spark, target)
+    if live is None:
+        return remarked((spark.read.schema(schema) if schema else spark.read).parquet(target))
+    if schema is None:
+        newest = max(live.values(), key=lambda folder: folder[0])[1]
+        schema = spark.read.option("basePath", target).parquet(newest).schema
+    table = spark.read.schema(schema).option("basePath", target).parquet(*(folder for _, folder in live.values()))
+    return remarked(table.drop(MERGE))
+
+
+def live_periods(spark: SparkSession, target: str) -> dict[str, tuple[int, str]] | None:
+    """{period folder: (number, path) of the newest finished merge that has it}; None for a path without merges.
+
+    Spark writes `_SUCCESS` last, so a merge that was cut off has none.
+    """
+    live: dict[str, tuple[int, str]] = {}
+    merges = [int(n) for n in Folder(spark, target).children(f"{MERGE}=")]
+    done = [n for n in sorted(merges) if Folder(spark, f"{target}/{MERGE}={n}").exists("_SUCCESS")]
+    for n in done:
+        for period in Folder(spark, f"{target}/{MERGE}={n}").children(f"{PERIOD}="):
+            live[period] = n, f"{target}/{MERGE}={n}/{PERIOD}={period}"
+    return live or None
 
 
 def marked(df: DataFrame, dt: str, grain: str) -> DataFrame:
-    """The frame, its period column marked as that of `dt`: windows over it then skip whole partitions."""
-    return df.withMetadata(PERIOD, {"period_of": dt, "grain": grain})
+    """The frame, its period column marked as that of `dt`: windows over it then skip whole partitions.
+
+    `dt` has the mark too, and keeps it in the files that are written.
+    """
+    mark = {"period_of": dt, "grain": grain}
+    return df.withMetadata(PERIOD, mark).withMetadata(dt, mark)
+
+
+def remarked(table: DataFrame) -> DataFrame:
+    """A table just read: its period column gets the mark that the date column has in the files."""
+    if PERIOD in table.columns:
+        for f in table.schema.fields:
+            if f.metadata.get("period_of") == f.name:
+                return table.withMetadata(PERIOD, f.metadata)
+    return table
 
 
 def grain_of(df: DataFrame, dt: str) -> str | None:

@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesframe.sources.tables import (
+    MERGE,
     PERIOD,
     by_period,
     find_table,
     is_path,
+    live_periods,
     location,
+    marked,
     nullable,
     period_of,
     read_table,
@@ -20,9 +23,8 @@ from seriesframe.sources.tables import (
 )
 from seriesframe.sources.workspace import Folder, new_path
 
-#: Where a merge waits inside its table; readers skip names that begin with an underscore.
-PENDING = "_pending_merge"
-
+#: Fixed value: the folder name of a NULL partition.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 def _all_keys(keys: Sequence[str]) -> Column:
     cond = F.col(keys[0]).isNotNull()
@@ -79,54 +81,59 @@ def merge_rows(
     return kept.select(*target.columns).unionByName(target.filter(~whole)).unionByName(fresh.select(*target.columns))
 
 
-def _check_columns(table: DataFrame, updates: DataFrame, columns: Sequence[str] | None, order_col: str | None) -> None:
+def _check_columns(table: DataFrame, updates: DataFrame, columns: Sequence[str] | None, order_col: str | None, evolve: bool) -> None:
     """Fail before anything is written if the updates do not fit the table."""
     have, given = set(table.columns) - {PERIOD}, set(updates.columns)
-    if columns is None and have != given:
+    if columns is None and (have - given or given - have and not evolve):
         raise ValueError(
-            f"the updates lack {sorted(have - given)} and add {sorted(given - have)}; name `columns` to update only some"
+            f"the updates lack {sorted(have - given)} and add {sorted(given - have)}; "
+            "name `columns` to update only some, or `evolve` to add some"
         )
-    if columns is not None and not set(columns) <= have & given:
-        raise ValueError(f"not in the table and the updates alike: {sorted(set(columns) - (have & given))}")
+    known = given if evolve else have & given
+    if columns is not None and not set(columns) <= known:
+        raise ValueError(f"not in the table and the updates alike: {sorted(set(columns) - known)}")
     if order_col and order_col not in given:
         raise ValueError(f"the updates have no column {order_col}")
 
 
-def _check_overwrite(spark: SparkSession, target: str) -> None:
-    """Fail for a catalog table whose own options make every overwrite one of the whole table."""
-    if not is_path(target):
-        static = "col_name = 'Storage Properties' and lower(data_type) like '%partitionoverwritemode=static%'"
-        if not spark.sql(f"DESCRIBE FORMATTED {target}").filter(static).isEmpty():
-            raise ValueError(f"{target} has the option partitionOverwriteMode=static, so a merge would replace all of it")
-
-
-def _replace_periods(rows: DataFrame, target: str, order: Sequence[str]) -> None:
-    """Replace the periods that occur in `rows`; Spark moves them in when its whole job has succeeded."""
-    laid_out = by_period(rows, order)
-    if is_path(target):
-        writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(PERIOD).parquet(target)
-        return
-    conf, name = rows.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(name)
-    conf.set(name, "dynamic")
-    try:
-        laid_out.write.insertInto(target, overwrite=True)
-    finally:
-        conf.set(name, before)
-
-
-def recover(spark: SparkSession, target: str, keys: Sequence[str], dt: str) -> None:
-    """Finish or forget the merge that a lost driver has left in the table's folder."""
-    pending = Folder(spark, f"{location(spark, target)}/{PENDING}")
-    if not pending.exists():
-        return
-    if pending.exists("_SUCCESS"):
-        table = read_table(spark, target)
-        merged = spark.read.schema(table.schema).parquet(pending.path).select(*table.columns)
-        _replace_periods(merged, target, [dt, *[k for k in keys if k != dt]])
-    pending.delete()
-    Folder(spark, location(spark, target)).delete_children(".spark-staging-")
+def _write_periods(rows: DataFrame, target: str, dt: str, grain: str, order: Sequence[str]) -> str:
+    """Write whole periods once, into a folder of their own, and return its path."""
+    folder = Folder(rows.sparkSession, location(rows.sparkSession, target))
+    path = f"{folder.path}/{MERGE}={max([0, *(int(n) + 1 for n in folder.children(f'{MERGE}='))])}"
+    marked(by_period(rows, order), dt, grain).write.partitionBy(PERIOD).parquet(path)
+    return path
+
+
+def _tidy(spark: SparkSession, target: str) -> None:
+    """Delete what no reader of the path sees any more: periods that were merged again, merges that were cut off."""
+    live = {path for _, path in live_periods(spark, target).values()}
+    for old in Folder(spark, target).children(f"{PERIOD}="):
+        Folder(spark, f"{target}/{PERIOD}={old}").delete()
+    for n in Folder(spark, target).children(f"{MERGE}="):
+        merge = f"{target}/{MERGE}={n}"
+        periods = [f"{merge}/{PERIOD}={p}" for p in Folder(spark, merge).children(f"{PERIOD}=")]
+        for dead in [merge] if not live & set(periods) else [p for p in periods if p not in live]:
+            Folder(spark, dead).delete()
+
+
+def _move_partitions(spark: SparkSession, target: str, path: str, added: list[str]) -> None:
+    """Let a catalog table's partitions lie in the folder just written, then delete the ones they replace."""
+    if added:
+        kinds = {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema}
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({', '.join(f'`{c}` {kinds[c]}' for c in added)})")
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()}  # one row per calendar period
+    replaced = []
+    for period in Folder(spark, path).children(f"{PERIOD}="):
+        spec = f"PARTITION ({PERIOD} = {'NULL' if period == NO_DATE else repr(period)})"
+        if f"{PERIOD}={period}" in known:
+            about = spark.sql(f"DESCRIBE FORMATTED {target} {spec}").filter("col_name = 'Location'").first()
+            replaced.append(about.data_type)
+            spark.sql(f"ALTER TABLE {target} {spec} SET LOCATION '{path}/{PERIOD}={period}'")
+        else:
+            spark.sql(f"ALTER TABLE {target} ADD {spec} LOCATION '{path}/{PERIOD}={period}'")
+    spark.catalog.refreshTable(target)
+    for old in replaced:
+        Folder(spark, old).delete()
 
 
 def upsert(
@@ -139,50 +146,68 @@ def upsert(
     grain: str = "month",
     keep_non_null: bool = False,
     columns: Sequence[str] | None = None,
+    evolve: bool = False,
 ) -> DataFrame:
     """Merge `updates` into the table `target` (a path or a catalog name), which is created on the first run.
 
     The updates have the table's columns, or the call fails before it writes. With `columns` only
-    these are updated; the others keep their values. Only the periods the updates touch are read
-    and rewritten. The merged periods are first written whole into a folder inside the table that
-    readers do not see, and then replace the old ones. A driver lost before that has changed
-    nothing; one lost later leaves the complete merged periods, and the next call puts them in
-    place before it begins. A lost executor only repeats its tasks. Two writers at once are not
-    supported. `dt` has to be one of the keys: a row's period then never changes.
+    these are updated; the others keep their values. With `evolve` new columns are added, and rows
+    that were there before have NULL in them; periods that the updates do not touch are not rewritten.
+
+    Only the periods the updates touch are read and rewritten, once, into a new folder. A path's readers
+    (`read_table`) take a period from the newest folder that Spark has finished, so they see the old table
+    or the new one; a catalog table's partitions are pointed to the new folder one by one. What was replaced
+    is deleted last. A driver lost at any point leaves whole periods, and running the batch again gives the new
+    table. A lost executor only repeats its tasks. Two writers at once are not supported. `dt` has to be one
+    of the keys: a row's period then never changes.
     """
     if dt not in keys:
         raise ValueError(f"{dt} must be one of the keys")
     order = [dt, *[k for k in keys if k != dt]]
-    if find_table(spark, target) is None:
-        return write_table(latest_per_key_set(updates, keys, order_col), target, dt, grain, tuple(order[1:]))
-    recover(spark, target, keys, dt)
     table = find_table(spark, target)
-    _check_columns(table, updates, columns, order_col)
-    _check_overwrite(spark, target)
+    if table is None:
+        rows = latest_per_key_set(updates, keys, order_col)
+        if not is_path(target):
+            return write_table(rows, target, dt, grain, tuple(order[1:]))
+        _write_periods(rows.withColumn(PERIOD, period_of(F.col(dt), grain)), target, dt, grain, order)
+        found = find_table(spark, target)
+        return write_table(rows, target, dt, grain, tuple(order[1:])) if found is None else found  # no rows, no periods
+    _check_columns(table, updates, columns, order_col, evolve)
     if columns is not None:
         needed = dict.fromkeys([*keys, *columns, *([order_col] if order_col else [])])
         updates = latest_per_key_set(updates.select(*needed), keys, order_col).select(*dict.fromkeys([*keys, *columns]))
         order_col = order_col if order_col in columns else None
+    added = [c for c in updates.columns if c not in table.columns]
+    names = [*[c for c in table.columns if c != PERIOD], *added, PERIOD]
+    table = table.withColumns({c: F.lit(None).cast(updates.schema[c].dataType) for c in added}).select(*names)
 
     staged = Folder(spark, new_path(spark, "updates"))
     placed = updates.withColumn(PERIOD, period_of(F.col(dt), grain))
     try:
         placed.write.parquet(staged.path)
-        batch = read_table(spark, staged.path, nullable(placed.schema))
-        none = F.lit("0001-01-01").cast("date")
-        touched = batch.select(F.coalesce(PERIOD, none).alias("_period")).distinct()
-        bounds = batch.agg(F.min(PERIOD).alias("lo"), F.max(PERIOD).alias("hi"))
-        in_range = (F.col(PERIOD) >= bounds.select("lo").scalar()) & (F.col(PERIOD) <= bounds.select("hi").scalar())
-        affected = table.filter(in_range | F.col(PERIOD).isNull()).join(
-            # at most one row per calendar period
-            F.broadcast(touched),
-            F.coalesce(F.col(PERIOD), none) == F.col("_period"),
-            "left_semi",
-        )
-        merged = merge_rows(affected, batch, keys, order_col, keep_non_null).select(*table.columns)
-        pending = Folder(spark, f"{location(spark, target)}/{PENDING}")
-        by_period(merged, order).write.mode("overwrite").partitionBy(PERIOD).parquet(pending.path)
-        recover(spark, target, keys, dt)
+        batch = spark.read.schema(nullable(placed.schema)).parquet(staged.path)
+        if batch.isEmpty():
+            return read_table(spark, target)
+        whole_path = is_path(target) and live_periods(spark, target) is None
+        affected = table if whole_path else _touched(table, batch)
+        merged = merge_rows(affected, batch, keys, order_col, keep_non_null).select(*names)
+        path = _write_periods(merged, target, dt, grain, order)
+        if is_path(target):
+            _tidy(spark, target)
+        else:
+            _move_partitions(spark, target, path, added)
     finally:
         staged.delete()
-    return read_table(spark, target, table.schema)
+    return read_table(spark, target, nullable(merged.schema) if is_path(target) else None)
+
+
+def _touched(table: DataFrame, batch: DataFrame) -> DataFrame:
+    """The table's rows in the periods of a batch."""
+    none = F.lit("0001-01-01").cast("date")
+    touched = batch.select(F.coalesce(PERIOD, none).alias("_period")).distinct()
+    bounds = batch.agg(F.min(PERIOD).alias("lo"), F.max(PERIOD).alias("hi"))
+    in_range = (F.col(PERIOD) >= bounds.select("lo").scalar()) & (F.col(PERIOD) <= bounds.select("hi").scalar())
+    # at most one row per calendar period
+    return table.filter(in_range | F.col(PERIOD).isNull()).join(
+        F.broadcast(touched), F.coalesce(F.col(PERIOD), none) == F.col("_period"), "left_semi"
+    )

@@ -59,8 +59,9 @@ class Folder:
     def delete(self) -> None:
         self._fs.delete(self._at(), True)
 
-    def delete_children(self, prefix: str) -> None:
-        for entry in self._fs.listStatus(self._at()):
-            name = entry.getPath().getName()
-            if name.startswith(prefix):
-                self._fs.delete(self._at(name), True)
+    def children(self, prefix: str) -> list[str]:
+        """The names of what lies in the folder and begins with a prefix, without it."""
+        if not self.exists():
+            return []
+        names = [entry.getPath().getName() for entry in self._fs.listStatus(self._at())]
+        return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]

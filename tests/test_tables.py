@@ -3,7 +3,7 @@
 import glob
 import json
 import os
-import shutil
+import re
 from datetime import date
 
 import pytest
@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from seriesframe.functions import columns as C
 from seriesframe.operators import shaping
 from seriesframe.sources import landing, tables
+from seriesframe.sources import upsert as upserts
 from seriesframe.sources.export import export_json, publishable
+from seriesframe.sources.tables import read_table, write_table
 from seriesframe.sources.upsert import merge_rows, upsert
+from seriesframe.sources.workspace import Folder
 
 D = date.fromisoformat
 KEYS = ["symbol", "date"]
@@ -31,12 +34,12 @@ def _rows(df):
 def test_upsert_creates_replaces_and_adds(spark, tmp_path):
     target = str(tmp_path / "t")
     upsert(spark, target, _bars(spark, [("a", "2024-01-30", 1.0, 1), ("a", "2024-02-01", 2.0, 1), ("b", "2023-12-01", 9.0, 1)]), KEYS, "date", "fetched_at")
-    untouched = sorted(p.name for p in (tmp_path / "t" / "period=2023-12-01").iterdir())
+    untouched = sorted(p.name for p in (tmp_path / "t" / "merge=0" / "period=2023-12-01").iterdir())
     second = _bars(spark, [("a", "2024-02-01", 2.5, 2), ("a", "2024-02-02", 3.0, 2), ("a", "2024-02-02", 2.9, 1)])
     want = [("a", "2024-01-30", 1.0), ("a", "2024-02-01", 2.5), ("a", "2024-02-02", 3.0), ("b", "2023-12-01", 9.0)]
     for _ in range(2):
         assert _rows(upsert(spark, target, second, KEYS, "date", "fetched_at")) == want
-    assert sorted(p.name for p in (tmp_path / "t" / "period=2023-12-01").iterdir()) == untouched
+    assert sorted(p.name for p in (tmp_path / "t" / "merge=0" / "period=2023-12-01").iterdir()) == untouched
 
 
 def test_first_batch_is_reduced_to_one_row_per_key(spark, tmp_path):
@@ -186,16 +189,101 @@ def test_catalog_tables_are_merged(spark):
     assert sorted((r.symbol, r.date.month, r.close) for r in got.collect()) == [("a", 1, 5.0), ("a", 2, 2.0), ("b", 3, 3.0)]
 
 
-def test_a_driver_lost_while_periods_move_loses_nothing(spark, tmp_path):
+OLD = [("a", 1, 1.0), ("a", 2, 2.0), ("a", 3, 3.0)]
+NEW = [("a", 1, 5.0), ("a", 2, 2.0), ("a", 3, 6.0), ("b", 1, 7.0)]
+
+
+def _merged(spark, target):
+    rows = [("a", "2024-01-01", 5.0, 2), ("b", "2024-01-05", 7.0, 2), ("a", "2024-03-01", 6.0, 2)]
+    return upsert(spark, target, _bars(spark, rows), KEYS, "date", "fetched_at")
+
+
+def _seen(spark, target):
+    return sorted((r.symbol, r.date.month, r.close) for r in read_table(spark, target).collect())
+
+
+class Lost(Exception):
+    pass
+
+
+def _stops_at(monkeypatch, cls, method, n):
+    """The n-th call of a method, from 0, raises instead."""
+    calls, real = iter(range(1000)), getattr(cls, method)
+
+    def call(self, *args, **kwargs):
+        if next(calls) == n:
+            raise Lost
+        return real(self, *args, **kwargs)
+
+    monkeypatch.setattr(cls, method, call)
+
+
+@pytest.mark.parametrize("kind", ["path", "catalog"])
+@pytest.mark.parametrize("step", ["no success", "delete 0", "delete 1", "sql 1", "sql 3", "sql 5"])
+def test_a_driver_lost_between_steps_leaves_the_old_or_the_new_table(spark, tmp_path, monkeypatch, step, kind):
+    target = str(tmp_path / "t") if kind == "path" else f"lost_{step.replace(' ', '_')}"
+    first = [(s, f"2024-0{m}-01", v, 1) for s, m, v in OLD]
+    upsert(spark, target, _bars(spark, first), KEYS, "date", "fetched_at")
+    with monkeypatch.context() as patch:
+        if step == "no success":
+            real = upserts._write_periods
+
+            def cut_off(*args):
+                os.remove(f"{real(*args).removeprefix('file:')}/_SUCCESS")
+                raise Lost
+
+            patch.setattr(upserts, "_write_periods", cut_off)
+        elif step.startswith("sql"):
+            _stops_at(patch, type(spark), "sql", int(step[4:]))
+        else:
+            _stops_at(patch, Folder, "delete", int(step[7:]))
+        try:
+            _merged(spark, target)
+        except Lost:
+            pass
+    spark.catalog.refreshTable(target) if kind == "catalog" else None
+    seen = _seen(spark, target)
+    if kind == "path":
+        assert seen in (OLD, NEW)
+    else:  # whole periods, one by one
+        assert all([r for r in seen if r[1] == m] in ([r for r in OLD if r[1] == m], [r for r in NEW if r[1] == m]) for m in (1, 2, 3))
+    assert sorted((r.symbol, r.date.month, r.close) for r in _merged(spark, target).collect()) == _seen(spark, target) == NEW
+    if kind == "path":
+        assert len(spark.read.parquet(target).collect()) == len(NEW)  # nothing that was replaced is left
+
+
+def _files(df):
+    return {r[0] for r in df.select(F.input_file_name()).collect()}
+
+
+def test_new_columns_do_not_rewrite_old_periods(spark, tmp_path):
+    for target in (str(tmp_path / "t"), "evolving_bars"):
+        upsert(spark, target, _bars(spark, [(s, f"2024-0{m}-01", v, 1) for s, m, v in OLD]), KEYS, "date", "fetched_at")
+        wide = _bars(spark, [("a", "2024-03-01", 6.0, 2), ("c", "2024-03-02", 8.0, 2)]).withColumn("note", F.lit("new"))
+        with pytest.raises(ValueError, match="note"):
+            upsert(spark, target, wide, KEYS, "date", "fetched_at")
+        old = _files(read_table(spark, target).filter("month(date) < 3"))
+        got = upsert(spark, target, wide, KEYS, "date", "fetched_at", evolve=True)
+        want = [("a", 1, None), ("a", 2, None), ("a", 3, "new"), ("c", 3, "new")]
+        for table in (got, read_table(spark, target)):
+            assert sorted((r.symbol, r.date.month, r.note) for r in table.collect()) == want
+        assert _files(got.filter("month(date) < 3")) == old
+        again = upsert(spark, target, _bars(spark, [("a", "2024-01-01", 9.0, 3)]).withColumn("note", F.lit("late")), KEYS, "date", "fetched_at")
+        assert sorted((r.symbol, r.date.month, r.note) for r in again.collect()) == [("a", 1, "late"), *want[1:]]
+
+
+def test_a_plain_table_takes_merges(spark, tmp_path):
+    from seriesframe.operators.panels import trail
+
     target = str(tmp_path / "t")
-    upsert(spark, target, _bars(spark, [("a", "2024-01-01", 1.0, 1), ("a", "2024-02-01", 2.0, 1)]), KEYS, "date")
-    merged = spark.read.parquet(target)
-    merged.write.partitionBy("period").parquet(f"{target}/_pending_merge")
-    shutil.rmtree(f"{target}/period=2024-01-01")
-    (tmp_path / "t" / ".spark-staging-1").mkdir()
-    got = upsert(spark, target, _bars(spark, [("b", "2024-01-05", 7.0, 1)]), KEYS, "date")
-    assert sorted((r.symbol, r.date.month, r.close) for r in got.collect()) == [("a", 1, 1.0), ("a", 2, 2.0), ("b", 1, 7.0)]
-    assert not [f for f in os.listdir(target) if "pending" in f or "staging" in f]
+    write_table(_bars(spark, [(s, f"2024-0{m}-01", v, 1) for s, m, v in OLD] + [("n", None, 0.0, 1)]), target, "date", "month")
+    _merged(spark, target)
+    assert sorted((r.symbol, r.close) for r in read_table(spark, target).collect()) == sorted([(s, v) for s, _, v in NEW] + [("n", 0.0)])
+    assert {f.name for f in os.scandir(target) if f.is_dir()} == {"merge=0"}
+    plan = trail(read_table(spark, target), "date", 7)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*period#\d+ >= trunc", plan)  # the mark is kept in the files
+    empty = upsert(spark, str(tmp_path / "e"), _bars(spark, []), KEYS, "date")
+    assert empty.count() == 0 and _merged(spark, str(tmp_path / "e")).count() == 3
 
 
 def test_broken_published_rows_fail(spark, tmp_path):
