@@ -401,6 +401,32 @@ from (select count(*) as n, sum(share * share) as hhi,
                         from {source} where {where} group by symbol) a) b) c) d"""
 
 
+def _return_windows(source: str) -> str:
+    used = "where daily_return is not null"
+    parts = [
+        f"""
+select symbol, cast({'null' if days is None else days} as integer) as days,
+       round(product(1 + daily_return) filter ({used}) - 1, 6) as value,
+       arg_min(coalesce(prev_date, date), date) filter ({used}) as start_date, max(date) filter ({used}) as end_date,
+       arg_min(open, date) as open, max(high) as high, min(low) as low, arg_max(close, date) as close, max(date) as as_of
+from (select *, max(date) over (partition by symbol) as anchor from {source}) w
+where {'true' if days is None else f'date >= anchor - {max(days - 1, 0)}'} group by symbol"""
+        for days in (1, 7, 30, 90, None)
+    ]
+    return " union all ".join(parts)
+
+
+def _volume_windows() -> str:
+    parts = [
+        f"""
+select symbol, cast({'null' if days is None else days} as integer) as days, cast(sum(volume) as bigint) as value, count(volume) as bars
+from (select *, max(date) over () as anchor from bars) w
+where {'true' if days is None else f'date >= anchor - {days}'} group by symbol"""
+        for days in (1, 7, 30, 90, None)
+    ]
+    return " union all ".join(parts)
+
+
 _BASKET_SUMS = """
 select symbol, cast(sum(volume) as bigint) as value
 from (select *, max(date) over () as anchor from ret where category = 'basket') w
@@ -554,6 +580,10 @@ cross join (select * from (values ('F'), ('O'), ('P')) as v(topic)) t
 left join win w on w.date = d.date and w.topic = t.topic""",
         "attention",
     ),
+    "return_windows": _with(_return_windows("ret"), "ret"),
+    "return_windows_by_part": _with(_return_windows("part_ret"), "part_ret"),
+    "refreshed_windows": _with(_return_windows("ret"), "ret"),
+    "volume_windows": _with(_volume_windows(), "bars"),
     "latest_per_series": _with(
         "select series, max(date) as date, arg_max(value, date) as value from indicators group by series", "indicators"
     ),
@@ -883,4 +913,20 @@ group by 1, 2""",
     "late_recovery": _with("select * from ret", "ret"),
     "upsert_partial_columns": _with("select * replace (case when month(date) in (3, 6) then close * 2 else close end as close) from bars", "bars"),
     "upsert_catalog_table": _with("select * replace (case when month(date) in (3, 6) then close * 2 else close end as close) from bars", "bars"),
+    "incremental_gold": _with(
+        """
+select 'market_daily' as "table", symbol as key, date, round(daily_return, 6) as value from ret
+union all select 'volatility', symbol, date, round(rolling_volatility, 6) from vol
+union all select 'spread', 'spread', date, round(spread, 6) from spread
+union all select 'curves', cohort, date, round(product(1 + mean_return) over (partition by cohort order by date) - 1, 6) from cohort_mean
+union all select 'indexed', topic, date, round(100.0 * views / nullif(first(views) over (partition by topic order by date), 0), 6)
+  from attention
+union all select 'counts', category, snapshot_date, cast(count as double) from counts""",
+        "ret",
+        "vol",
+        "spread",
+        "summary",
+        "attention",
+        "counts",
+    ),
 }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesframe.functions import columns as C
-from seriesframe.operators import findings, freshness, indexing, panels, returns, shaping, snapshots
+from seriesframe.operators import findings, freshness, indexing, panels, returns, rollups, shaping, snapshots
 from seriesframe.plans.lake import (
     CORE,
     INFRA,
@@ -20,6 +20,7 @@ from seriesframe.plans.lake import (
     YIELD_SERIES,
     Lake,
 )
+from seriesframe.plans import incremental
 from seriesframe.plans.weekly import headline_metrics
 from seriesframe.sources import landing
 from seriesframe.sources.export import export_json
@@ -221,6 +222,74 @@ def aligned_series(lake: Lake) -> DataFrame:
     return indexing.align_long(lake.attention(), "topic", "date", "views", TOPICS, 90)
 
 
+BAR_MEASURES = {
+    "growth": rollups.Measure("growth", "daily_return"),
+    "since": rollups.Measure("first", "_since"),
+    "upto": rollups.Measure("last", "_upto"),
+    "open": rollups.Measure("first", "open"),
+    "high": rollups.Measure("max", "high"),
+    "low": rollups.Measure("min", "low"),
+    "close": rollups.Measure("last", "close"),
+}
+VOLUME_MEASURES = {"value": rollups.Measure("sum", "volume"), "bars": rollups.Measure("count", "volume")}
+
+
+def _return_rows(daily: DataFrame) -> DataFrame:
+    """Bars with the dates that a compound return over them begins and ends at."""
+    used = F.col("daily_return").isNotNull()
+    return daily.withColumns(
+        {"_since": F.when(used, F.coalesce("prev_date", "date")), "_upto": F.when(used, F.col("date"))}
+    )
+
+
+def _return_windows(kept: DataFrame) -> DataFrame:
+    asked = rollups.trailing_windows(kept, "symbol", panels.WINDOW_DAYS)
+    found = rollups.over_windows(kept, asked, "symbol", BAR_MEASURES)
+    return found.select(
+        "symbol",
+        "days",
+        (F.col("growth") - 1).alias("value"),
+        F.col("since").alias("start_date"),
+        F.col("upto").alias("end_date"),
+        "open",
+        "high",
+        "low",
+        "close",
+        F.col("last_day").alias("as_of"),
+    )
+
+
+def _return_windows_of(table: Callable[[Lake], DataFrame]):
+    def run(lake: Lake) -> DataFrame:
+        rolled = rollups.roll_up(_return_rows(table(lake)), "symbol", "date", BAR_MEASURES)
+        return r6(_return_windows(rollups.write_rollups(rolled, new_path(lake.spark, "rollups"))), "value")
+
+    return run
+
+
+register("return_windows", _return_windows_of(Lake.market_daily))
+register("return_windows_by_part", _return_windows_of(Lake.part_daily))
+
+
+@query
+def volume_windows(lake: Lake) -> DataFrame:
+    """Volume of every symbol in all five windows, which all symbols share, from kept summaries."""
+    rolled = rollups.roll_up(lake.bars(), "symbol", "date", VOLUME_MEASURES)
+    kept = rollups.write_rollups(rolled, new_path(lake.spark, "rollups"))
+    asked = rollups.trailing_windows(kept, "symbol", panels.WINDOW_DAYS, returns=False, shared=True)
+    return rollups.over_windows(kept, asked, "symbol", VOLUME_MEASURES).select("symbol", "days", "value", "bars")
+
+
+@query
+def refreshed_windows(lake: Lake) -> DataFrame:
+    """The windows after the summaries took two weeks of bars that were missing at first."""
+    rows, path = _return_rows(lake.market_daily()), new_path(lake.spark, "rollups")
+    late = F.col("date").between("2001-06-05", "2001-06-20")
+    rollups.write_rollups(rollups.roll_up(rows.filter(~late), "symbol", "date", BAR_MEASURES), path)
+    kept = rollups.refresh_rollups(lake.spark, path, rows, rows.filter(late), "symbol", "date", BAR_MEASURES)
+    return r6(_return_windows(kept), "value")
+
+
 @query
 def latest_per_series(lake: Lake) -> DataFrame:
     return shaping.latest(no_period(lake.indicators()), "series", "date")
@@ -858,3 +927,39 @@ def upsert_catalog_table(lake: Lake) -> DataFrame:
         doubled = bars.filter(F.month("date") == month).withColumn("close", F.col("close") * 2)
         upsert(lake.spark, target, doubled, keys, "date", grain="year")
     return no_period(read_table(lake.spark, target))
+
+
+@query
+def incremental_gold(lake: Lake) -> DataFrame:
+    """Late bars, values and events brought through all derived tables, which then equal a full rebuild."""
+    gold = incremental.Gold(new_path(lake.spark, "gold"), {"core": CORE, "infra": INFRA}, "year")
+    bars = lake.bars().drop(PERIOD)
+    values = lake.attention().select(F.col("topic").alias("entity"), "date", F.col("views").alias("value"))
+    events = lake.raw("events").select("event_id", F.col("event_type").alias("category"), "ts")
+    late_bars = F.col("date").between("2001-06-05", "2001-06-20") | ((F.col("symbol") == "Brand#14") & (F.year("date") == 1999))
+    # all of one entity's first year, and a few days of another
+    late_values = ((F.col("entity") == "F") & (F.year("date") == 1995)) | ((F.col("entity") == "O") & F.col("date").between("1999-02-01", "1999-02-20"))
+    late_events = F.to_date("ts").between("2024-01-09", "2024-01-12")
+    incremental.build(gold, bars.filter(~late_bars), values.filter(~late_values), events.filter(~late_events))
+    incremental.land_bars(gold, bars.filter(late_bars))
+    incremental.land_values(gold, values.filter(late_values))
+    incremental.land_events(gold, events.filter(late_events))
+
+    def rows(name: str, key: str, dt: str, value: str) -> DataFrame:
+        return gold.table(lake.spark, name).select(
+            F.lit(name).alias("table"), F.expr(key).alias("key"), F.col(dt).alias("date"), F.col(value).cast("double").alias("value")
+        )
+
+    return r6(
+        union(
+            [
+                rows("market_daily", "symbol", "date", "daily_return"),
+                rows("volatility", "symbol", "date", "rolling_volatility"),
+                rows("spread", "'spread'", "date", "spread"),
+                rows("curves", "cohort", "date", "cumulative").filter("value is not null"),
+                rows("indexed", "entity", "date", "index"),
+                rows("counts", "category", "snapshot_date", "count"),
+            ]
+        ),
+        "value",
+    )

@@ -26,3 +26,24 @@ def export_json(df: DataFrame, order_by: Sequence[str], path: str) -> None:
     """
     rows = publishable(df).orderBy(*order_by)
     rows.write.mode("overwrite").option(*WHOLE_TABLE).option("ignoreNullFields", False).json(path)
+
+
+def export_json_array(df: DataFrame, order_by: Sequence[str], path: str) -> None:
+    """Write the rows as text parts that, put end to end in the order of their names, are one JSON array of row objects.
+
+    The parts hold consecutive ranges of `order_by`, as for `export_json`, and are written by all tasks. Every row is a
+    line of its own; the first one opens the array, a line of its own at the end closes it, and all others begin with
+    the comma. Neither a count nor a single task is needed for it: the opening and closing lines are rows that sort first
+    and last. Between them a part is never split, so parts may also be served one after the other.
+    """
+    rows = publishable(df)
+    line = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    cells = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)]
+    body = rows.select(F.lit(1).alias("_at"), *cells, line.alias("value"))
+    kinds = {f.name: f.dataType for f in body.schema.fields}
+    ends = rows.sparkSession.createDataFrame([(0, "[null"), (2, "]")], "_at int, value string").select(
+        "_at", *[F.lit(None).cast(kinds[f"_o{i}"]).alias(f"_o{i}") for i in range(len(cells))], "value"
+    )
+    ordered = body.withColumn("value", F.concat(F.lit(","), "value")).unionByName(ends)
+    ordered = ordered.orderBy("_at", *[f"_o{i}" for i in range(len(cells))])
+    ordered.select("value").write.mode("overwrite").option(*WHOLE_TABLE).text(path)
