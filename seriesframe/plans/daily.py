@@ -18,8 +18,8 @@ from seriesframe.operators.indexing import index_to_first
 from seriesframe.operators.returns import basket_vs_benchmark, market_daily, rolling_vol, trend
 from seriesframe.operators.shaping import settled
 from seriesframe.sources.export import export_json
-from seriesframe.sources.landing import explode_records, melt_structs, read_landing, read_landing_text, type_cols
-from seriesframe.sources.tables import read_table, write_snapshot, write_table
+from seriesframe.sources.landing import BROKEN, explode_records, land_documents, land_texts, melt_structs, type_cols
+from seriesframe.sources.tables import read_table, write_table
 from seriesframe.sources.upsert import upsert
 from seriesframe.sources.workspace import utc
 
@@ -74,20 +74,25 @@ PUBLISHED_ORDER = {
 
 
 def to_bronze(spark: SparkSession, landing: str, lake: str) -> None:
-    """Every feed's documents as landed, replacing the previous run's."""
-    bars = read_landing(spark, f"{landing}/market_data*", BARS_DOCUMENT)
-    write_snapshot(bars, f"{lake}/bronze/market_data")
+    """Every feed's documents as landed, replacing the previous run's.
+
+    Broken documents are kept beside the others (`broken_documents`); a feed without a good one fails the run.
+    """
+    land_documents(spark, f"{landing}/market_data*", BARS_DOCUMENT, f"{lake}/bronze/market_data")
     for feed in NAMED_FEEDS:
-        text = read_landing_text(spark, f"{landing}/{feed.feed}*")
-        write_snapshot(text, f"{lake}/bronze/{feed.feed}")
+        land_texts(spark, f"{landing}/{feed.feed}*", f"{lake}/bronze/{feed.feed}")
 
 
 def to_silver(spark: SparkSession, lake: str) -> None:
     """Typed rows of this run merged into the keyed history."""
-    bars = type_cols(explode_records(read_table(spark, f"{lake}/bronze/market_data")), BAR_TYPES)
+
+    def bronze(feed: str) -> DataFrame:
+        return read_table(spark, f"{lake}/bronze/{feed}").filter(~F.col(BROKEN))
+
+    bars = type_cols(explode_records(bronze("market_data")), BAR_TYPES)
     upsert(spark, f"{lake}/silver/market_data", settled(bars), ["symbol", "date"], "date", "fetched_at")
     for feed in NAMED_FEEDS:
-        rows = melt_structs(read_table(spark, f"{lake}/bronze/{feed.feed}"), feed.fields, feed.entity)
+        rows = melt_structs(bronze(feed.feed), feed.fields, feed.entity)
         typed = type_cols(rows, {feed.entity: "string", **feed.types, "fetched_at": "timestamp"})
         if feed.dt not in typed.columns:
             typed = typed.withColumn(feed.dt, F.to_date("fetched_at"))

@@ -793,6 +793,12 @@ from sensitivity where rising > falling""",
     "explode_records": _with(
         "select *, cast(date_trunc('month', date) as date) as fetched_on from bars", "bars"
     ),
+    "quarantined_documents": _with(
+        """
+select symbol, date, close, 'landed' as status from bars where month(date) <> 5
+union all select null, null, cast(count(distinct (symbol, date_trunc('month', date))) as double), 'broken' from bars where month(date) = 5""",
+        "bars",
+    ),
     "melt_series": _with("select series, date, value, date as snapshot_date from indicators", "indicators"),
     "parse_json_props": "select event_id, event_type, cast(json_extract(props, '$.k') as bigint) as k from events",
     "settled_bars": _with(
@@ -841,6 +847,7 @@ union all select 'spread', count(*) from spread""",
     "export_clean": _with(
         "select symbol, date, volume, case when volume % 5 > 1 then daily_return end as daily_return from ret", "ret"
     ),
+    "export_array": _with("select symbol, date, volume, daily_return from ret", "ret"),
     "snapshot_overwrite": "select s_suppkey, s_acctbal from supplier",
     # freshness
     "last_run_per_day": _with(

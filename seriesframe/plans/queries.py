@@ -23,7 +23,7 @@ from seriesframe.plans.lake import (
 from seriesframe.plans import incremental
 from seriesframe.plans.weekly import headline_metrics
 from seriesframe.sources import landing
-from seriesframe.sources.export import export_json
+from seriesframe.sources.export import export_json, export_json_array
 from seriesframe.sources.tables import PERIOD, read_table, row_counts, write_snapshot, write_table
 from seriesframe.sources.upsert import upsert
 from seriesframe.sources.workspace import new_path
@@ -594,6 +594,28 @@ def explode_records(lake: Lake) -> DataFrame:
     return typed.withColumn("fetched_at", F.to_date("fetched_at")).withColumnRenamed("fetched_at", "fetched_on")
 
 
+@query
+def quarantined_documents(lake: Lake) -> DataFrame:
+    """Landed documents of which every fifth month's are cut off: the others' bars, and how many were broken."""
+    path, target = new_path(lake.spark, "landing-broken"), new_path(lake.spark, "bronze")
+    cols = ["symbol", "category", F.col("date").cast("string").alias("date"), "open", "high", "low", "close", "volume"]
+    text = F.to_json(F.struct("records", F.lit("2024-01-01T12:00:00+00:00").alias("fetched_at")))
+    (
+        lake.bars()
+        .groupBy("symbol", F.trunc("date", "month").alias("month"))
+        .agg(F.collect_list(F.struct(*cols)).alias("records"))
+        .select(F.when(F.month("month") == 5, F.substring(text, 1, 60)).otherwise(text).alias("value"))
+        .write.text(path)
+    )
+    good = landing.land_documents(lake.spark, path, _RECORDS, target, one_per_file=False)
+    bars = landing.explode_records(good).select("symbol", F.to_date("date").alias("date"), "close", F.lit("landed").alias("status"))
+    broken = landing.broken_documents(lake.spark, target).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    broken = broken.agg(F.sum("n").cast("double").alias("close")).select(
+        F.lit(None).cast("string").alias("symbol"), F.lit(None).cast("date").alias("date"), "close", F.lit("broken").alias("status")
+    )
+    return bars.unionByName(broken)
+
+
 @query
 def melt_series(lake: Lake) -> DataFrame:
     """Indicators as one document of named structs per date, landed and melted back."""
@@ -746,6 +768,14 @@ def export_clean(lake: Lake) -> DataFrame:
     return landing.read_published(lake.spark, path, schema, array_file=False)
 
 
+@query
+def export_array(lake: Lake) -> DataFrame:
+    """The same rows published as one JSON array in parts, and read back from them."""
+    path = new_path(lake.spark, "published")
+    export_json_array(lake.market_daily().select("symbol", "date", "volume", "daily_return"), ["symbol", "date"], path)
+    return landing.read_array_parts(lake.spark, path, "symbol string, date date, volume bigint, daily_return double")
+
+
 @query
 def snapshot_overwrite(lake: Lake) -> DataFrame:
     """A snapshot replaced by a later one with another schema."""

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from seriesframe.functions.columns import null_nonfinite, require_finite
 from seriesframe.sources.tables import WHOLE_TABLE
+from seriesframe.sources.workspace import written
 
 
 def publishable(df: DataFrame) -> DataFrame:
@@ -31,19 +32,21 @@ def export_json(df: DataFrame, order_by: Sequence[str], path: str) -> None:
 def export_json_array(df: DataFrame, order_by: Sequence[str], path: str) -> None:
     """Write the rows as text parts that, put end to end in the order of their names, are one JSON array of row objects.
 
-    The parts hold consecutive ranges of `order_by`, as for `export_json`, and are written by all tasks. Every row is a
-    line of its own; the first one opens the array, a line of its own at the end closes it, and all others begin with
-    the comma. Neither a count nor a single task is needed for it: the opening and closing lines are rows that sort first
-    and last. Between them a part is never split, so parts may also be served one after the other.
+    The parts hold consecutive ranges of `order_by` (equal ones in the order of their text) and are written by all
+    tasks. Every row is a line: the first one opens the array, all others begin with a comma, and a line of its own
+    closes it. The first row is a minimum, so no task sees more than its own range.
     """
     rows = publishable(df)
-    line = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("_text")
     cells = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)]
-    body = rows.select(F.lit(1).alias("_at"), *cells, line.alias("value"))
-    kinds = {f.name: f.dataType for f in body.schema.fields}
-    ends = rows.sparkSession.createDataFrame([(0, "[null"), (2, "]")], "_at int, value string").select(
-        "_at", *[F.lit(None).cast(kinds[f"_o{i}"]).alias(f"_o{i}") for i in range(len(cells))], "value"
-    )
-    ordered = body.withColumn("value", F.concat(F.lit(","), "value")).unionByName(ends)
-    ordered = ordered.orderBy("_at", *[f"_o{i}" for i in range(len(cells))])
+    lines = written(rows.select(F.struct(*cells, text).alias("_row")), "array-rows")
+    first = lines.agg(F.min("_row").alias("_first"))
+    is_first = F.col("_row") == first.scalar()
+    copies = lines.filter(is_first).agg(F.count(F.lit(1)).alias("_n"))
+    comma = F.concat(F.lit(","), F.col("_row._text"))
+    opening = first.select(F.lit(0).alias("_at"), F.col("_first").alias("_row"), F.concat(F.lit("["), F.coalesce("_first._text", F.lit(""))).alias("value"))
+    again = copies.filter("_n > 1").select(F.explode(F.sequence(F.lit(2), F.col("_n")))).select(F.lit(1).alias("_at"), first.scalar().alias("_row"))
+    body = lines.filter(~is_first).select(F.lit(1).alias("_at"), "_row").unionByName(again.select("_at", "_row"))
+    closing = first.select(F.lit(2).alias("_at"), F.col("_first").alias("_row"), F.lit("]").alias("value"))
+    ordered = body.withColumn("value", comma).unionByName(opening).unionByName(closing).orderBy("_at", "_row")
     ordered.select("value").write.mode("overwrite").option(*WHOLE_TABLE).text(path)

@@ -13,7 +13,7 @@ from seriesframe.functions import columns as C
 from seriesframe.operators import shaping
 from seriesframe.sources import landing, tables
 from seriesframe.sources import upsert as upserts
-from seriesframe.sources.export import export_json, publishable
+from seriesframe.sources.export import export_json, export_json_array, publishable
 from seriesframe.sources.tables import read_table, write_table
 from seriesframe.sources.upsert import merge_rows, upsert
 from seriesframe.sources.workspace import Folder
@@ -290,3 +290,43 @@ def test_broken_published_rows_fail(spark, tmp_path):
     (tmp_path / "t.json").write_text('{"k": "a", "v": 1.0}\n{"k": "b", "v": "x"}\n')
     with pytest.raises(Exception, match="(?i)malformed"):
         landing.read_published(spark, f"{tmp_path}/t.json", "k string, v double", array_file=False).collect()
+
+
+def _joined(folder):
+    return "".join((folder / f).read_text() for f in sorted(os.listdir(folder)) if f.startswith("part-"))
+
+
+def test_array_parts_are_one_array(spark, tmp_path):
+    rows = [(s, i, None if i % 3 else i / 2) for s in "ba" for i in range(40)] + [("a", 0, 0.0)] * 2 + [(None, 1, float("nan"))] * 2
+    df = spark.createDataFrame(rows, "s string, i int, v double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        export_json_array(df.repartition(5), ["s", "i"], str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len([f for f in os.listdir(tmp_path / "out") if f.startswith("part-")]) > 1
+    got = json.loads(_joined(tmp_path / "out"))
+    want = sorted(((s, i, None if v is None or v != v else v) for s, i, v in rows), key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert [(r["s"], r["i"], r["v"]) for r in got] == want
+    (tmp_path / "one.json").write_text(_joined(tmp_path / "out"))
+    schema = "s string, i int, v double"
+    assert landing.read_published(spark, str(tmp_path / "one.json"), schema).count() == len(rows)
+    assert sorted(map(tuple, landing.read_array_parts(spark, str(tmp_path / "out"), schema).collect()), key=repr) == sorted(want, key=repr)
+    export_json_array(df.limit(0), ["s"], str(tmp_path / "none"))
+    assert json.loads(_joined(tmp_path / "none")) == []
+    assert landing.read_array_parts(spark, str(tmp_path / "none"), schema).count() == 0
+
+
+def test_broken_documents_are_set_aside(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, text in {"a": '{"v": 1,\n "w": "x"}', "b": '{"v": 1, "w"', "c": '{"v": "no number", "w": "y"}', "d": '{"v": 2}'}.items():
+        (tmp_path / "in" / f"{name}.json").write_text(text)
+    good = landing.land_documents(spark, f"{tmp_path}/in", "v int, w string", f"{tmp_path}/out")
+    assert sorted(map(tuple, good.collect())) == [(1, "x"), (2, None)]
+    bad = landing.broken_documents(spark, f"{tmp_path}/out").collect()
+    assert sorted((r.file[-6:], r.corrupt_record[:9]) for r in bad) == [("b.json", '{"v": 1, '), ("c.json", '{"v": "no')]
+    texts = landing.land_texts(spark, f"{tmp_path}/in", f"{tmp_path}/texts")
+    assert texts.count() == 3 and [r.file[-6:] for r in landing.broken_documents(spark, f"{tmp_path}/texts").collect()] == ["b.json"]
+    with pytest.raises(landing.AllBroken, match="1 documents"):
+        landing.land_documents(spark, f"{tmp_path}/in/b.json", "v int, w string", f"{tmp_path}/bad")
+    assert landing.broken_documents(spark, f"{tmp_path}/bad").count() == 1
