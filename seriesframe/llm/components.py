@@ -18,18 +18,19 @@ def components(edges: DataFrame) -> DataFrame:
     """node, root (the least node of its component) for every node of `edges` (a, b); loops and repeats do no harm.
 
     Each round halves the distance to the roots, and the number of edges never grows. The neighbours of a node are
-    never gathered: minima are partial aggregates and come back by a join that may be split.
+    never gathered: minima are partial aggregates, and come back from written tables, so that adaptive execution may split
+    the join at the hub of a star.
     """
     current = stage(edges.filter("a <> b").select("a", "b").distinct(), "edges")
     before = None
     while (now := _state(current)) != before:
         before = now
         both = current.union(current.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        least = stage(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")), "least")
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = stage(large.filter("a <> b"), "edges")
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
+        least = stage(down.groupBy("a").agg(F.min("b").alias("m")), "least")
         moved = down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         current = stage(moved.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
     roots = current.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
