@@ -11,7 +11,7 @@ Positions are code points, ends exclusive.
 
 Defined cases: a null text counts as empty; empty texts have no findings; repeated ids and texts each get their row; a
 ledger that was cut off between findings and marks is scanned again for the missing marks, and repeated findings count
-once; only the id and text columns are read.
+once; only the id and text columns are read. Every rule reads a text of any length once, and redaction cuts it once.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seriesframe.llm.text import slices
 from seriesframe.llm.work import stage
@@ -34,7 +35,8 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+_JWT_PART = re.compile(r"[A-Za-z0-9_-]+")
+_JWT_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
 _KEY = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
 _KEY_END = re.compile(r"-----END [A-Z ]*PRIVATE KEY-----")
 _FORGE = re.compile(r"(?:ghp|gho|ghs|ghu)_[A-Za-z0-9]{36,}")
@@ -57,14 +59,32 @@ def find_hex(text: str) -> list[Span]:
 
 
 def find_jwt(text: str) -> list[Span]:
-    return [m.span() for m in _JWT.finditer(text)] if "eyJ" in text else []
+    """Three parts joined by dots, of 8 characters or more beside the `eyJ` that the first two begin with.
+
+    Each run of token characters is read once: the first part begins at the run's first `eyJ`.
+    """
+    spans, at = [], 0
+    while (dot := text.find(".eyJ", at)) >= 0:
+        at = dot + 1
+        begin = dot
+        while begin > 0 and text[begin - 1] in _JWT_CHARACTERS:
+            begin -= 1
+        begin = max([begin, *(end for _, end in spans[-1:])])
+        head = text.find("eyJ", begin, dot)
+        body = _JWT_PART.match(text, dot + 1)
+        tail = _JWT_PART.match(text, body.end() + 1) if text[body.end() : body.end() + 1] == "." else None
+        if head >= 0 and dot - head >= 11 and body.end() - body.start() >= 11 and tail and tail.end() - tail.start() >= 8:
+            spans.append((head, tail.end()))
+            at = tail.end()
+    return spans
 
 
 def find_private_key(text: str) -> list[Span]:
     """From the opening line to the closing one, or the opening line alone if none follows."""
-    spans, at = [], 0
+    spans, at, closed = [], 0, True
     while (begin := _KEY.search(text, at)) is not None:
-        end = _KEY_END.search(text, begin.end())
+        end = _KEY_END.search(text, begin.end()) if closed else None
+        closed = end is not None
         at = end.end() if end else begin.end()
         spans.append((begin.start(), at))
     return spans
@@ -207,25 +227,45 @@ def joined(spans, kinds: tuple[str, ...] | None = None):
     )
 
 
+def masked(text: str, spans: list[Span], mark: str) -> str:
+    """The text with its spans, in order, replaced by a mark; spans that overlap are replaced together."""
+    pieces, at = [], 0
+    for start, end in spans:
+        if start >= at:
+            pieces += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*pieces, text[at:]])
+
+
 def redacted(docs: DataFrame, ledger: Ledger, text_col: str = "text", mark: str = "[SECRET]", rules=None) -> DataFrame:
     """The rows, with all their columns, with the ledger's findings in the text replaced by a mark.
 
     Overlapping spans are replaced together; a null text stays null.
     """
-    text = F.col(f"_row.{text_col}").cast("string")
-    begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-
-    def replace(done, span):
-        gap = F.substring(text, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
-        out = F.when(span["start"] >= done["at"], F.concat(done["out"], gap, F.lit(mark))).otherwise(done["out"])
-        return F.struct(out.alias("out"), F.greatest(done["at"], span["end"]).alias("at"))
-
-    def rest(done):
-        return F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text)))
-
+    at = docs.columns.index(text_col)
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"),
+        F.struct(*(F.col(f"`{c}`").cast("string").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns)).alias("_row"),
         address(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("blob"),
     ).join(blob_spans(ledger, rules), "blob", "left")
-    masked = F.when(F.size("spans") > 0, F.aggregate("spans", begin, replace, rest)).otherwise(text)
-    return rows.select(*(masked.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
+    flat = rows.select(
+        F.transform("spans", lambda s: s["start"]).alias("_starts"),
+        F.transform("spans", lambda s: s["end"]).alias("_ends"),
+        *(F.col(f"_row.`{c}`").alias(c) for c in docs.columns),
+    )
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text_col else f.dataType) for f in docs.schema])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, _, _ in slices(batch.column(2 + at).fill_null("")):
+                part = batch.slice(low, high - low)
+                starts, ends = (part.column(i).to_pylist() for i in range(2))
+                texts = [
+                    t if t is None or not a else masked(t, list(zip(a, b)), mark)
+                    for t, a, b in zip(part.column(2 + at).to_pylist(), starts, ends, strict=True)
+                ]
+                columns = part.columns[2:]
+                columns[at] = pa.array(texts, part.column(2 + at).type)
+                yield pa.RecordBatch.from_arrays(columns, names=docs_columns)
+
+    docs_columns = docs.columns
+    return flat.mapInArrow(run, schema)
