@@ -46,6 +46,8 @@ KNOWN, SLACK, LEAST_KNOWN = 0.9999, 0.05, 20
 BANDS, STEPS = 64, 500
 #: Bytes of text whose n-grams are in memory at once.
 SLICE = 1 << 16
+#: N-grams whose weights are in memory at once; one text may have any number.
+PIECE = 1 << 16
 #: Unknown language.
 UND = "und"
 
@@ -174,13 +176,26 @@ def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return best, ranked[:, -1], ranked[:, -1] - second < AMBIGUOUS, loss.min(1)
 
 
+def weight_sums(weights: np.ndarray, buckets: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The weights of each text's n-grams, added up per bit, a bounded number of n-grams at a time."""
+    sums = np.zeros((len(rows) - 1, weights.shape[1]))
+    for low in range(0, len(buckets), PIECE):
+        high = min(low + PIECE, len(buckets))
+        first = int(np.searchsorted(rows, low, "right")) - 1
+        last = int(np.searchsorted(rows, high, "left"))
+        cuts = np.maximum(rows[first:last], low) - low
+        filled = np.diff(np.append(cuts, high - low)) > 0
+        sums[first:last][filled] += np.add.reduceat(weights[buckets[low:high]], cuts[filled], axis=0, dtype=np.float64)
+    return sums
+
+
 def judge(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Language, score, ambiguity, loss and band of length of each text."""
     if not model.languages:
         none = np.zeros(len(texts))
         return [UND] * len(texts), none, np.ones(len(texts), bool), none, none.astype(np.int64)
     buckets, rows = grams(texts)
-    sums = np.add.reduceat(model.weights[buckets], rows[:-1], axis=0, dtype=np.float64)
+    sums = weight_sums(model.weights, buckets, rows)
     best, score, unsure, _ = decode(model, sums / (np.diff(rows) + NEUTRAL)[:, None])
     # for the cuts all bytes count, so that a few letters among digits and signs are no language
     whole = np.maximum(np.diff(rows), len(ORDERS) * np.array([len(t.encode()) for t in texts]))
