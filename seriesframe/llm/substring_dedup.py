@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesframe.llm.text import SLICE_BYTES, Words, mix, slices, whole_windows, window_hashes, words
+from seriesframe.llm.text import SLICE_BYTES, Words, mix, odd_constants, slices, whole_windows, window_hashes, words
 from seriesframe.llm.work import stage
 
 #: Words of a window, and of the k-mers its anchor is chosen from.
@@ -65,12 +65,17 @@ def _segments(first: np.ndarray, anchor: np.ndarray, text_of: np.ndarray) -> np.
 
 
 def _run_hashes(hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
-    """A hash of each (overlapping) run of word hashes, which may differ in length."""
-    lengths = ends - begins
-    at = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum())) - np.repeat(at, lengths)
-    x = mix(hashes[place + np.repeat(begins, lengths)] + (place + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
-    return mix(np.add.reduceat(x, at) + lengths.astype(np.uint64)) if len(at) else np.zeros(0, np.uint64)
+    """A hash of each run of word hashes, which may overlap and differ in length: differences of sums over powers of an
+    odd base, so that no word is repeated, however many runs it is in."""
+    base = int(odd_constants(1, seed)[0])
+    up, down = (np.full(len(hashes) + 1, factor, np.uint64) for factor in (base, pow(base, -1, 1 << 64)))
+    for powers in (up, down):
+        powers[0] = 1
+        np.cumprod(powers, out=powers)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(mix(hashes + np.uint64(seed)) * up[:-1], out=sums[1:])
+    lengths = (ends - begins).astype(np.uint64)
+    return mix((sums[ends] - sums[begins]) * down[begins] + lengths * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _paths_of(w: Words, window: int, kmer: int):
