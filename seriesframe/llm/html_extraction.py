@@ -12,8 +12,8 @@ A class name, id or role counts as a whole, and never drops an article, the main
 an element so named stays beside the other text of its main element or body, unless an article elsewhere is the page's
 main part; one among comments goes with them.
 
-Only (page, host, hash) rows are shuffled; a page's text is moved only where the pages with a template inside their main
-part are too many for a size-checked broadcast.
+Only (page, host, hash) rows are shuffled; a page is moved only where the pages with a template inside their main
+part are too many for a size-checked broadcast. A page of any length and depth is read in time that grows with its length.
 
 Defined cases: null or empty html has empty text; a null url belongs to the host ''; unclosed and misnested elements end
 with their parent; unclosed comments, scripts and styles end with the page; rows that repeat an id are extracted each;
@@ -74,6 +74,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
+_CUT_OFF = re.compile(r"<!--.*\Z|<[!?].*\Z", re.S)
 _MARKS = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _PARTS = re.compile(r"[^a-z0-9]+")
@@ -100,16 +101,19 @@ class _Element:
 
 
 class Page:
-    """blocks: (text, place, numbers of the candidate elements around it); hashes: by candidate number, or None.
+    """blocks: (text, place, number of the nearest candidate element around it, or -1); hashes and above (the candidate
+    around it, or -1): by candidate number, a hash being None for what holds the main text.
 
     Places: 2 in an article, 1 in the main element, 0 elsewhere. Blocks in boilerplate elements are left out.
     """
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, int, list[int]]] = []
+        self.blocks: list[tuple[str, int, int]] = []
         self.hashes: list[int | None] = []
+        self.above: list[int] = []
         self.place = 0
         self._open = [_Element("", 0, 0, False, None, -1)]
+        self._around, self._parts = [-1], []  # numbers and hashed parts of the open candidates
         self._text: list[str] = []
         self._read(source)
         self._flush()
@@ -118,14 +122,17 @@ class Page:
 
     def _read(self, source: str) -> None:
         at, size = 0, len(source)
+        last = source.rfind(">")  # behind it only a comment or declaration can begin
         while at < size:
-            found = _TOKEN.search(source, at)
+            found = (_TOKEN if at <= last else _CUT_OFF).search(source, at)
             if found is None:
                 self._add(source[at:])
                 return
             if found.start() > at:
                 self._add(source[at : found.start()])
             at = found.end()
+            if found.re is _CUT_OFF:
+                continue
             slash, tag, attributes = found.group(1, 2, 3) if found[2] else found.group(4, 5, 6)
             if not tag:
                 continue
@@ -147,10 +154,8 @@ class Page:
 
     def _note(self, part: str) -> None:
         """Add to the hash of the nearest candidate; its own hash goes to the next one when it closes."""
-        for element in reversed(self._open):
-            if element.parts is not None:
-                element.parts.append(part)
-                return
+        if self._parts:
+            self._parts[-1].append(part)
 
     def _start(self, tag: str, attributes: str) -> None:
         ends = [t for t, closers in CLOSED_BY.items() if tag in closers]
@@ -181,14 +186,19 @@ class Page:
         if tag in ("article", "main") and not gone and not kept:
             place = max(place, 2 if tag == "article" else 1)
             self.place = max(self.place, place)
-            for element in self._open:
+            for element in reversed(self._open):
+                if element.holds_main:
+                    break
                 element.holds_main = True
         candidate = tag in CONTAINERS or (tag in TEXT_BLOCKS and not inside)
         number = -1
         if candidate:
             number = len(self.hashes)
             self.hashes.append(None)
-        self._open.append(_Element(tag, gone, place, kept, [tag] if candidate else None, number))
+            self.above.append(self._around[-1])
+            self._around.append(number)
+            self._parts.append([tag])
+        self._open.append(_Element(tag, gone, place, kept, self._parts[-1] if candidate else None, number))
 
     def _end(self, tag: str, implied: bool = False) -> None:
         block = tag in BLOCKS or tag in CLOSED_BY
@@ -210,6 +220,8 @@ class Page:
             self._flush()
         element = self._open.pop()
         if element.parts is not None:
+            self._around.pop()
+            self._parts.pop()
             digest = xxhash.xxh3_64_intdigest("\x00".join(element.parts).encode("utf-8", "replace"))
             if not element.holds_main:
                 self.hashes[element.number] = _signed(digest)
@@ -220,39 +232,65 @@ class Page:
             text = " ".join(html.unescape("".join(self._text)).split())
             self._text = []
             if text:
-                around = [e.number for e in self._open if e.number >= 0]
-                self.blocks.append((text, self._open[-1].place, around))
+                self.blocks.append((text, self._open[-1].place, self._around[-1]))
+
+    def main(self) -> list[tuple[str, int]]:
+        """Text and nearest candidate of the blocks of the page's main part."""
+        return [(text, around) for text, place, around in self.blocks if place == self.place]
+
+    def around_main(self) -> set[int]:
+        """Hashes of the candidates around the main part's blocks."""
+        seen: set[int] = set()
+        for _, number in self.main():
+            while number >= 0 and number not in seen:
+                seen.add(number)
+                number = self.above[number]
+        return {h for n in seen if (h := self.hashes[n]) is not None}
 
+    def text(self, template: frozenset[int] | set[int] = frozenset()) -> str:
+        """The main part's blocks, but for those in a template's subtree."""
+        dead: list[bool] = []
+        for digest, above in zip(self.hashes, self.above):
+            dead.append(digest in template or (above >= 0 and dead[above]))
+        return "\n".join(text for text, number in self.main() if number < 0 or not dead[number])
 
-_PARSED = "key long, key2 long, page_id long, url string, host string, content long, hashes array<long>, matter array<long>, blocks array<struct<text:string,inside:array<long>>>"
 
+_PARSED = "key long, key2 long, host string, content long, hashes array<long>, matter array<long>"
 
-def parse(pages: DataFrame, blocks: bool = True) -> DataFrame:
-    """One row per page: its host, hashes of its main text and of its subtrees, those around that text, and its blocks."""
+
+def parse(pages: DataFrame) -> DataFrame:
+    """One row per page: its host, hashes of its main text and of its subtrees, and of those around that text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = pa.struct([("text", pa.string()), ("inside", pa.list_(pa.int64()))])
         for batch in batches:
-            for low, high, _, _ in slices(batch.column(5)):
+            for low, high, _, _ in slices(batch.column(3)):
                 part = batch.slice(low, high - low)
-                content, hashes, matter, kept = [], [], [], []
-                for source in part.column(5).to_pylist():
+                content, hashes, matter = [], [], []
+                for source in part.column(3).to_pylist():
                     page = Page(source)
-                    main = [b for b in page.blocks if b[1] == page.place]
-                    inside = [[h for n in around if (h := page.hashes[n]) is not None] for _, _, around in main]
-                    content.append(_signed(xxhash.xxh3_64_intdigest("\n".join(b[0] for b in main).encode("utf-8", "replace"))))
+                    content.append(_signed(xxhash.xxh3_64_intdigest(page.text().encode("utf-8", "replace"))))
                     hashes.append(list({h for h in page.hashes if h is not None}))
-                    matter.append(list(set().union(*inside)))
-                    kept.append([{"text": b[0], "inside": i} for b, i in zip(main, inside, strict=True)] if blocks else [])
+                    matter.append(list(page.around_main()))
                 yield pa.RecordBatch.from_arrays(
-                    part.columns[:5]
-                    + [pa.array(content, pa.int64())]
-                    + [pa.array(x, pa.list_(pa.int64())) for x in (hashes, matter)]
-                    + [pa.array(kept, pa.list_(block))],
-                    names=["key", "key2", "page_id", "url", "host", "content", "hashes", "matter", "blocks"],
+                    part.columns[:3] + [pa.array(content, pa.int64())] + [pa.array(x, pa.list_(pa.int64())) for x in (hashes, matter)],
+                    names=["key", "key2", "host", "content", "hashes", "matter"],
                 )
 
-    return pages.mapInArrow(run, _PARSED)
+    return pages.select("key", "key2", "host", "html").mapInArrow(run, _PARSED)
+
+
+def without_templates(pages: DataFrame) -> DataFrame:
+    """page_id, url and text of (page_id, url, html, template) rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, _, _ in slices(batch.column(2)):
+                part = batch.slice(low, high - low)
+                pairs = zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)
+                texts = [Page(source).text(set(template or ())) for source, template in pairs]
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+
+    return pages.select("page_id", "url", "html", "template").mapInArrow(run, "page_id long, url string, text string")
 
 
 def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -267,7 +305,7 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     )
     subtrees = stage(
-        parse(source, blocks=False).select(
+        parse(source).select(
             "key", "key2", "host", "content", F.explode("hashes").alias("hash"), F.array_contains("matter", F.col("hash")).alias("matters")
         ),
         "subtrees",
@@ -285,12 +323,4 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
         .agg(F.collect_set("hash").alias("template")),
         "template-hits",
     )
-    kept = F.filter(
-        "blocks", lambda b: F.col("template").isNull() | ~F.arrays_overlap(b["inside"], F.col("template"))
-    )
-    return (
-        parse(source)
-        .select("key", "key2", "page_id", "url", "blocks")
-        .join(hits, ["key", "key2"], "left")
-        .select("page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias("text"))
-    )
+    return without_templates(source.join(hits, ["key", "key2"], "left"))
