@@ -186,6 +186,15 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log((target + smooth * share) / (target.sum() + smooth) / share).astype(np.float32)
 
 
+def text_sums(values: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sum of each text's values, added up by itself, so that it does not depend on its neighbours in the batch."""
+    filled = np.diff(rows) > 0
+    sums = np.zeros(len(rows) - 1)
+    if filled.any():
+        sums[filled] = np.add.reduceat(values, rows[:-1][filled], dtype=np.float64)
+    return sums
+
+
 def score(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, the base counts and the length-normalised score of every document."""
     sent = docs.sparkSession.sparkContext.broadcast(ratio)
@@ -198,9 +207,7 @@ def score(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_col:
                 w = words(data, offsets)
                 counts = rules(data, offsets, w)
                 buckets, rows = gram_buckets(w)
-                sums = np.concatenate([[0.0], np.cumsum(table[buckets], dtype=np.float64)])
-                n = np.diff(rows)
-                mean = (sums[rows[1:]] - sums[rows[:-1]]) / (n + NEUTRAL)
+                mean = text_sums(table[buckets], rows) / (np.diff(rows) + NEUTRAL)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(low, high - low)]
                     + [pa.array(getattr(counts, c), pa.int64()) for c in names]
