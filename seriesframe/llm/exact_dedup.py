@@ -68,7 +68,9 @@ def exact_dedup(
 
 
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
-    """The rows that stay, with all their columns: of equal texts the row with the largest id, ties by the others."""
+    """The rows that stay, with all their columns: of equal texts the row with the largest id, ties by the others.
+
+    Columns that have no order of their own, as maps, are compared by their JSON."""
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
     rows = docs.select(
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
@@ -78,7 +80,15 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
             *(F.col(f"`{c}`").alias(f"rest{i}") for i, c in enumerate(rest)),
         ).alias("row"),
     ).withColumn("digest", sha256(F.col("text")))
-    won = _combined(rows, [F.max("row").alias("top")], [F.max("top").alias("row")], salts)
+    loose = {f"rest{i}" for i, c in enumerate(rest) if "map<" in docs.schema[c].dataType.simpleString()}
+    if not loose:
+        won = _combined(rows, [F.max("row").alias("top")], [F.max("top").alias("row")], salts)
+    else:
+        names = ["id", "given", *(f"rest{i}" for i in range(len(rest)))]
+        rank = F.struct(*((F.to_json(F.struct(f"row.{n}")) if n in loose else F.col(f"row.{n}")).alias(n) for n in names))
+        ranked = rows.withColumn("rank", rank)
+        partial = [F.max_by("row", "rank").alias("top"), F.max("rank").alias("rank")]
+        won = _combined(ranked, partial, [F.max_by("top", "rank").alias("row")], salts)
     columns = {id_col: F.col("row.id"), text_col: F.when(F.col("row.given"), F.col("text"))}
     columns |= {c: F.col(f"row.rest{i}") for i, c in enumerate(rest)}
     return won.select(*(columns[c].alias(c) for c in docs.columns))
