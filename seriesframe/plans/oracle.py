@@ -866,6 +866,20 @@ left join ranked c on c.date = s.date and c.crn = 1 and c.conclusion is not null
     "expected_dates": """select event_id,
        cast(case isodow(d) when 6 then d - 1 when 7 then d - 2 else d end as date) as expected
 from (select event_id, cast(ts as date) - case when hour(ts) < 21 then 1 else 0 end as d from events) x""",
+    "holiday_status": """
+with days as (
+  select cast(d as date) as day from generate_series(timestamp '2023-12-01', timestamp '2024-12-31', interval 1 day) t(d)),
+open_days as (
+  select day from days where isodow(day) < 6 and day not in (date '2023-12-25', date '2024-01-01', date '2024-01-15')),
+due as (
+  select event_id, cast(ts as date) - cast(event_id % 6 as integer) as latest,
+         cast(ts as date) - case when hour(ts) < 21 then 1 else 0 end as ended from events),
+expected as (
+  select e.*, (select max(day) from open_days o where o.day <= e.ended) as expected from due e),
+counted as (
+  select *, (select count(*) from open_days o where o.day <= e.expected)
+            - (select count(*) from open_days o where o.day <= e.latest) as missing from expected e)
+select event_id, latest, expected, missing, case when missing <= 0 then 'FRESH' else 'STALE' end as status from counted""",
     "table_freshness": _with("select * from fresh", "fresh"),
     "table_lineage": _with(
         """select f."table", m.silver, m.bronze, m.date_col, f.cadence, m.panel, f.latest_date, f.total_rows, f.status

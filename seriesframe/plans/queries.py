@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesframe.functions import columns as C
-from seriesframe.operators import findings, freshness, indexing, panels, returns, rollups, shaping, snapshots
+from seriesframe.operators import business_days, findings, freshness, indexing, panels, returns, rollups, shaping, snapshots
 from seriesframe.plans.lake import (
     CORE,
     INFRA,
@@ -851,6 +851,24 @@ def expected_dates(lake: Lake) -> DataFrame:
     return lake.raw("events").select("event_id", freshness.expected_date(F.col("ts")).alias("expected"))
 
 
+# Days in the sample's month on which no market is open.
+HOLIDAYS = ("2023-12-25", "2024-01-01", "2024-01-15")
+
+
+@query
+def holiday_status(lake: Lake) -> DataFrame:
+    """Expected day, missing business days and status at the moment of every event, over weeks with holidays.
+
+    The data's latest date lies up to five days before the event.
+    """
+    closed = lake.spark.range(1).select(F.explode(F.array(*[F.to_date(F.lit(d)) for d in HOLIDAYS])).alias("day"))
+    calendar = business_days.business_calendar(lake.spark, "2023-12-01", "2024-12-31", closed)
+    rows = lake.raw("events").select("event_id", "ts", F.date_sub(F.to_date("ts"), (F.col("event_id") % 6).cast("int")).alias("latest"))
+    due = business_days.with_expected(rows, "ts", calendar)
+    missing = business_days.with_business_gap(due, "latest", "expected", calendar, "missing")
+    return missing.select("event_id", "latest", "expected", "missing", business_days.business_status(F.col("missing")).alias("status"))
+
+
 @query
 def table_freshness(lake: Lake) -> DataFrame:
     return _table_freshness(lake)
