@@ -9,12 +9,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesframe.functions.columns import utc_date, utc_hour
 from seriesframe.functions.ordered import Keys, as_keys
 from seriesframe.operators.shaping import latest
+from seriesframe.sources.tables import read_table
+from seriesframe.sources.workspace import new_path
 
 # Close of the trading day in UTC, and the days a source may lag.
 CLOSE_HOUR_UTC = 21
@@ -91,6 +95,49 @@ def table_freshness(tables: Mapping[str, DataFrame], specs: Sequence[TableSpec],
     return rows.withColumn("status", cadence_status(F.col("cadence"), F.col("latest_date"), as_of))
 
 
+def footer_aggregate(spark: SparkSession, path: str, dt: str, footers: bool = True) -> DataFrame:
+    """latest_date and total_rows of a table at a path, from the footers of its files: no column is read.
+
+    A session of its own reads it with Spark's newer Parquet source, which answers a maximum of dates and a count from
+    the statistics of the row groups; one footer per file is read, by all tasks.
+    """
+    session = spark.newSession()
+    for name, value in FOOTERS_ONLY.items() if footers else ():
+        session.conf.set(name, value)
+    return read_table(session, path).agg(F.max(dt).alias("latest_date"), F.count(F.lit(1)).alias("total_rows"))
+
+
+def footer_probe(spark: SparkSession, paths: Mapping[str, str], dt: Mapping[str, str]) -> DataFrame:
+    """table, latest_date and total_rows of tables at `paths`; `dt` names each one's date column.
+
+    A table with a row group that has no statistics, as one without a single date, has its date column read instead.
+    """
+    folder = new_path(spark, "footers")
+    for name, path in paths.items():
+        for footers in (True, False):
+            told = footer_aggregate(spark, path, dt[name], footers).select(F.lit(name).alias("table"), "latest_date", "total_rows")
+            try:
+                told.write.mode("overwrite").parquet(f"{folder}/part={name}")
+                break
+            except (Py4JJavaError, PySparkException) as failure:
+                if not footers or "No min/max found" not in str(failure):
+                    raise
+    return spark.read.schema("table string, latest_date date, total_rows long").parquet(f"{folder}/part=*")
+
+
+#: Settings under which aggregates are answered from Parquet statistics.
+FOOTERS_ONLY = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def freshness_from_footers(spark: SparkSession, paths: Mapping[str, str], specs: Sequence[TableSpec], as_of: Column) -> DataFrame:
+    """`table_freshness` of tables kept at paths, from their files' statistics."""
+    specs = [s for s in specs if s.name in paths]
+    probed = footer_probe(spark, paths, {s.name: s.date_col for s in specs})
+    cadences = F.create_map(*[F.lit(x) for s in specs for x in (s.name, s.cadence)])
+    rows = probed.withColumn("cadence", cadences[F.col("table")])
+    return rows.withColumn("status", cadence_status(F.col("cadence"), F.col("latest_date"), as_of))
+
+
 def lineage(freshness: DataFrame, reg: DataFrame) -> DataFrame:
     """Freshness beside where each table comes from and is shown."""
     return reg.join(freshness.drop("cadence"), "table")

@@ -78,6 +78,10 @@ class Lake:
             _written[key] = path, write_table(build(), path, dt, cluster=cluster).schema
         return read_table(self.spark, *_written[key])
 
+    def path(self, name: str) -> str:
+        """Where a derived table lies, after it has been asked for."""
+        return _written[(self.spark.sparkContext.applicationId, self.sf_dir, name)][0]
+
     # silver ------------------------------------------------------------------------------
 
     def bars(self) -> DataFrame:

@@ -881,6 +881,7 @@ counted as (
             - (select count(*) from open_days o where o.day <= e.latest) as missing from expected e)
 select event_id, latest, expected, missing, case when missing <= 0 then 'FRESH' else 'STALE' end as status from counted""",
     "table_freshness": _with("select * from fresh", "fresh"),
+    "table_freshness_from_footers": _with("select * from fresh", "fresh"),
     "table_lineage": _with(
         """select f."table", m.silver, m.bronze, m.date_col, f.cadence, m.panel, f.latest_date, f.total_rows, f.status
 from fresh f join (select * from (values

@@ -874,6 +874,13 @@ def table_freshness(lake: Lake) -> DataFrame:
     return _table_freshness(lake)
 
 
+@query
+def table_freshness_from_footers(lake: Lake) -> DataFrame:
+    """The same from the statistics in the tables' files."""
+    paths = {name: lake.path(name) for name in _tables(lake)}
+    return freshness.freshness_from_footers(lake.spark, paths, SPECS, moment(MARKET_AS_OF))
+
+
 @query
 def table_lineage(lake: Lake) -> DataFrame:
     return freshness.lineage(_table_freshness(lake), freshness.registry(lake.spark, SPECS))

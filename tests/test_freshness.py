@@ -131,3 +131,24 @@ def test_dates_are_cut_in_utc_in_any_session_zone(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert (str(row.a), str(row.b), str(row.c), row.d) == ("2024-03-06", "2024-03-06", "2024-03-08", 5)
+
+
+def test_footers_alone_tell_dates_and_counts(spark, tmp_path):
+    from seriesframe.sources.tables import write_table
+    from seriesframe.sources.upsert import upsert
+
+    rows = spark.createDataFrame([("a", date(2024, 1, 1), 1.0), ("a", date(2024, 2, 3), None), ("b", None, 2.0)], "k string, day date, v double")
+    paths = {n: str(tmp_path / n) for n in ("plain", "parts", "merged")}
+    write_table(rows, paths["plain"])
+    write_table(rows, paths["parts"], "day", "month")
+    upsert(spark, paths["merged"], rows, ["k", "day"], "day")
+    upsert(spark, paths["merged"], rows.filter("day > '2024-02-01'").withColumn("day", F.date_add("day", 1)), ["k", "day"], "day")
+    probed = freshness.footer_probe(spark, paths, dict.fromkeys(paths, "day"))
+    assert {r.table: (r.latest_date, r.total_rows) for r in probed.collect()} == {
+        "plain": (date(2024, 2, 3), 3),
+        "parts": (date(2024, 2, 3), 3),
+        "merged": (date(2024, 2, 4), 4),
+    }
+    for name in paths:
+        plan = freshness.footer_aggregate(spark, paths[name], "day")._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation: [MAX(day), COUNT(*)]" in plan
