@@ -929,6 +929,11 @@ union all select 'levels', entity, snapshot_date, cast(level as double) from lev
     "stream_upsert": _with("select * from bars", "bars"),
     "stream_sliding_count": """
 select event_type, cast(w as date) as window_start, cast(w as date) + 7 as window_end, count(*) as count
+from (select event_type, unnest(range(cast(ts as date) - interval 6 days, cast(ts as date) + interval 1 day,
+        interval 1 day)) as w from events) x
+group by 1, 2""",
+    "stream_sliding_count_kept": """
+select event_type, cast(w as date) as window_start, cast(w as date) + 7 as window_end, count(*) as count
 from (select event_type, unnest(range(cast(ts as date) - interval 6 days, cast(ts as date) + interval 1 day,
         interval 1 day)) as w from events) x
 group by 1, 2""",

@@ -27,7 +27,7 @@ from seriesframe.sources.export import export_json, export_json_array
 from seriesframe.sources.tables import PERIOD, read_table, row_counts, write_snapshot, write_table
 from seriesframe.sources.upsert import upsert
 from seriesframe.sources.workspace import new_path
-from seriesframe.streaming import jobs
+from seriesframe.streaming import jobs, state
 
 # The moments the freshness queries are asked for.
 EVENTS_AS_OF = "2024-01-31 13:00:00"
@@ -948,6 +948,18 @@ def stream_sliding_count(lake: Lake) -> DataFrame:
     return no_period(jobs.sliding_counts_table(lake.spark, stream, "ts", "event_type", "event_id", target, checkpoint))
 
 
+@query
+def stream_sliding_count_kept(lake: Lake) -> DataFrame:
+    """The events land in three goes, each spread over the whole month: most of the later ones are past the watermark."""
+    events = lake.raw("events").select("event_id", "ts", "event_type")
+    feed, target, checkpoint = (new_path(lake.spark, name) for name in ("feed", "kept", "offsets"))
+    for go in range(3):
+        events.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == go).write.mode("append").parquet(feed)
+        stream = lake.spark.readStream.schema(events.schema).parquet(feed)
+        counts = state.sliding_counts_kept(lake.spark, stream, "ts", "event_type", target, checkpoint)
+    return no_period(counts)
+
+
 @query
 def late_recovery(lake: Lake) -> DataFrame:
     """Bars of a few weeks arrive late; the touched returns are brought up to date."""

@@ -60,10 +60,11 @@ def stream_upsert(
 def sliding_counts(events: DataFrame, ts: str, cat: str, days: int = 7) -> DataFrame:
     """Events per category and window of `days` days, a window beginning on every day."""
     daily = events.groupBy(cat, utc_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    return _windows(daily, cat, days)
+    return window_sums(daily, cat, days)
 
 
-def _windows(daily: DataFrame, cat: str, days: int) -> DataFrame:
+def window_sums(daily: DataFrame, cat: str, days: int) -> DataFrame:
+    """Sums of the days' counts n over every window that holds one of the days."""
     starts = F.explode(F.sequence(F.date_sub("day", days - 1), F.col("day")))
     return (
         daily.withColumn("window_start", starts)
@@ -102,7 +103,7 @@ def sliding_counts_table(
                 session, f"{target}_days", counted.agg(F.count(F.lit(1)).alias("n")), [cat, "day"], "day", grain="year"
             )
             near = touched.select(F.explode(F.sequence(F.date_sub("_day", days - 1), F.col("_day"))).alias("_start"))
-            sums = _windows(daily.select(cat, "day", "n"), cat, days)
+            sums = window_sums(daily.select(cat, "day", "n"), cat, days)
             sums = sums.join(F.broadcast(near.distinct()), F.col("window_start") == F.col("_start"), "left_semi")
             upsert(session, target, sums, [cat, "window_start"], "window_start")
         finally:

@@ -10,7 +10,7 @@ from seriesframe.operators.returns import returns
 from seriesframe.plans import daily, weekly
 from seriesframe.sources.landing import read_published
 from seriesframe.sources.tables import read_table
-from seriesframe.streaming import jobs
+from seriesframe.streaming import jobs, state
 
 D = date.fromisoformat
 SYMBOLS = {"IDX": "benchmark", "S1": "sector", "S2": "sector", "A": "ai_basket", "B": "ai_basket", "C": "ai_basket"}
@@ -209,6 +209,32 @@ def test_stream_counts_equal_batch_counts_however_late(spark, tmp_path):
     assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_kept_counts_equal_batch_counts_past_the_watermark(spark, tmp_path):
+    rows = [(i, D(f"2024-01-{1 + i % 28:02d}"), "ab"[i % 2]) for i in range(90)]
+    events = spark.createDataFrame(rows, "id int, ts date, kind string").withColumn("ts", F.col("ts").cast("timestamp"))
+    feed, target = str(tmp_path / "feed"), str(tmp_path / "t")
+    day = F.dayofmonth("ts")
+    lots = [day.between(8, 12), (F.col("id") < 40) & (day > 20), (day < 8) | (F.col("id") >= 40) & (day > 20), day.between(13, 20)]
+    for lot in lots:
+        events.filter(lot).coalesce(1).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(events.schema).parquet(feed)
+        got = state.sliding_counts_kept(spark, stream, "ts", "kind", target, str(tmp_path / "o"), pieces=2)
+    want = jobs.sliding_counts(events, "ts", "kind")
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+    kept = read_table(spark, f"{target}_days")
+    assert kept.filter(F.col("lot") == state.HELD).count() and kept.filter(F.col("lot") > 0).count()
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+
+
+def test_kept_counts_refuse_events_without_a_category(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    spark.createDataFrame([(1, D("2024-01-01"), None)], "id int, ts date, kind string").write.parquet(str(tmp_path / "feed"))
+    stream = spark.readStream.schema("id int, ts date, kind string").parquet(str(tmp_path / "feed"))
+    with pytest.raises(StreamingQueryException):
+        state.sliding_counts_kept(spark, stream, "ts", "kind", str(tmp_path / "t"), str(tmp_path / "o"))
+
+
 def test_health_report(spark, built):
     from datetime import datetime
 
