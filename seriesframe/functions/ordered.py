@@ -42,6 +42,13 @@ def chunk_of(df: DataFrame, dt: str, col: Column | None = None) -> Column:
     return F.coalesce(number, F.lit(-(2**31)))
 
 
+def bucketed(df: DataFrame, keys: Sequence[str], order: str | None = None) -> int | None:
+    """The buckets of a frame that lies by (keys, chunk) and has kept its chunk column; None for any other."""
+    mark = df.schema[CHUNK].metadata if CHUNK in df.columns else {}
+    fits = mark.get("by") == list(keys) and order in (None, mark.get("chunk_of"))
+    return mark.get("buckets") if fits else None
+
+
 def split_window(
     df: DataFrame,
     keys: Sequence[str],
@@ -55,18 +62,21 @@ def split_window(
 
     `across` gets two windows over the per-chunk summary rows: the chunks in order, and
     the chunks strictly before. Its columns are put on the edge row; a name that is also a
-    column of `df` makes the edge row carry a value in that column.
+    column of `df` makes the edge row carry a value in that column. The rows of a bucketed
+    frame stay where they are, only the edge rows are sent to them.
     """
-    cut = df.withColumn(CHUNK, chunk_of(df, order) if chunk is None else chunk)
+    buckets = bucketed(df, keys, order) if chunk is None else None
+    cut = df if buckets else df.withColumn(CHUNK, chunk_of(df, order) if chunk is None else chunk)
     summary = cut.groupBy(*keys, CHUNK).agg(*[c.alias(n) for n, c in summarise.items()])
     in_order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(CHUNK)
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     carried = across(in_order, before)
     edges = summary.select(*keys, CHUNK, F.lit(True).alias(EDGE), *[c.alias(n) for n, c in carried.items()])
+    edges = edges.repartition(buckets, *keys, CHUNK) if buckets else edges
     rows = cut.withColumn(EDGE, F.lit(False)).unionByName(edges, allowMissingColumns=True)
     w = Window.partitionBy(*keys, CHUNK).orderBy(F.col(EDGE).desc(), F.col(order))
     helper = [n for n in carried if n not in df.columns]
-    return rows.withColumns(dict(within(w))).filter(~F.col(EDGE)).drop(CHUNK, EDGE, *helper)
+    return rows.withColumns(dict(within(w))).filter(~F.col(EDGE)).drop(*([] if buckets else [CHUNK]), EDGE, *helper)
 
 
 def with_prev(df: DataFrame, by: Keys, dt: str, prev: Mapping[str, str]) -> DataFrame:
@@ -139,11 +149,33 @@ def rolling(
     """Window over the current and the n-1 preceding rows, in equal blocks of row positions.
 
     The last n-1 rows of a block are repeated at the head of the next one, so every frame
-    is whole and no task gets more than block_rows + n - 1 rows of one entity at a time.
+    is whole and no task gets more than block_rows + n - 1 rows of one entity at a time. The
+    rows of a bucketed frame stay in their chunks, which get the n-1 rows before them.
     """
+    buckets = bucketed(df, as_keys(by))
+    if buckets:
+        return _rolling_in_chunks(df, as_keys(by), position, n, frames, buckets)
     return around(df, by, position, n - 1, 0, lambda w: frames(w.rowsBetween(-(n - 1), 0)), block_rows)
 
 
+def _rolling_in_chunks(
+    df: DataFrame, keys: list[str], position: str, n: int, frames: Callable[[WindowSpec], Mapping[str, Column]], buckets: int
+) -> DataFrame:
+    """`rolling` of a bucketed frame. The n-1 rows before a chunk lie in the n-1 chunks before it, or fewer."""
+    in_order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(CHUNK)
+    starts = df.groupBy(*keys, CHUNK).agg(F.min(position).alias("_first"))
+    later = F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_first").alias("at")))
+    later = starts.select(*keys, CHUNK, later.over(in_order.rowsBetween(1, max(1, n - 1))).alias("_later"))
+    last = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(F.col(position).desc()))
+    tails = df.withColumn("_back", last).filter(F.col("_back") < n).drop("_back").join(later, [*keys, CHUNK])
+    reached = F.filter("_later", lambda x: x["at"] - F.col(position) < n)
+    edges = tails.withColumn("_to", F.explode(reached)).withColumn(CHUNK, F.col("_to.c")).drop("_later", "_to")
+    edges = edges.withColumn(EDGE, F.lit(True)).repartition(buckets, *keys, CHUNK)
+    rows = df.withColumn(EDGE, F.lit(False)).unionByName(edges)
+    w = Window.partitionBy(*keys, CHUNK).orderBy(position).rowsBetween(-(n - 1), 0)
+    return rows.withColumns(dict(frames(w))).filter(~F.col(EDGE)).drop(EDGE)
+
+
 def around(
     df: DataFrame,
     by: Keys,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesframe.functions.columns import ratio
-from seriesframe.functions.ordered import Keys, as_keys, rolling, with_prev, with_running
+from seriesframe.functions.ordered import CHUNK, Keys, as_keys, bucketed, rolling, with_prev, with_running
 
 
 def returns(
@@ -54,7 +54,7 @@ def rolling_vol(
     The frame counts rows, the gate counts non-NULL returns up to the current row.
     """
     keys = as_keys(by)
-    slim = df.select(*keys, dt, ret)
+    slim = df.select(*keys, dt, ret, *([CHUNK] if bucketed(df, keys, dt) else []))
     usable = F.when(F.col(ret).isNotNull(), 1).otherwise(0)
     placed = with_running(slim, keys, dt, {"_seen": ("sum", usable), "_pos": ("sum", F.lit(1))})
     framed = rolling(placed, keys, "_pos", n, lambda w: {"_dev": F.stddev_samp(ret).over(w)})
