@@ -462,10 +462,17 @@ ORACLE: dict[str, str] = {
     "rolling_volatility": _with(
         "select symbol, date, round(rolling_volatility, 6) as rolling_volatility from vol", "vol"
     ),
+    "bucketed_volatility": _with(
+        "select symbol, date, round(rolling_volatility, 6) as rolling_volatility from vol", "vol"
+    ),
     "rolling_volatility_by_part": _with(
         "select symbol, date, round(case when seen >= 20 then dev end, 6) as rolling_volatility from part_counted",
         "part_vol",
     ),
+    "bucketed_volatility_by_part": _with(
+        "select symbol, date, round(case when seen >= 20 then dev end, 6) as rolling_volatility from part_counted",
+        "part_vol",
+    ),
     "basket_vs_benchmark": _with(
         "select date, round(basket_return, 6) as basket_return, round(benchmark_return, 6) as benchmark_return,"
         " round(spread, 6) as spread from spread",

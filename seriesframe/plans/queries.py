@@ -23,6 +23,7 @@ from seriesframe.plans.lake import (
 from seriesframe.plans import incremental
 from seriesframe.plans.weekly import headline_metrics
 from seriesframe.sources import landing
+from seriesframe.sources.buckets import write_bucketed
 from seriesframe.sources.export import export_json, export_json_array
 from seriesframe.sources.tables import PERIOD, read_table, row_counts, write_snapshot, write_table
 from seriesframe.sources.upsert import upsert
@@ -131,6 +132,23 @@ def count_history(lake: Lake) -> DataFrame:
 # --- panels -----------------------------------------------------------------------------------
 
 
+def _bucketed_volatility_of(bars: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
+    """Returns and their deviations from a bucketed table, whose rows are not shuffled for either."""
+
+    def volatility(lake: Lake) -> DataFrame:
+        buckets = int(lake.spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = bars(lake).select("symbol", "date", "close")
+        table = write_bucketed(rows, f"bucketed_{uuid.uuid4().hex}", "symbol", "date", buckets)
+        daily = returns.returns(table, "symbol", "date", "close")
+        return r6(returns.rolling_vol(daily, "symbol", "date"), "rolling_volatility")
+
+    return volatility
+
+
+register("bucketed_volatility", _bucketed_volatility_of(Lake.bars))
+register("bucketed_volatility_by_part", _bucketed_volatility_of(Lake.part_bars))
+
+
 def _compound_return(days: int | None, table: Callable[[Lake], DataFrame] = Lake.market_daily):
     def run(lake: Lake) -> DataFrame:
         rets = table(lake).select("symbol", "date", "daily_return", "prev_date", PERIOD)
