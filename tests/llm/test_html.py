@@ -4,6 +4,7 @@ import html
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from seriesframe.llm.html_extraction import Page, extract
 from seriesframe.llm.queries import QUERIES
@@ -116,3 +117,51 @@ def test_template_of_a_section(spark):
     by = made(spark, rows)
     assert all(by[i] == f"story {i}" for i in range(1200))
     assert all(by[2000 + i] == f"Rare note\ntale {i}" for i in range(9))
+
+
+def pieces(source):
+    """Brute force for pages of the sample's shape: markup and lines of the menu, the advert, the article and the footer."""
+    body = re.sub(r"<!--.*?-->", "", source.split("<body>")[1].removesuffix("</body></html>"), flags=re.S)
+    for piece in re.split(r"(?<=</nav>)|(?=<article>)|(?<=</article>)", body):
+        inner = re.sub(r"<br>", " ", re.sub(r"</?(?:b|a)(?: [^>]*)?>", "", piece))
+        lines = [" ".join(html.unescape(x).split()) for x in re.split(r"<[^>]*>", inner)]
+        yield piece, [x for x in lines if x]
+
+
+def test_count_alone_finds_the_template(spark, sf_dir):
+    """Without the lists of names, and with articles that are but a div, counting has to find what a site repeats."""
+    pages = spark.read.parquet(f"{sf_dir}/../sf0.1/pages.parquet")
+    rows = [(r.page_id, re.match(r"\w+://([^/]*)", r.url)[1].lower(), list(pieces(r.html))) for r in pages.collect()]
+    on: dict = {}
+    for _, host, parts in rows:
+        for piece, _ in parts:
+            on.setdefault((host, piece), set()).add(tuple(x for _, lines in parts for x in lines))
+    least = 3
+    want = {
+        i: (
+            "\n".join(x for piece, lines in parts if len(on[host, piece]) < least for x in lines),
+            sum(len(on[host, piece]) >= least for piece, lines in parts if lines),
+        )
+        for i, host, parts in rows
+    }
+    assert sum(n >= 2 for _, n in want.values()) > len(want) / 4
+    renamed = pages.withColumn("html", F.regexp_replace("html", r"(</?)article>", "$1div>"))
+    got = {r.page_id: (r.text, r.n_template) for r in extract(renamed, least, lists=False).collect()}
+    assert got == want
+
+
+def test_no_line_is_lost_without_article_elements(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/../sf0.1/pages.parquet")
+    renamed = pages.withColumn("html", F.regexp_replace("html", r"(</?)article>", "$1div>"))
+    got = {r.page_id: r.text for r in extract(renamed, 3).collect()}
+    assert got == {r.page_id: article(r.html) for r in pages.collect()}
+
+
+def test_quoted_paragraphs_are_no_template(spark):
+    rows = [(i, f"//q.example/{i}", f"<div>menu</div><div><h1>Weekly notes</h1><p>story {i}</p><p>As is.</p></div><script>at({i})</script>") for i in range(30)]
+    rows += [(100 + i, f"//q.example/b{i}", f"<section><div>menu</div><p>tale {i}</p></section>") for i in range(5)]
+    rows += [(200 + i, f"//s.example/{i}", f"<p>x{i}</p><div><script>at({i})</script>Follow us</div>") for i in range(12)]
+    by = made(spark, rows)
+    assert all(by[i] == f"Weekly notes\nstory {i}\nAs is." for i in range(30))
+    assert all(by[100 + i] == f"menu\ntale {i}" for i in range(5))
+    assert all(by[200 + i] == f"x{i}" for i in range(12))
