@@ -1,9 +1,10 @@
 """Kept summaries of dyadic runs of days, from which any trailing window is merged.
 
-Level k has one row for each entity and run of 2**k days that begins at a multiple of 2**k (days since 1970). A window
-of any length is a union of at most two runs per level, so it is answered from some twenty rows per entity instead
-of its history. Rows are partitioned by level and the year a run begins in, and only the partitions that the asked
-windows need are read: of level 0, the days themselves, those at the ends.
+A run of level k is 2**k days that begin at a multiple of 2**k (days since 1970). Of the runs that hold the same days
+of an entity the longest is kept, so an entity with n days has less than 2 n rows however far apart these are, and
+every single day is among them. A window of any length is a union of at most two runs per level, so it is answered
+from some twenty rows per entity instead of its history. Rows are partitioned by level and the year a run begins in,
+and only the partitions that the asked windows need are read: of short runs, those at the ends.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesframe.functions.ordered import Keys, as_keys
@@ -70,15 +71,40 @@ def _part(level: Column, run: Column) -> Column:
     return (level * YEARS + F.year(first)).cast("int")
 
 
+def _days(df: DataFrame, keys: Sequence[str], dt: str, measures: Mapping[str, Measure]) -> DataFrame:
+    """The summaries of single days; run is the day."""
+    return df.filter(F.col(dt).isNotNull()).groupBy(*keys, F.unix_date(dt).alias(RUN)).agg(*_from_rows(measures, dt))
+
+
+def _right(col: Column, bits: Column) -> Column:
+    return F.call_function("shiftright", col, bits)
+
+
+def _longest_runs(days: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure], top: int) -> DataFrame:
+    """The runs that are kept: those whose other half of the next level has days as well, and all of the highest level.
+
+    A day is summed from the level on at which a neighbour joins it. Everything happens per (entity, run of the highest
+    level), at most 2**top days, to which the days are shuffled once.
+    """
+    summaries = [c for c in days.columns if c not in (*keys, RUN)]
+    in_order = Window.partitionBy(*keys, "_span").orderBy(RUN)
+    span = F.lit(1 << top)  # a day of another span stands for no neighbour
+    before = F.coalesce(F.lag(RUN).over(in_order), F.col(RUN) - span)
+    beside = {"_prev": before, "_next": F.coalesce(F.lead(RUN).over(in_order), F.col(RUN) + span)}
+    alone = [F.length(F.bin(F.col(RUN).bitwiseXOR(F.col(c)))) - 1 for c in beside]  # highest level without that neighbour
+    levels = F.explode(F.sequence(F.least(*alone, F.lit(top)), F.lit(top))).alias(LEVEL)
+    placed = days.withColumn("_span", F.shiftright(RUN, top)).withColumns(beside)
+    runs = placed.select("*", levels).withColumn(RUN, _right(F.col(RUN), F.col(LEVEL)))
+    rolled = runs.groupBy(*keys, "_span", LEVEL, RUN).agg(*_merged(measures), F.min("_prev").alias("_prev"), F.max("_next").alias("_next"))
+    whole, up = F.shiftright(RUN, 1), F.col(LEVEL) + 1
+    kept = (F.col(LEVEL) == top) | (_right(F.col("_prev"), up) == whole) | (_right(F.col("_next"), up) == whole)
+    return rolled.filter(kept).select(LEVEL, RUN, *keys, *summaries, _part(F.col(LEVEL), F.col(RUN)).alias(PART))
+
+
 def roll_up(df: DataFrame, by: Keys, dt: str, measures: Mapping[str, Measure], top: int = TOP) -> DataFrame:
-    """level, run, part, the entity and its summaries, for every level from single days to 2**top of them."""
+    """level, run, part, the entity and its summaries, for the longest runs from single days to 2**top of them."""
     keys = as_keys(by)
-    days = df.filter(F.col(dt).isNotNull()).groupBy(*keys, F.unix_date(dt).alias(RUN)).agg(*_from_rows(measures, dt))
-    summaries = [c for c in days.columns if c not in (*keys, RUN)]
-    levels = F.explode(F.sequence(F.lit(0), F.lit(top))).alias(LEVEL)
-    runs = days.select(levels, "*").withColumn(RUN, F.call_function("shiftright", F.col(RUN), F.col(LEVEL)))
-    rolled = runs.groupBy(LEVEL, RUN, *keys).agg(*_merged(measures))
-    return rolled.select(LEVEL, RUN, *keys, *summaries, _part(F.col(LEVEL), F.col(RUN)).alias(PART))
+    return _longest_runs(_days(df, keys, dt, measures), keys, measures, top)
 
 
 def write_rollups(rolled: DataFrame, target: str) -> DataFrame:
@@ -97,22 +123,24 @@ def refresh_rollups(
 ) -> DataFrame:
     """Bring kept summaries up to date with `df` after the (entity, date) rows of `changed` were added or replaced.
 
-    Only the partitions that hold a changed run are written again; a run is summed anew from the runs of the level below,
-    and from rows only where it is a single day. A driver lost while the partitions move may leave some out; the
+    Only the partitions that hold a changed run are written again; a run is summed anew from the kept single days,
+    and from rows only where a day changed. A driver lost while the partitions move may leave some out; the
     summaries are then written again from the rows.
     """
     keys = as_keys(by)
     old = spark.read.parquet(target)
     days = changed.select(*keys, dt).distinct()
-    fresh = roll_up(df.join(days, [*keys, dt], "left_semi"), keys, dt, measures, 0).select(*old.columns)
-    touched = days.select(*keys, F.unix_date(dt).alias("_day"), F.explode(F.sequence(F.lit(1), F.lit(top))).alias(LEVEL))
-    touched = touched.select(*keys, LEVEL, F.call_function("shiftright", F.col("_day"), F.col(LEVEL)).alias(RUN)).distinct()
-    # every changed run of any level, made of unchanged days and the fresh ones
-    base = old.filter(f"{LEVEL} = 0").join(fresh.select(*keys, RUN), [*keys, RUN], "left_anti").unionByName(fresh)
-    levels = F.explode(F.sequence(F.lit(1), F.lit(top))).alias(LEVEL)
-    runs = base.drop(LEVEL, PART).select(levels, "*").withColumn(RUN, F.call_function("shiftright", F.col(RUN), F.col(LEVEL)))
-    again = runs.join(touched, [*keys, LEVEL, RUN], "left_semi").groupBy(LEVEL, RUN, *keys).agg(*_merged(measures))
-    again = again.withColumn(PART, _part(F.col(LEVEL), F.col(RUN))).select(*old.columns).unionByName(fresh)
+    fresh = _days(df.join(days, [*keys, dt], "left_semi"), keys, dt, measures)
+    spans = days.select(*keys, F.shiftright(F.unix_date(dt), top).alias("_span")).distinct()
+    single = old.filter("first_day = last_day").withColumn(RUN, F.unix_date("first_day")).drop(LEVEL, PART)
+    base = single.join(fresh.select(*keys, RUN), [*keys, RUN], "left_anti").unionByName(fresh)
+    base = base.withColumn("_span", F.shiftright(RUN, top)).join(spans, [*keys, "_span"], "left_semi").drop("_span")
+    # a run changes with its days, and is kept from when its other half has some; no kept run is ever left out again
+    levels = F.explode(F.sequence(F.lit(0), F.lit(top))).alias(LEVEL)
+    touched = days.filter(F.col(dt).isNotNull()).select(*keys, F.unix_date(dt).alias(RUN), levels)
+    touched = touched.withColumn(RUN, _right(F.col(RUN), F.col(LEVEL)))
+    touched = touched.withColumn(RUN, F.explode(F.array(F.col(RUN), F.col(RUN).bitwiseXOR(F.lit(1))))).distinct()
+    again = _longest_runs(base, keys, measures, top).join(touched, [*keys, LEVEL, RUN], "left_semi").select(*old.columns)
     parts = again.select(PART).distinct()
     kept = old.join(F.broadcast(parts), PART, "left_semi").join(again.select(LEVEL, RUN, *keys), [LEVEL, RUN, *keys], "left_anti")
     merged = kept.select(*old.columns).unionByName(again)
@@ -151,15 +179,40 @@ def runs_of(first: Column, last: Column, top: int = TOP) -> Column:
 def over_windows(rolled: DataFrame, windows: DataFrame, by: Keys, measures: Mapping[str, Measure], top: int = TOP) -> DataFrame:
     """The summaries of every window: `windows` has the keys, `first` and `last`, and columns that name the window.
 
-    Entities without a row in a window have none here.
+    Each run of `runs_of` that has days is met by the kept run with the same days: the shortest run around these lies in the
+    window, and the next one above the kept run does not. Entities without a row in a window have none here.
     """
     keys = as_keys(by)
     names = [c for c in windows.columns if c not in (*keys, "first", "last")]
-    wanted = windows.select(*keys, *names, F.inline(runs_of(F.col("first"), F.col("last"), top)))
-    wanted = wanted.withColumn(PART, _part(F.col(LEVEL), F.col(RUN)))
-    parts = wanted.agg(F.collect_set(PART).alias("_parts")).scalar()  # at most one per level and year
-    read = rolled.filter(F.array_contains(parts, F.col(PART)))
-    return wanted.join(read, [*keys, PART, LEVEL, RUN]).groupBy(*keys, *names).agg(*_merged(measures))
+    read = rolled.filter(F.array_contains(_end_parts(windows, top), F.col(PART)) | (F.col(PART) >= top * YEARS))
+    day = F.unix_date("first_day")
+    differs = day.bitwiseXOR(F.unix_date("last_day"))
+    own = F.when(differs == 0, 0).otherwise(_low_bits(F.length(F.bin(differs))))
+    read = read.withColumns({"_own": own, "_above": _low_bits(F.col(LEVEL) + 1)})
+
+    def inside(low_bits: str) -> Column:
+        """Whether the run around the days, whose number lacks these bits, lies in the window."""
+        bits = F.col(low_bits)
+        begins, ends = day.bitwiseAND(F.bitwise_not(bits)), day.bitwiseOR(bits)
+        return (begins >= F.unix_date("first")) & (ends <= F.unix_date("last"))
+
+    met = windows.join(read, keys) if keys else windows.crossJoin(read)
+    met = met.filter(inside("_own") & ((F.col(LEVEL) == top) | ~inside("_above")))
+    return met.groupBy(*keys, *names).agg(*_merged(measures))
+
+
+def _low_bits(n: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1), n) - 1
+
+
+def _end_parts(windows: DataFrame, top: int) -> Column:
+    """The partitions, at most a few per level and year, of the runs below the highest level whose next run has an end of a
+    window in it."""
+    ends = windows.select(F.explode(F.array("first", "last")).alias("_end")).distinct()
+    near = ends.select("_end", F.explode(F.array(*[F.lit(k) for k in range(top)]).cast("array<int>")).alias(LEVEL))
+    half = F.shiftleft(_right(F.unix_date("_end"), F.col(LEVEL) + 1), 1)
+    parts = near.select(F.explode(F.array(_part(F.col(LEVEL), half), _part(F.col(LEVEL), half + 1))).alias(PART))
+    return parts.agg(F.collect_set(PART).alias("_parts")).scalar()
 
 
 def trailing_windows(

@@ -87,3 +87,35 @@ def test_days_are_read_at_the_ends_only(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^]]*array_contains\(", plan)
     assert asked.withColumn("n", F.size(rollups.runs_of(F.col("first"), F.col("last")))).agg(F.max("n")).first()[0] <= 28
+
+
+def _sparse(draw, ents=60, n=25):
+    first = date(1992, 1, 1)
+    return [(f"e{e}", first + timedelta(days=d), draw.randrange(100), 0.5) for e in range(ents) for d in draw.sample(range(2500), n)]
+
+
+def test_sparse_entities_keep_less_than_two_rows_a_day(spark):
+    rows = _sparse(random.Random(3)) + [("dense", date(1999, 1, 1) + timedelta(days=i), 1, 0.0) for i in range(300)] + [(None, date(1970, 1, 1), 1, 0.0)]
+    rolled = rollups.roll_up(spark.createDataFrame(rows, SCHEMA), "ent", "dt", M).collect()
+    assert len(rolled) < 2 * len(rows)
+    days = {}
+    for r in rows:
+        days.setdefault(r[0], set()).add((r[1] - date(1970, 1, 1)).days)
+    want = set()
+    for e, mine in days.items():
+        for k in range(rollups.TOP + 1):
+            runs = {d >> k for d in mine}
+            want |= {(e, k, x) for x in runs if k == rollups.TOP or x ^ 1 in runs}
+    assert {(r.ent, r.level, r.run) for r in rolled} == want and len(want) == len(rolled)
+
+
+def test_a_refresh_gives_the_rows_of_a_new_roll_up(spark, tmp_path):
+    draw = random.Random(9)
+    rows = _sparse(draw, 20)
+    late = [r for r in rows if draw.random() < 0.2]
+    target = str(tmp_path / "r")
+    rollups.write_rollups(rollups.roll_up(spark.createDataFrame([r for r in rows if r not in late], SCHEMA), "ent", "dt", M), target)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    kept = rollups.refresh_rollups(spark, target, frame, spark.createDataFrame(late, SCHEMA), "ent", "dt", M)
+    whole = rollups.roll_up(frame, "ent", "dt", M).select(*kept.columns)
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, whole.collect()))
