@@ -166,6 +166,7 @@ def _rolling_in_chunks(
     starts = df.groupBy(*keys, CHUNK).agg(F.min(position).alias("_first"))
     later = F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_first").alias("at")))
     later = starts.select(*keys, CHUNK, later.over(in_order.rowsBetween(1, max(1, n - 1))).alias("_later"))
+    later = later.filter(F.size("_later") > 0)
     last = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(F.col(position).desc()))
     tails = df.withColumn("_back", last).filter(F.col("_back") < n).drop("_back").join(later, [*keys, CHUNK])
     reached = F.filter("_later", lambda x: x["at"] - F.col(position) < n)

@@ -4,6 +4,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from seriesframe.functions.ordered import CHUNK, bucketed
 from seriesframe.operators.returns import returns, rolling_vol
@@ -50,3 +51,17 @@ def test_rows_are_not_shuffled(spark, bars):
         node = node.children().head()
     assert path.count("Window") >= 3 and path.count("Union") == 3
     assert not [x for x in path if "Exchange" in x] and path[-1].startswith("Scan parquet")
+
+
+def test_sparse_entities_are_not_cut(spark, bars):
+    """An entity with few rows has one chunk, however many years they span; others have whole calendar chunks in order."""
+    table = write_bucketed(bars, "bucketed_sparse", "symbol", "date", 6, 200)
+    chunks = {(r.symbol, r[CHUNK]): r for r in table.groupBy("symbol", CHUNK).agg(F.min("date").alias("a"), F.max("date").alias("b"), F.count("*").alias("n")).collect()}
+    per = {}
+    for (symbol, _), r in sorted(chunks.items(), key=lambda x: (x[0][0] or "", x[0][1])):
+        per.setdefault(symbol, []).append(r)
+    assert len(per["rare"]) == 1 and len(per[None]) == 1 and len(per["s0"]) == 1 and len(per["hot"]) == 2
+    assert per["hot"][0].b.year < per["hot"][1].a.year and sum(r.n for r in per["hot"]) == 400
+    assert rows_of(chain(table)) == rows_of(chain(bars))
+    for rows in (1, 50, 5000):
+        assert rows_of(chain(write_bucketed(bars, f"bucketed_by_{rows}", "symbol", "date", 3, rows))) == rows_of(chain(bars))
