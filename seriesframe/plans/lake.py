@@ -36,25 +36,28 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bars_of(lineitem: DataFrame, symbols: DataFrame) -> DataFrame:
+def bars_of(lineitem: DataFrame, symbols: DataFrame, by_part: bool = False) -> DataFrame:
     """Daily bars per symbol from priced line items; `symbols` has l_partkey and symbol.
 
     Open and close are the first and last price of the day in item order, found by
-    aggregates so that one busy day needs no single task.
+    aggregates so that one busy day needs no single task. `by_part` says that every part is a
+    symbol of its own: the part is then a key too, by which a join that shuffles leaves the rows
+    where the aggregate takes them, and no part of the order.
     """
-    item_order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    price = (F.lit(100) + F.col("l_extendedprice") / F.lit(10000)).alias("price")
+    keys = ["l_partkey", "symbol", "date"] if by_part else ["symbol", "date"]
+    order = ["l_orderkey", "l_linenumber", *([] if by_part else ["l_partkey"]), "l_suppkey"]
     ticks = lineitem.join(symbols, "l_partkey").select(
-        "symbol",
+        *keys[:-1],
         F.col("l_shipdate").cast("date").alias("date"),
-        (F.lit(100) + F.col("l_extendedprice") / F.lit(10000)).alias("price"),
         F.col("l_quantity").alias("qty"),
-        item_order.alias("at"),
+        F.struct(*order, price).alias("at"),
     )
-    bars = ticks.groupBy("symbol", "date").agg(
-        F.min_by("price", "at").alias("open"),
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
-        F.max_by("price", "at").alias("close"),
+    bars = ticks.groupBy(*keys).agg(
+        F.min("at")["price"].alias("open"),
+        F.max("at.price").alias("high"),
+        F.min("at.price").alias("low"),
+        F.max("at")["price"].alias("close"),
         F.sum("qty").cast("long").alias("volume"),
     )
     labelled = classify(bars, "symbol", {"benchmark": [BENCHMARK], "sector": SECTORS})
@@ -97,7 +100,7 @@ class Lake:
         def build() -> DataFrame:
             key = F.col("p_partkey")
             part = self.raw("part").select(key.alias("l_partkey"), key.cast("string").alias("symbol"))
-            return bars_of(self.raw("lineitem"), part)
+            return bars_of(self.raw("lineitem"), part, by_part=True)
 
         return self._table("part_bars", build, "date", ("symbol",))
 

@@ -107,3 +107,31 @@ MOST_SCANS = {"window_volume_30d": 4, "volume_share_30d": 3, "best_lag": 2, "eve
 @pytest.mark.parametrize("name", MOST_SCANS)
 def test_tables_are_not_read_again_and_again(spark, sf_dir, name):
     assert _scans(QUERIES[name](spark, sf_dir)) <= MOST_SCANS[name]
+
+
+def _part_rows(spark):
+    items = [(5, 2, 1, 9, 7.0), (5, 1, 1, 9, 3.0), (4, 7, 1, 9, 5.0), (5, 1, 2, 8, 6.0), (5, 1, 2, 8, None), (6, 1, 3, 8, 1.0), (6, 1, None, 8, 1.0)]
+    rows = [(o, n, p, s, None if x is None else 1e4 * x, 2.0, day) for o, n, p, s, x in items for day in ("1999-01-01", "2001-01-02")]
+    lineitem = spark.createDataFrame(rows, "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, day string")
+    parts = spark.createDataFrame([(1,), (1,), (2,), (4,), (None,)], "l_partkey long")
+    return lineitem.withColumn("l_shipdate", F.to_date("day")), parts.withColumn("symbol", F.col("l_partkey").cast("string"))
+
+
+def test_bars_by_part_are_those_by_symbol(spark):
+    from seriesframe.plans.lake import bars_of
+
+    lineitem, parts = _part_rows(spark)
+    want = sorted(map(repr, bars_of(lineitem, parts).collect()))
+    assert sorted(map(repr, bars_of(lineitem, parts, by_part=True).collect())) == want
+    first = bars_of(lineitem, parts, by_part=True).filter("symbol = '1'").orderBy("date").first()
+    assert (first.open, first.high, first.low, first.close, first.volume) == (105.0, 107.0, 103.0, 107.0, 12)
+    other = bars_of(lineitem, parts, by_part=True).filter("symbol = '2'").first()
+    assert (other.open, other.close, other.high) == (None, 106.0, 106.0)
+
+
+def test_bars_by_part_are_not_shuffled_after_the_join(spark):
+    from seriesframe.plans.lake import bars_of
+
+    lineitem, parts = _part_rows(spark)
+    plan = bars_of(lineitem.hint("merge"), parts, by_part=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
