@@ -17,21 +17,25 @@ CHUNK_ROWS = 4096
 def _chunked(df: DataFrame, keys: Sequence[str], dt: str, rows: int) -> DataFrame:
     """The frame with its chunks: that of the date, but as many together as are needed for `rows` rows.
 
-    Only the chunks of entities with more rows are listed, fewer than one for every `rows` / 2 of the frame or so; all rows of
-    the others have the chunk 0.
+    Only the chunks of entities with more rows are listed; all rows of the others have the chunk 0. Rows without a date
+    have a chunk of their own, before the others, and rows without an entity keep their calendar chunks.
     """
     cut = df.withColumn(CHUNK, chunk_of(df, dt))
+    known = F.col(dt).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
     every = Window.partitionBy(*(keys or [F.lit(0)]))
-    counts = cut.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n")).withColumn("_all", F.sum("_n").over(every))
+    counts = cut.filter(known).groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n")).withColumn("_all", F.sum("_n").over(every))
     before = F.sum("_n").over(every.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
     large = counts.filter(F.col("_all") > rows).withColumn("_lot", F.floor(before / rows))
     first = F.min(CHUNK).over(Window.partitionBy(*keys, "_lot"))
     listed = large.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(CHUNK).alias("_c"), first.alias("_to"))
     match = F.col(CHUNK) == F.col("_c")
     for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        match = match & (F.col(k) == F.col(f"_k_{k}"))
     joined = cut.join(written(listed, "chunks"), match, "left")
-    return joined.withColumn(CHUNK, F.coalesce("_to", F.lit(0))).select(*df.columns, CHUNK)
+    chunk = F.when(known, F.coalesce("_to", F.lit(0))).otherwise(F.col(CHUNK))
+    return joined.withColumn(CHUNK, chunk).select(*df.columns, CHUNK)
 
 
 def write_bucketed(df: DataFrame, table: str, by: Keys, dt: str, buckets: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:

@@ -65,3 +65,13 @@ def test_sparse_entities_are_not_cut(spark, bars):
     assert rows_of(chain(table)) == rows_of(chain(bars))
     for rows in (1, 50, 5000):
         assert rows_of(chain(write_bucketed(bars, f"bucketed_by_{rows}", "symbol", "date", 3, rows))) == rows_of(chain(bars))
+
+
+def test_rows_without_a_date_keep_their_chunk(spark, bars):
+    undated = bars.filter("symbol in ('hot', 'rare', 's1')").unionByName(spark.createDataFrame([("hot", None, 9.0), ("rare", None, 8.0), ("rare", None, 8.5)], bars.schema))
+    want = [r for r in rows_of(returns(undated, "symbol", "date", "close")) if r[1]]
+    for rows in (1, 200, 5000):
+        table = write_bucketed(undated, f"bucketed_undated_{rows}", "symbol", "date", 3, rows)
+        assert table.filter("date is null").select(CHUNK).distinct().count() == 1
+        assert [r for r in rows_of(returns(table, "symbol", "date", "close").drop(CHUNK)) if r[1]] == want
+        assert rows_of(chain(table).filter("date is not null")) == rows_of(chain(undated).filter("date is not null"))
