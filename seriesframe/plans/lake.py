@@ -74,11 +74,13 @@ class Lake:
     def raw(self, name: str) -> DataFrame:
         return source(self.spark, self.sf_dir, name)
 
-    def _table(self, name: str, build: Callable[[], DataFrame], dt: str | None = None, cluster: tuple = ()) -> DataFrame:
+    def _table(
+        self, name: str, build: Callable[[], DataFrame], dt: str | None = None, cluster: tuple = (), gather: bool = True
+    ) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _written:
             path = new_path(self.spark, name)
-            _written[key] = path, write_table(build(), path, dt, cluster=cluster).schema
+            _written[key] = path, write_table(build(), path, dt, cluster=cluster, gather=gather).schema
         return read_table(self.spark, *_written[key])
 
     def path(self, name: str) -> str:
@@ -102,7 +104,7 @@ class Lake:
             part = self.raw("part").select(key.alias("l_partkey"), key.cast("string").alias("symbol"))
             return bars_of(self.raw("lineitem"), part, by_part=True)
 
-        return self._table("part_bars", build, "date", ("symbol",))
+        return self._table("part_bars", build, "date", ("symbol",), gather=False)
 
     def indicators(self) -> DataFrame:
         """Four monthly series and one daily one."""
@@ -175,7 +177,8 @@ class Lake:
 
     def part_daily(self) -> DataFrame:
         """Returns with every part as its own symbol."""
-        return self._table("part_daily", lambda: market_daily(self.part_bars(), prev_dt="prev_date"), "date", ("symbol",))
+        returns = lambda: market_daily(self.part_bars(), prev_dt="prev_date")
+        return self._table("part_daily", returns, "date", ("symbol",), gather=False)
 
     def sector(self) -> DataFrame:
         return self.market_daily().filter(F.col("category") == "sector")

@@ -114,16 +114,20 @@ def period_of(dt: Column, grain: str = "month") -> Column:
     return dt if grain == "day" else F.trunc(dt, grain)
 
 
-def write_table(df: DataFrame, target: str, dt: str | None = None, grain: str = "year", cluster: tuple = ()) -> DataFrame:
+def write_table(
+    df: DataFrame, target: str, dt: str | None = None, grain: str = "year", cluster: tuple = (), gather: bool = True
+) -> DataFrame:
     """Rebuild a table in full and return it as read back.
 
     With `dt` the table is partitioned by period, so date filters skip whole partitions,
-    and sorted by date inside its files.
+    and sorted by date inside its files. Without `gather` every task writes its own rows of each
+    period: a large table of few periods is not shuffled once more to have few files in each.
     """
     if dt is None:
         write_snapshot(df, target)
         return read_table(df.sparkSession, target, nullable(df.schema))
-    laid_out = marked(by_period(df.withColumn(PERIOD, period_of(F.col(dt), grain)), [dt, *cluster]), dt, grain)
+    rows, order = df.withColumn(PERIOD, period_of(F.col(dt), grain)), [dt, *cluster]
+    laid_out = marked(by_period(rows, order) if gather else rows.sortWithinPartitions(PERIOD, *order), dt, grain)
     writer = laid_out.write.mode("overwrite").format("parquet").partitionBy(PERIOD)
     writer.option(*WHOLE_TABLE).save(target) if is_path(target) else writer.saveAsTable(target)
     return read_table(df.sparkSession, target, nullable(laid_out.schema))

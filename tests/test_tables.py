@@ -330,3 +330,15 @@ def test_broken_documents_are_set_aside(spark, tmp_path):
     with pytest.raises(landing.AllBroken, match="1 documents"):
         landing.land_documents(spark, f"{tmp_path}/in/b.json", "v int, w string", f"{tmp_path}/bad")
     assert landing.broken_documents(spark, f"{tmp_path}/bad").count() == 1
+
+
+def test_a_table_that_is_not_gathered_is_not_shuffled(spark, tmp_path):
+    """Same rows, same period partitions and mark, no shuffle before the write."""
+    rows = [(s, f"{y}-0{1 + i % 9}-11", float(i), 1) for i in range(30) for s in "abc" for y in (1999, 2001)] + [("a", None, 1.0, 1)]
+    bars = _bars(spark, rows).repartition(3)
+    first = write_table(bars, str(tmp_path / "a"), "date", cluster=("symbol",))
+    second = write_table(bars, str(tmp_path / "b"), "date", cluster=("symbol",), gather=False)
+    assert sorted(map(repr, first.collect())) == sorted(map(repr, second.collect()))
+    assert first.schema == second.schema and tables.grain_of(second, "date") == "year"
+    files = [len(glob.glob(f"{tmp_path}/{x}/period=1999-01-01/*.parquet")) for x in "ab"]
+    assert files[0] == 1 and files[1] == 3
