@@ -4,7 +4,9 @@ A run of level k is 2**k days that begin at a multiple of 2**k (days since 1970)
 of an entity the longest is kept, so an entity with n days has less than 2 n rows however far apart these are, and
 every single day is among them. A window of any length is a union of at most two runs per level, so it is answered
 from some twenty rows per entity instead of its history. Rows are partitioned by level and the year a run begins in,
-and only the partitions that the asked windows need are read: of short runs, those at the ends.
+and only the partitions that the asked windows need are read: of short runs, those at the ends. Beyond an entity's first
+and last day a window is taken as far as the runs of the highest level go, so a window over everything reads these alone.
+The day of a first or last known value, `<name>_on`, is kept only where it is not the run's own first or last day.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from seriesframe.sources.tables import nullable
 TOP = 13
 LEVEL, RUN, PART = "level", "run", "part"
 YEARS = 100_000
+#: Daily rows that a task sums up.
+TASK_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -42,26 +46,35 @@ _PLAIN: dict[str, tuple[Callable, Callable]] = {
 }
 
 
+_EDGES: dict[str, tuple[Callable, Callable, str]] = {
+    "first": (F.min_by, F.min, "first_day"),
+    "last": (F.max_by, F.max, "last_day"),
+}
+
+
 def _from_rows(measures: Mapping[str, Measure], dt: str) -> list[Column]:
     out = [F.min(dt).alias("first_day"), F.max(dt).alias("last_day")]
     for name, m in measures.items():
         if m.kind in _PLAIN:
             out.append(_PLAIN[m.kind][0](m.col).alias(name))
             continue
-        pick, bound = (F.min_by, F.min) if m.kind == "first" else (F.max_by, F.max)
+        pick, bound, _ = _EDGES[m.kind]
         known = F.when(F.col(m.col).isNotNull(), F.col(dt))
-        out += [pick(m.col, known).alias(name), bound(known).alias(f"{name}_on")]
+        out += [pick(m.col, known).alias(name), F.nullif(bound(known), bound(dt)).alias(f"{name}_on")]
     return out
 
 
-def _merged(measures: Mapping[str, Measure]) -> list[Column]:
+def _merged(measures: Mapping[str, Measure], whole: bool = False) -> list[Column]:
+    """The summaries of several runs as one; with `whole` the days of known values are all given."""
     out = [F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day")]
     for name, m in measures.items():
         if m.kind in _PLAIN:
             out.append(_PLAIN[m.kind][1](name).alias(name))
             continue
-        pick, bound = (F.min_by, F.min) if m.kind == "first" else (F.max_by, F.max)
-        out += [pick(name, f"{name}_on").alias(name), bound(f"{name}_on").alias(f"{name}_on")]
+        pick, bound, end = _EDGES[m.kind]
+        known = F.when(F.col(name).isNotNull(), F.coalesce(f"{name}_on", end))
+        day = bound(known) if whole else F.nullif(bound(known), bound(end))
+        out += [pick(name, known).alias(name), day.alias(f"{name}_on")]
     return out
 
 
@@ -76,24 +89,43 @@ def _days(df: DataFrame, keys: Sequence[str], dt: str, measures: Mapping[str, Me
     return df.filter(F.col(dt).isNotNull()).groupBy(*keys, F.unix_date(dt).alias(RUN)).agg(*_from_rows(measures, dt))
 
 
+def _rows_as_days(df: DataFrame, keys: Sequence[str], dt: str, measures: Mapping[str, Measure], top: int) -> DataFrame:
+    """Each dated row as the summary of a day, where `_longest_runs` takes it; rows travel once, with the needed columns.
+
+    Tasks are so many that none has to spill, which is told from the number of rows.
+    """
+    types = {f.name: f.dataType for f in _days(df, keys, dt, measures).schema.fields}
+    needed = dict.fromkeys([*keys, dt, *(m.col for m in measures.values())])
+    dated = df.filter(F.col(dt).isNotNull()).select(*needed, F.shiftright(F.unix_date(dt), top).alias("_span"))
+    dated = dated.repartition(1 + df.count() // TASK_ROWS, *keys, "_span")
+    out = {"first_day": F.col(dt), "last_day": F.col(dt)}
+    for name, m in measures.items():
+        val = F.col(m.col)
+        out[name] = {"growth": 1 + val, "count": F.when(val.isNotNull(), 1).otherwise(0)}.get(m.kind, val)
+        if m.kind in _EDGES:
+            out[f"{name}_on"] = F.lit(None)
+    return dated.select(*keys, "_span", F.unix_date(dt).alias(RUN), *(c.cast(types[name]).alias(name) for name, c in out.items()))
+
+
 def _right(col: Column, bits: Column) -> Column:
     return F.call_function("shiftright", col, bits)
 
 
 def _longest_runs(days: DataFrame, keys: Sequence[str], measures: Mapping[str, Measure], top: int) -> DataFrame:
     """The runs that are kept: those whose other half of the next level has days as well, and all of the highest level.
+    A day may have several rows in `days`.
 
     A day is summed from the level on at which a neighbour joins it. Everything happens per (entity, run of the highest
-    level), at most 2**top days, to which the days are shuffled once.
+    level), at most 2**top days, to which the days are shuffled once, unless they bring its `_span` and lie there.
     """
-    summaries = [c for c in days.columns if c not in (*keys, RUN)]
+    summaries = [c for c in days.columns if c not in (*keys, RUN, "_span")]
     in_order = Window.partitionBy(*keys, "_span").orderBy(RUN)
     span = F.lit(1 << top)  # a day of another span stands for no neighbour
     before = F.coalesce(F.lag(RUN).over(in_order), F.col(RUN) - span)
     beside = {"_prev": before, "_next": F.coalesce(F.lead(RUN).over(in_order), F.col(RUN) + span)}
     alone = [F.length(F.bin(F.col(RUN).bitwiseXOR(F.col(c)))) - 1 for c in beside]  # highest level without that neighbour
     levels = F.explode(F.sequence(F.least(*alone, F.lit(top)), F.lit(top))).alias(LEVEL)
-    placed = days.withColumn("_span", F.shiftright(RUN, top)).withColumns(beside)
+    placed = (days if "_span" in days.columns else days.withColumn("_span", F.shiftright(RUN, top))).withColumns(beside)
     runs = placed.select("*", levels).withColumn(RUN, _right(F.col(RUN), F.col(LEVEL)))
     rolled = runs.groupBy(*keys, "_span", LEVEL, RUN).agg(*_merged(measures), F.min("_prev").alias("_prev"), F.max("_next").alias("_next"))
     whole, up = F.shiftright(RUN, 1), F.col(LEVEL) + 1
@@ -101,16 +133,26 @@ def _longest_runs(days: DataFrame, keys: Sequence[str], measures: Mapping[str, M
     return rolled.filter(kept).select(LEVEL, RUN, *keys, *summaries, _part(F.col(LEVEL), F.col(RUN)).alias(PART))
 
 
-def roll_up(df: DataFrame, by: Keys, dt: str, measures: Mapping[str, Measure], top: int = TOP) -> DataFrame:
-    """level, run, part, the entity and its summaries, for the longest runs from single days to 2**top of them."""
+def roll_up(df: DataFrame, by: Keys, dt: str, measures: Mapping[str, Measure], top: int = TOP, daily: bool = False) -> DataFrame:
+    """level, run, part, the entity and its summaries, for the longest runs from single days to 2**top of them.
+
+    `daily` says that `df` is a table with about a row a day and entity: the rows then travel once, as they are. Else rows
+    that share days are summed by day before they travel, and the days travel once more.
+    """
     keys = as_keys(by)
-    return _longest_runs(_days(df, keys, dt, measures), keys, measures, top)
+    days = _rows_as_days(df, keys, dt, measures, top) if daily else _days(df, keys, dt, measures)
+    return _longest_runs(days, keys, measures, top)
+
 
+def write_rollups(rolled: DataFrame, target: str, gather: bool = True) -> DataFrame:
+    """Keep the summaries under a path and return them as read back.
 
-def write_rollups(rolled: DataFrame, target: str) -> DataFrame:
-    """Keep the summaries under a path and return them as read back."""
-    laid_out = rolled.hint("rebalance", PART).sortWithinPartitions(PART, RUN)
-    laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(PART).parquet(target)
+    Without `gather` every task writes its own rows of each partition: many summaries are not shuffled once more to
+    have few files in each.
+    """
+    laid_out = (rolled.hint("rebalance", PART) if gather else rolled).sortWithinPartitions(PART, RUN)
+    writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+    writer.partitionBy(PART).parquet(target)
     return read_rollups(rolled.sparkSession, target, rolled)
 
 
@@ -144,7 +186,8 @@ def refresh_rollups(
     parts = again.select(PART).distinct()
     kept = old.join(F.broadcast(parts), PART, "left_semi").join(again.select(LEVEL, RUN, *keys), [LEVEL, RUN, *keys], "left_anti")
     merged = kept.select(*old.columns).unionByName(again)
-    merged.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(target)
+    writer = merged.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("compression", "zstd").partitionBy(PART).parquet(target)
     return spark.read.schema(old.schema).parquet(target)
 
 
@@ -184,21 +227,34 @@ def over_windows(rolled: DataFrame, windows: DataFrame, by: Keys, measures: Mapp
     """
     keys = as_keys(by)
     names = [c for c in windows.columns if c not in (*keys, "first", "last")]
+    windows = _widened(rolled, windows, keys, top)
+    summaries = sorted((c for c in rolled.columns if c not in (*keys, RUN, PART)), key=lambda c: c.endswith("_on"))  # NULLs compress best side by side
     read = rolled.filter(F.array_contains(_end_parts(windows, top), F.col(PART)) | (F.col(PART) >= top * YEARS))
+    read = read.select(*keys, *summaries)
     day = F.unix_date("first_day")
     differs = day.bitwiseXOR(F.unix_date("last_day"))
     own = F.when(differs == 0, 0).otherwise(_low_bits(F.length(F.bin(differs))))
-    read = read.withColumns({"_own": own, "_above": _low_bits(F.col(LEVEL) + 1)})
 
-    def inside(low_bits: str) -> Column:
+    def inside(bits: Column) -> Column:
         """Whether the run around the days, whose number lacks these bits, lies in the window."""
-        bits = F.col(low_bits)
         begins, ends = day.bitwiseAND(F.bitwise_not(bits)), day.bitwiseOR(bits)
-        return (begins >= F.unix_date("first")) & (ends <= F.unix_date("last"))
+        return (begins >= F.col("_first")) & (ends <= F.col("_last"))
 
     met = windows.join(read, keys) if keys else windows.crossJoin(read)
-    met = met.filter(inside("_own") & ((F.col(LEVEL) == top) | ~inside("_above")))
-    return met.groupBy(*keys, *names).agg(*_merged(measures))
+    met = met.filter(inside(own) & ((F.col(LEVEL) == top) | ~inside(_low_bits(F.col(LEVEL) + 1))))
+    return met.groupBy(*keys, *names).agg(*_merged(measures, whole=True))
+
+
+def _widened(rolled: DataFrame, windows: DataFrame, keys: Sequence[str], top: int) -> DataFrame:
+    """The windows of entities with rows, as days `_first` and `_last`: an end with no day of the entity beyond it is that of
+    a run of the highest level, so that the longest runs lie inside."""
+    whole = rolled.filter(F.col(PART) >= top * YEARS).groupBy(*keys)
+    whole = whole.agg(F.unix_date(F.min("first_day")).alias("_from"), F.unix_date(F.max("last_day")).alias("_to"))
+    first, last, rest = F.unix_date("first"), F.unix_date("last"), F.lit((1 << top) - 1)
+    begins = F.when(first <= F.col("_from"), F.least(first, F.col("_from").bitwiseAND(F.bitwise_not(rest)))).otherwise(first)
+    ends = F.when(last >= F.col("_to"), F.greatest(last, F.col("_to").bitwiseOR(rest))).otherwise(last)
+    placed = windows.join(whole, keys) if keys else windows.crossJoin(whole)
+    return placed.select(*(c for c in windows.columns if c not in ("first", "last")), begins.alias("_first"), ends.alias("_last"))
 
 
 def _low_bits(n: Column) -> Column:
@@ -208,9 +264,10 @@ def _low_bits(n: Column) -> Column:
 def _end_parts(windows: DataFrame, top: int) -> Column:
     """The partitions, at most a few per level and year, of the runs below the highest level whose next run has an end of a
     window in it."""
-    ends = windows.select(F.explode(F.array("first", "last")).alias("_end")).distinct()
+    cut = F.array("_first", F.col("_last") + 1)  # a run of the highest level that begins at a cut lies on one side of it
+    ends = windows.select(F.explode(F.filter(cut, lambda d: d.bitwiseAND(F.lit((1 << top) - 1)) != 0)).alias("_end")).distinct()
     near = ends.select("_end", F.explode(F.array(*[F.lit(k) for k in range(top)]).cast("array<int>")).alias(LEVEL))
-    half = F.shiftleft(_right(F.unix_date("_end"), F.col(LEVEL) + 1), 1)
+    half = F.shiftleft(_right(F.col("_end"), F.col(LEVEL) + 1), 1)
     parts = near.select(F.explode(F.array(_part(F.col(LEVEL), half), _part(F.col(LEVEL), half + 1))).alias(PART))
     return parts.agg(F.collect_set(PART).alias("_parts")).scalar()
 

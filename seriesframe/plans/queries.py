@@ -277,16 +277,17 @@ def _return_windows(kept: DataFrame) -> DataFrame:
     )
 
 
-def _return_windows_of(table: Callable[[Lake], DataFrame]):
+def _return_windows_of(table: Callable[[Lake], DataFrame], by_part: bool = False):
     def run(lake: Lake) -> DataFrame:
-        rolled = rollups.roll_up(_return_rows(table(lake)), "symbol", "date", BAR_MEASURES)
-        return r6(_return_windows(rollups.write_rollups(rolled, new_path(lake.spark, "rollups"))), "value")
+        rolled = rollups.roll_up(_return_rows(table(lake)), "symbol", "date", BAR_MEASURES, daily=by_part)
+        kept = rollups.write_rollups(rolled, new_path(lake.spark, "rollups"), gather=not by_part)
+        return r6(_return_windows(kept), "value")
 
     return run
 
 
 register("return_windows", _return_windows_of(Lake.market_daily))
-register("return_windows_by_part", _return_windows_of(Lake.part_daily))
+register("return_windows_by_part", _return_windows_of(Lake.part_daily, by_part=True))
 
 
 @query

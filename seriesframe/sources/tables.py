@@ -129,7 +129,10 @@ def write_table(
     rows, order = df.withColumn(PERIOD, period_of(F.col(dt), grain)), [dt, *cluster]
     laid_out = marked(by_period(rows, order) if gather else rows.sortWithinPartitions(PERIOD, *order), dt, grain)
     writer = laid_out.write.mode("overwrite").format("parquet").partitionBy(PERIOD)
-    writer.option(*WHOLE_TABLE).save(target) if is_path(target) else writer.saveAsTable(target)
+    if is_path(target):
+        writer.option(*WHOLE_TABLE).option("compression", "zstd").save(target)
+    else:
+        writer.saveAsTable(target)
     return read_table(df.sparkSession, target, nullable(laid_out.schema))
 
 

@@ -119,3 +119,34 @@ def test_a_refresh_gives_the_rows_of_a_new_roll_up(spark, tmp_path):
     kept = rollups.refresh_rollups(spark, target, frame, spark.createDataFrame(late, SCHEMA), "ent", "dt", M)
     whole = rollups.roll_up(frame, "ent", "dt", M).select(*kept.columns)
     assert sorted(map(repr, kept.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_daily_rows_travel_once(spark, tmp_path):
+    rows = _rows(random.Random(4)) + [("a", date(1970, 1, 2), 7, 0.5)] * 2 + [(None, date(1971, 3, 4), 1, None), ("b", None, 1, 0.5)]
+    frame = spark.createDataFrame([(*r, "unused") for r in rows], SCHEMA + ", other string")
+    once = rollups.roll_up(frame, "ent", "dt", M, 6, daily=True)
+    assert once._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    want = sorted(map(repr, rollups.roll_up(frame, "ent", "dt", M, 6).select(*once.columns).collect()))
+    kept = rollups.write_rollups(once, str(tmp_path / "r"), gather=False).select(*once.columns)
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, kept.collect())) == want
+
+
+def test_a_window_over_everything_reads_the_longest_runs_only(spark, tmp_path):
+    rows = _rows(random.Random(6))
+    kept = rollups.write_rollups(rollups.roll_up(spark.createDataFrame(rows, SCHEMA), "ent", "dt", M), str(tmp_path / "r"))
+    asked = rollups.trailing_windows(kept, "ent", [None])
+    longest = kept.filter(F.col("part") >= rollups.TOP * rollups.YEARS)
+    want = {e: sum(r[2] is not None for r in rows if r[0] == e) for e in "ab"}
+    assert {r.ent: r.known for r in rollups.over_windows(longest, asked, "ent", M).collect()} == want
+    parts = rollups._end_parts(rollups._widened(kept, asked, ["ent"], rollups.TOP), rollups.TOP)
+    assert spark.range(1).select(F.size(parts).alias("n")).first().n == 0
+
+
+def test_days_of_known_values_are_kept_where_they_are_not_the_ends(spark):
+    rows = [("a", date(2001, 1, d), v, 0.0) for d, v in ((8, None), (9, 3), (10, 4), (11, None))]
+    rolled = rollups.roll_up(spark.createDataFrame(rows, SCHEMA), "ent", "dt", M)
+    found = {(r.first_day.day, r.last_day.day): (r.start, r.start_on and r.start_on.day, r.end, r.end_on and r.end_on.day) for r in rolled.collect()}
+    assert found[8, 11] == (3, 9, 4, 10) and found[9, 9] == (3, None, 3, None) and found[8, 8] == (None,) * 4
+    windows = spark.createDataFrame([("a", date(2001, 1, 8), date(2001, 1, 10))], "ent string, first date, last date")
+    met = rollups.over_windows(rolled, windows, "ent", M).first()
+    assert (met.start_on, met.end_on) == (date(2001, 1, 9), date(2001, 1, 10))
